@@ -29,10 +29,17 @@ def _qname(p: float) -> str:
     return "q_" + format(p, "g").replace(".", "_").replace("-", "m")
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join a per-group statistics table back (AQE broadcasts it when small)."""
+def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a per-group table back on null-safe keys (a null key is a group).
+
+    AQE broadcasts the small side when its measured size allows it.
+    """
     by = list(by)
-    return df.join(small, on=by, how="inner") if by else df.crossJoin(small)
+    if not by:
+        return df.crossJoin(small)
+    r = small.select(*[F.col(k).alias(f"_r_{k}") for k in by], *[c for c in small.columns if c not in by])
+    cond = [df[k].eqNullSafe(r[f"_r_{k}"]) for k in by]
+    return df.join(r, on=cond, how=how).drop(*[f"_r_{k}" for k in by])
 
 
 def exact_quantiles(
@@ -85,7 +92,7 @@ def weighted_quantiles(
         F.coalesce(F.sum("_pn").over(w_prev), F.lit(0)).alias("_off"),
         F.sum("_pn").over(Window.partitionBy(*by)).alias("_tot"),
     )
-    ranked = sliced.join(per_slice, on=[*by, "_s"], how="inner")
+    ranked = _attach(sliced, per_slice, [*by, "_s"])
     hi = F.col("_off") + F.col("_run")  # exclusive upper rank (0-based)
     lo = hi - F.col("_n")  # inclusive lower rank
     aggs = []

@@ -45,7 +45,9 @@ b1 AS (
          c.c_mktsegment AS corridor,
          CASE WHEN o.o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS status,
          CAST(12.9716 AS DOUBLE) + CAST((o.o_custkey % 201) - 100 AS DOUBLE) * CAST(0.001 AS DOUBLE) AS latitude,
-         CAST(77.5946 AS DOUBLE) + CAST((o.o_custkey % 151) - 75 AS DOUBLE) * CAST(0.001 AS DOUBLE) AS longitude
+         CAST(77.5946 AS DOUBLE) + CAST((o.o_custkey % 151) - 75 AS DOUBLE) * CAST(0.001 AS DOUBLE) AS longitude,
+         CAST(NULL AS VARCHAR) AS veh_type, CAST(NULL AS VARCHAR) AS veh_no, CAST(NULL AS VARCHAR) AS reason_breakdown,
+         CAST(NULL AS VARCHAR) AS kgid, CAST(NULL AS VARCHAR) AS authenticated, CAST(NULL AS VARCHAR) AS junction
   FROM orders o
   LEFT JOIN ship s ON o.o_orderkey = s.l_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -114,6 +116,9 @@ inc AS (
       coalesce(n5.zone, 'Unknown') AS zone,
       coalesce(n5.police_station, 'Unknown') AS police_station,
       coalesce(n5.corridor, 'Unknown') AS corridor,
+      coalesce(n5.veh_type, 'Unknown') AS veh_type, coalesce(n5.veh_no, 'Unknown') AS veh_no,
+      coalesce(n5.reason_breakdown, 'None') AS reason_breakdown, coalesce(n5.kgid, 'Unknown') AS kgid,
+      coalesce(n5.junction, 'None') AS junction,
       CASE WHEN n5.latitude IS NOT NULL THEN least(greatest(n5.latitude, llq.lat_lo), llq.lat_hi) END AS latitude,
       CASE WHEN n5.longitude IS NOT NULL THEN least(greatest(n5.longitude, llq.lon_lo), llq.lon_hi) END AS longitude)
   FROM n5, llq
