@@ -189,22 +189,25 @@ def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident
     """WN1–WN5 (leaky=True, the original definitions) or WN8 variants.
 
     leaky=False replaces the whole-group means (which include the row's own
-    label) with means over strictly earlier rows.
+    label) with means over strictly earlier rows. Group statistics are all
+    computed from the input frame and joined onto one row flow, so the plan
+    stays linear in the number of features.
     """
-    med = scalar_quantiles(df, {"congestion_severity": [0.5]})[("congestion_severity", 0.5)] if "congestion_severity" in df.columns else None
-    d = history.trailing_counts(df, ["zone"], "start_datetime", WINDOWS_US)
+    base = df
+    med = scalar_quantiles(base, {"congestion_severity": [0.5]})[("congestion_severity", 0.5)] if "congestion_severity" in base.columns else None
+    d = history.trailing_counts(base, ["zone"], "start_datetime", WINDOWS_US, key=key)
     d = history.fill_untimed_with_group_mean(d, ["zone"], "start_datetime", list(WINDOWS_US))
     if "congestion_severity" in d.columns:
         d = history.previous_value(d, ["zone"], "start_datetime", key, "congestion_severity", "prev_severity_zone")
         d = d.withColumn("prev_severity_zone", F.coalesce(F.col("prev_severity_zone").cast("double"), F.lit(med).cast("double")))
         if leaky:
-            d = history.group_mean(d, ["zone"], "congestion_severity", "zone_mean_severity")
+            d = history.group_mean(d, ["zone"], "congestion_severity", "zone_mean_severity", source=base)
         else:
             d = history.prior_mean(d, ["zone"], "start_datetime", key, "congestion_severity", "zone_mean_severity")
     if "duration_min" in d.columns:
         if leaky:
-            d = history.group_mean(d, ["event_cause", "zone"], "duration_min", "cause_zone_avg_dur")
-            d = history.group_mean(d, ["police_station"], "duration_min", "station_avg_dur")
+            d = history.group_mean(d, ["event_cause", "zone"], "duration_min", "cause_zone_avg_dur", source=base)
+            d = history.group_mean(d, ["police_station"], "duration_min", "station_avg_dur", source=base)
         else:
             d = history.prior_mean(d.withColumn("_cz", F.concat_ws("\u0001", "event_cause", "zone")), ["_cz"], "start_datetime", key, "duration_min", "cause_zone_avg_dur").drop("_cz")
             d = history.prior_mean(d, ["police_station"], "start_datetime", key, "duration_min", "station_avg_dur")

@@ -48,43 +48,53 @@ def trailing_counts(
     ts: str,
     widths_us: dict[str, int],
     bucket_us: int = DEFAULT_BUCKET_US,
+    key: str | None = None,
 ) -> DataFrame:
     """WN1: for each timed row, rows of its group with timestamp in (t - w, t].
 
     Each timed row emits +1 at t (carrying the row itself) and -1 at t + w
-    per width; the count at t is the running sum of all events with time <= t
-    (RANGE frame: every peer at t is included). Running sums are split into
-    (group, bucket) slices plus the totals of all earlier buckets, taken from
-    a small per-bucket summary. Untimed rows get null counts (see
-    `fill_untimed_with_group_mean`). No join back to the rows is needed.
+    per width, all from ONE scan (`explode`); the count at t is the running
+    sum of all events with time <= t (RANGE frame: every peer at t is
+    included). Running sums are split into (group, bucket) slices plus the
+    totals of all earlier buckets, from a small per-bucket summary. Untimed
+    rows pass through with null counts, spread over id buckets. No join back
+    to the rows is needed.
     """
     by = list(by)
     names = list(widths_us)
     row = F.struct(*[F.col(c) for c in df.columns])
     t = _t(ts)
-    timed = df.where(F.col(ts).isNotNull())
-    events = [timed.select(*by, t.alias("_t"), row.alias("_row"), *[F.lit(1).alias(n) for n in names])]
-    for i, n in enumerate(names):
-        events.append(
-            timed.select(
-                *by, (t + F.lit(widths_us[n])).alias("_t"), F.lit(None).cast(timed.select(row.alias("r")).schema["r"].dataType).alias("_row"),
-                *[F.lit(-1 if j == i else 0).alias(m) for j, m in enumerate(names)],
-            )
+    untimed_b = F.lit(_NULL_BUCKET_BASE) + (
+        F.floor(F.col(key).cast("double") / _NULL_BUCKET_ROWS).cast("long") if key else F.lit(0).cast("long")
+    )
+
+    def ev(at, with_row, deltas, b):
+        return F.struct(
+            at.alias("_t"),
+            (row if with_row else F.lit(None).cast(row_type)).alias("_row"),
+            b.alias("_b"),
+            *[F.lit(x).alias(n) for x, n in zip(deltas, names)],
         )
-    ev = events[0]
-    for e in events[1:]:
-        ev = ev.unionByName(e)
-    ev = ev.withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long"))
+
+    row_type = df.select(row.alias("r")).schema["r"].dataType
+    timed_events = [ev(t, True, [1] * len(names), F.floor(t / F.lit(bucket_us)).cast("long"))]
+    for i, n in enumerate(names):
+        at = t + F.lit(widths_us[n])
+        timed_events.append(ev(at, False, [-1 if j == i else 0 for j in range(len(names))], F.floor(at / F.lit(bucket_us)).cast("long")))
+    untimed_events = [ev(F.lit(None).cast("long"), True, [0] * len(names), untimed_b)]
+    events = F.when(F.col(ts).isNotNull(), F.array(*timed_events)).otherwise(F.array(*untimed_events))
+    e = df.select(*by, F.explode(events).alias("_e")).select(*by, "_e.*")
     w_in = Window.partitionBy(*by, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ev = ev.select(*by, "_b", "_t", "_row", *[F.sum(n).over(w_in).alias(f"_in_{n}") for n in names])
+    e = e.select(*by, "_b", "_t", "_row", *[F.sum(n).over(w_in).alias(f"_in_{n}") for n in names])
     # bucket totals = running sum at the bucket's last time; offsets = earlier buckets
-    tot = ev.groupBy(*by, "_b").agg(*[F.max_by(F.col(f"_in_{n}"), F.col("_t")).alias(f"_tot_{n}") for n in names])
+    tot = e.groupBy(*by, "_b").agg(*[F.max_by(F.col(f"_in_{n}"), F.col("_t")).alias(f"_tot_{n}") for n in names])
     w_prev = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*by, "_b", *[F.coalesce(F.sum(f"_tot_{n}").over(w_prev), F.lit(0)).alias(f"_off_{n}") for n in names])
-    rows = ev.where(F.col("_row").isNotNull()).join(tot, on=[*by, "_b"], how="inner")
-    counted = rows.select("_row.*", *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).cast("double").alias(n) for n in names])
-    untimed = df.where(F.col(ts).isNull()).select("*", *[F.lit(None).cast("double").alias(n) for n in names])
-    return counted.unionByName(untimed)
+    rows = e.where(F.col("_row").isNotNull()).join(tot, on=[*by, "_b"], how="inner")
+    return rows.select(
+        "_row.*",
+        *[F.when(F.col("_t").isNotNull(), (F.col(f"_in_{n}") + F.col(f"_off_{n}")).cast("double")).alias(n) for n in names],
+    )
 
 
 def fill_untimed_with_group_mean(df: DataFrame, by: Sequence[str], ts: str, columns: Sequence[str]) -> DataFrame:
@@ -129,21 +139,25 @@ def previous_value(
     return d.withColumn(name, prev).drop("_b", "_tk", "_lag", "_first", "_prev_bucket_last")
 
 
-def group_mean(df: DataFrame, by: Sequence[str], value: str, name: str, drop_null_keys: bool = True) -> DataFrame:
+def group_mean(
+    df: DataFrame, by: Sequence[str], value: str, name: str, drop_null_keys: bool = True, source: DataFrame | None = None
+) -> DataFrame:
     """WN4/WN5/JN4: mean of `value` over the whole group, on every row.
 
     A partial+final aggregate joined back (AQE broadcasts the group table
     when small), so the row table is never shuffled by a hot key. Null keys
     get null (pandas drops null group keys) unless drop_null_keys=False.
+    `source` computes the statistics from another (upstream) frame, so that
+    chaining several of these keeps the plan linear.
     """
     by = list(by)
-    src = df
+    src = df if source is None else source
     if drop_null_keys:
         cond = None
         for k in by:
             c = F.col(k).isNotNull()
             cond = c if cond is None else cond & c
-        src = df.where(cond)
+        src = src.where(cond)
     means = src.groupBy(*by).agg(F.avg(value).alias(name))
     return df.join(means, on=by, how="left")
 
