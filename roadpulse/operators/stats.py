@@ -136,6 +136,33 @@ def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]]) -> dict[tu
     return out
 
 
+def prefix_sums_before(
+    rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], slices: int = DEFAULT_SLICES
+) -> DataFrame:
+    """For rows with unique (by, order): sums of `columns` over the group's
+    rows with a strictly smaller `order` value (`_before_<col>`).
+
+    Same slice-and-offset scheme as `weighted_quantiles`: no group is ever
+    held by one task beyond one value slice.
+    """
+    by = list(by)
+    cols = list(columns)
+    fracs = [i / slices for i in range(1, slices)]
+    bounds = rows.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), fracs, SKETCH_ACCURACY).alias("_b"))
+    sliced = _attach(rows, bounds, by).withColumn(
+        "_s", F.size(F.filter(F.col("_b"), lambda b: b < F.col(order).cast("double")))
+    ).drop("_b")
+    w = Window.partitionBy(*by, "_s").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sliced = sliced.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_in_{c}") for c in cols])
+    per = sliced.groupBy(*by, "_s").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wp = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*by, "_s", *[F.coalesce(F.sum(f"_t_{c}").over(wp), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    out = _attach(sliced, per, [*by, "_s"])
+    return out.select(
+        *rows.columns, *[(F.col(f"_in_{c}") + F.col(f"_o_{c}")).alias(f"_before_{c}") for c in cols]
+    )
+
+
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], by, [name])
 
