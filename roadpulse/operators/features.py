@@ -67,15 +67,22 @@ def grid_cluster(lat: str = "latitude", lon: str = "longitude", cell_deg: float
     ).cast("int")
 
 
-def add_spatial_features(df: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+def add_spatial_features(df: DataFrame, clusters: tuple | None = None) -> DataFrame:
     """SC5 distance, spatial cluster (+ density, WN6) and junction flag.
 
-    `clusters` is (incident_id, spatial_cluster) from `spatial.spatial_clusters`
-    (MLlib KMeans); without it a deterministic grid cell is used.
+    `clusters` is (KMeansModel, median fill) from `spatial.fit_clusters`; the
+    label is an inline nearest-centre expression. Without it a deterministic
+    grid cell is used.
     """
     d = df.withColumn("dist_from_center_km", haversine_km("latitude", "longitude"))
     if clusters is not None:
-        d = d.join(clusters, "incident_id", "left")
+        from .spatial import nearest_centre
+
+        model, fill = clusters
+        lat = F.coalesce(F.col("latitude"), F.lit(fill.get("latitude")))
+        lon = F.coalesce(F.col("longitude"), F.lit(fill.get("longitude")))
+        d = d.withColumn("_lat", lat).withColumn("_lon", lon)
+        d = d.withColumn("spatial_cluster", nearest_centre(model, "_lat", "_lon").cast("int")).drop("_lat", "_lon")
     else:
         d = d.withColumn("spatial_cluster", F.coalesce(grid_cluster(), F.lit(-1)))
     d = history.group_count(d, ["spatial_cluster"], "cluster_density")
@@ -238,7 +245,7 @@ NULLABLE_FEATURES = [
 
 def build_features(
     df: DataFrame,
-    clusters: DataFrame | None = None,
+    clusters: tuple | None = None,
     encodings: Encodings | None = None,
     leaky: bool = True,
 ) -> tuple[DataFrame, Encodings]:

@@ -49,9 +49,14 @@ def trailing_counts(
     widths_us: dict[str, int],
     bucket_us: int = DEFAULT_BUCKET_US,
     key: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """WN1: for each timed row, rows of its group with timestamp in (t - w, t].
 
+    With `weight`, each row counts with that weight (0 makes a row a pure
+    probe: it gets counts of the other rows without being counted — the
+    scoring-time lookup of history counts at request times).
+
     Each timed row emits +1 at t (carrying the row itself) and -1 at t + w
     per width, all from ONE scan (`explode`); the count at t is the running
     sum of all events with time <= t (RANGE frame: every peer at t is
@@ -68,12 +73,14 @@ def trailing_counts(
         F.floor(F.col(key).cast("double") / _NULL_BUCKET_ROWS).cast("long") if key else F.lit(0).cast("long")
     )
 
+    wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+
     def ev(at, with_row, deltas, b):
         return F.struct(
             at.alias("_t"),
             (row if with_row else F.lit(None).cast(row_type)).alias("_row"),
             b.alias("_b"),
-            *[F.lit(x).alias(n) for x, n in zip(deltas, names)],
+            *[(F.lit(x).cast("long") * wt).alias(n) for x, n in zip(deltas, names)],
         )
 
     row_type = df.select(row.alias("r")).schema["r"].dataType

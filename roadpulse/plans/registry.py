@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_eval, catalog_features, oracle, oracle_dash, oracle_eval, oracle_features  # noqa: F401
+from . import catalog, catalog_eval, catalog_features, catalog_ml, oracle, oracle_dash, oracle_eval, oracle_features  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = oracle.ORACLE
