@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_eval, catalog_features, catalog_ml, oracle, oracle_dash, oracle_eval, oracle_features  # noqa: F401
+from . import (  # noqa: F401
+    catalog,
+    catalog_eval,
+    catalog_features,
+    catalog_ml,
+    catalog_streams,
+    oracle,
+    oracle_dash,
+    oracle_eval,
+    oracle_features,
+    oracle_streams,
+)
 
 QUERIES = catalog.QUERIES
 ORACLE = oracle.ORACLE
