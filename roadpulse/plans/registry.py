@@ -6,12 +6,14 @@ from . import (  # noqa: F401
     catalog,
     catalog_eval,
     catalog_features,
+    catalog_io,
     catalog_ml,
     catalog_streams,
     oracle,
     oracle_dash,
     oracle_eval,
     oracle_features,
+    oracle_io,
     oracle_streams,
 )
 
