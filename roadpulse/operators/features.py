@@ -17,7 +17,7 @@ from ..functions import constants as K
 from ..functions.exprs import cyc_cos, cyc_sin, flag, haversine_km
 from ..session import materialize
 from . import history
-from .stats import dense_index, scalar_quantiles
+from .stats import bounded_domain_quantile, dense_index_multi, scalar_quantiles
 
 
 # ------------------------------------------------------------------ time (SC1–SC4)
@@ -107,11 +107,11 @@ def _filled(c: str) -> F.Column:
 
 def fit_label_encoders(df: DataFrame, columns: Sequence[str] = K.LABEL_ENCODED) -> dict[str, DataFrame]:
     """EN1: alphabetical codes from 0 of each column (null -> "Unknown")."""
-    out = {}
-    for c in columns:
-        src = df.select(_filled(c).alias("value")) if c in df.columns else df.sparkSession.range(1).select(F.lit("Unknown").alias("value"))
-        out[c] = dense_index(src, "value", f"{c}_enc")
-    return out
+    cols = list(columns)
+    src = df.select(*[(_filled(c) if c in df.columns else F.lit("Unknown")).alias(c) for c in cols])
+    # all dictionaries in one pass, written once (small: distinct labels)
+    dims = materialize(dense_index_multi(src, cols))
+    return {c: dims.where(F.col("column") == c).select("value", F.col("idx").alias(f"{c}_enc")) for c in cols}
 
 
 def apply_label_encoders(df: DataFrame, dims: dict[str, DataFrame], unseen: int = 0) -> DataFrame:
@@ -201,7 +201,8 @@ def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident
     stays linear in the number of features.
     """
     base = df
-    med = scalar_quantiles(base, {"congestion_severity": [0.5]})[("congestion_severity", 0.5)] if "congestion_severity" in base.columns else None
+    # severity is a class label (domain 0..3): a bounded-domain exact median
+    med = bounded_domain_quantile(base, "congestion_severity", 0.5) if "congestion_severity" in base.columns else None
     d = history.trailing_counts(base, ["zone"], "start_datetime", WINDOWS_US, key=key)
     d = history.fill_untimed_with_group_mean(d, ["zone"], "start_datetime", list(WINDOWS_US))
     if "congestion_severity" in d.columns:

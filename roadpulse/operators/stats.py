@@ -163,6 +163,44 @@ def prefix_sums_before(
     )
 
 
+def bounded_domain_quantile(df: DataFrame, column: str, p: float) -> float | None:
+    """Exact quantile of a column whose value domain is a small fixed set
+    (class labels 0..4): Spark's `percentile` keeps one counter per distinct
+    value, combined map-side, so its state is bounded by the domain size."""
+    return df.agg(F.percentile(F.col(column).cast("double"), p).alias("q")).first()["q"]
+
+
+def dense_index_multi(df: DataFrame, columns: Sequence[str], sample_rows: int = 20_000, slices: int = DEFAULT_SLICES) -> DataFrame:
+    """`dense_index` for several columns in one pass: (column, value, idx).
+
+    Values are unpivoted to (column, value); order-preserving slice cut points
+    per column come from one bounded sample (at most `sample_rows` pairs reach
+    the driver); rows are numbered inside (column, slice) and shifted by the
+    sizes of the column's earlier slices.
+    """
+    cols = list(columns)
+    long = df.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_kv")
+    ).select("_kv.column", "_kv.value").where(F.col("value").isNotNull()).distinct()
+    sample = long.limit(sample_rows).collect()
+    cuts: dict[str, list[str]] = {}
+    for c in cols:
+        vals = sorted({r["value"] for r in sample if r["column"] == c})
+        step = max(1, len(vals) // slices)
+        cuts[c] = sorted(set(vals[step::step]))
+    sl = F.lit(0)
+    for c in cols:
+        if cuts[c]:
+            arr = F.array(*[F.lit(x) for x in cuts[c]])
+            sl = F.when(F.col("column") == c, F.size(F.filter(arr, lambda b: b < F.col("value")))).otherwise(sl)
+    d = long.withColumn("_s", sl)
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy("column", "_s").orderBy("value")) - 1)
+    sizes = d.groupBy("column", "_s").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("column").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("column", "_s", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    return d.join(sizes, ["column", "_s"]).select("column", "value", (F.col("_off") + F.col("_rn")).cast("int").alias("idx"))
+
+
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], by, [name])
 
