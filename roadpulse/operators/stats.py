@@ -72,10 +72,56 @@ def weighted_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     slices: int = DEFAULT_SLICES,
+    inline_limit: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles from pre-aggregated rows (by..., _v double, _n count)."""
+    """Exact quantiles from pre-aggregated rows (by..., _v double, _n count).
+
+    A size check (one small aggregate: the largest number of distinct values
+    in any group) picks the plan: up to `inline_limit` distinct values per
+    group, each group's sorted (value, count) array is scanned in a single
+    aggregation; beyond it, the sliced plan keeps every task bounded.
+    """
     by = list(by)
     names = list(names) if names else [_qname(p) for p in probs]
+    limit = INLINE_LIMIT if inline_limit is None else inline_limit
+    if limit > 0:
+        widest = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+        if widest is None or widest <= limit:
+            return _inline_quantiles(counts, probs, by, names)
+    return _sliced_quantiles(counts, probs, by, names, slices)
+
+
+INLINE_LIMIT = 200_000
+
+
+def _inline_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str], names: list[str]) -> DataFrame:
+    """Exact quantiles by one pass over each group's sorted (value, count) array."""
+    g = counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col("_v"), F.col("_n").cast("long").alias("_n")))).alias("_a"), F.sum("_n").alias("_tot"))
+    outs = []
+    for p, n in zip(probs, names):
+        k = (F.col("_tot") - 1) * F.lit(float(p))
+        k_lo, k_hi = F.floor(k), F.ceil(k)
+        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+
+        def make_step(k_lo, k_hi):
+            def step(acc, e):
+                nxt = acc["cum"] + e["_n"]
+                return F.struct(
+                    nxt.alias("cum"),
+                    F.when((acc["cum"] <= k_lo) & (k_lo < nxt), e["_v"]).otherwise(acc["lo"]).alias("lo"),
+                    F.when((acc["cum"] <= k_hi) & (k_hi < nxt), e["_v"]).otherwise(acc["hi"]).alias("hi"),
+                )
+
+            return step
+
+        r = F.aggregate(F.col("_a"), init, make_step(k_lo, k_hi))
+        fr = k - k_lo
+        outs.append(F.when(fr == 0, r["lo"]).otherwise(r["lo"] + (r["hi"] - r["lo"]) * fr).alias(n))
+    return g.select(*by, *outs)
+
+
+def _sliced_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str], names: list[str], slices: int) -> DataFrame:
+    """Exact quantiles with order-preserving value slices (no group in one task)."""
     # order-preserving slice id per (group, value) from sketch boundaries
     fracs = [i / slices for i in range(1, slices)]
     bounds = counts.groupBy(*by).agg(F.percentile_approx("_v", fracs, SKETCH_ACCURACY).alias("_b"))

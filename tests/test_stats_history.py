@@ -93,3 +93,17 @@ def test_prefix_sums_before(spark):
     df = spark.createDataFrame(rows, "g string, v double, n long")
     got = {(r.g, r.v): r._before_n for r in stats.prefix_sums_before(df, ["g"], "v", ["n"], slices=7).collect()}
     assert got[("g", 0.0)] == 0 and got[("g", 50.0)] == 50 and got[("h", 5.0)] == 0
+
+
+def test_sliced_and_inline_quantiles_agree(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), float(rng.randint(0, 500)) if rng.random() > 0.1 else rng.random()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    counts = df.groupBy("g", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    probs = [0.0, 0.3, 0.5, 0.99, 1.0]
+    names = [f"p{i}" for i in range(len(probs))]
+    a = sorted(stats.weighted_quantiles(counts, probs, ["g"], names, inline_limit=0).collect(), key=lambda r: str(r.g))
+    b = sorted(stats.weighted_quantiles(counts, probs, ["g"], names, inline_limit=10**6).collect(), key=lambda r: str(r.g))
+    for x, y in zip(a, b):
+        for n in names:
+            assert abs(x[n] - y[n]) < 1e-9
