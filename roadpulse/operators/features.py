@@ -110,7 +110,7 @@ def fit_label_encoders(df: DataFrame, columns: Sequence[str] = K.LABEL_ENCODED)
     cols = list(columns)
     src = df.select(*[(_filled(c) if c in df.columns else F.lit("Unknown")).alias(c) for c in cols])
     # all dictionaries in one pass, written once (small: distinct labels)
-    dims = materialize(dense_index_multi(src, cols))
+    dims = materialize(dense_index_multi(src, cols), "label-dims")
     return {c: dims.where(F.col("column") == c).select("value", F.col("idx").alias(f"{c}_enc")) for c in cols}
 
 
@@ -265,7 +265,7 @@ def build_features(
     tgts = [c for c in K.TARGET_COLUMNS if c in d.columns]
     # stage output is written once (shared checkpoint folder): the median pass
     # and every consumer read it instead of recomputing the feature plan
-    out = materialize(d.select("incident_id", *feats, *tgts))
+    out = materialize(d.select("incident_id", *feats, *tgts), "features")
     fill = [c for c in NULLABLE_FEATURES if c in feats]
     med = scalar_quantiles(out, {c: [0.5] for c in fill})
     for c in fill:

@@ -55,11 +55,11 @@ def impute_duration(df: DataFrame) -> DataFrame:
     once per null duration of its group.
     """
     keys = ["event_cause", "priority"]
-    vc = materialize(df.groupBy(*keys, F.col("duration_min").cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    vc = materialize(df.groupBy(*keys, F.col("duration_min").cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "duration-counts")
     keyed = F.col("event_cause").isNotNull() & F.col("priority").isNotNull()
     # one row per (cause, priority) group, written once: used for the global
     # median below and joined to the rows (AQE broadcasts it when small)
-    grp = materialize(weighted_quantiles(vc.where(keyed & F.col("_v").isNotNull()), [0.5], by=keys, names=["_grp_med"]))
+    grp = materialize(weighted_quantiles(vc.where(keyed & F.col("_v").isNotNull()), [0.5], by=keys, names=["_grp_med"]), "group-medians")
     holes = vc.where(keyed & F.col("_v").isNull()).select(*keys, "_n")
     filled = holes.join(grp, keys).select(F.col("_grp_med").alias("_v"), "_n")
     known = vc.where(F.col("_v").isNotNull()).select("_v", "_n")

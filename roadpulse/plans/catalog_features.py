@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import features, history
-from ..session import materialize
+from ..session import stage
 from ..sources import bind
 from .catalog import _inc, register
 
@@ -20,10 +20,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def feature_table(spark, sf: str, leaky: bool = True) -> DataFrame:
-    """Cleaned incidents (written once) -> EN5 feature table with grid clusters."""
-    inc = materialize(_inc(spark, sf))
-    feats, _ = features.build_features(inc, clusters=None, leaky=leaky)
-    return feats
+    """Cleaned incidents -> EN5 feature table with grid clusters (written
+    once per session and input snapshot: the reference's feature parquet)."""
+    return stage(
+        spark, f"features-grid-leaky{int(leaky)}", bind.source_paths(sf),
+        lambda: features.build_features(_inc(spark, sf), clusters=None, leaky=leaky)[0],
+    )
 
 
 @register("time_features")

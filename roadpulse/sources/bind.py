@@ -32,8 +32,20 @@ CAUSE_CYCLE = list(K.CAUSE_SEVERITY.keys())
 _EXTRA_STRING_COLUMNS = ["veh_type", "veh_no", "reason_breakdown", "kgid", "authenticated", "junction"]
 
 
+# driver tables each binding reads (stage outputs are keyed on their files)
+INCIDENT_SOURCES = ("orders", "lineitem", "customer", "nation")
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def source_paths(sf_dir: str, names=INCIDENT_SOURCES) -> list[str]:
+    return [table_path(sf_dir, n) for n in names]
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
