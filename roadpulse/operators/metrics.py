@@ -78,9 +78,8 @@ def roc_auc(scored: DataFrame, keys: Sequence[str] = ("target", "model")) -> Dat
     negative counts and the negatives strictly below each score.
     """
     keys = list(keys)
-    ncls = scored.groupBy(*keys).agg(F.size(F.first("probability")).alias("_nc"))
-    d = scored.join(ncls, keys)
-    ex = d.select(*keys, "label", "_nc", F.posexplode("probability").alias("cls", "p"))
+    # each row's probability array has one entry per class of its target
+    ex = scored.select(*keys, "label", F.size("probability").alias("_nc"), F.posexplode("probability").alias("cls", "p"))
     # binary: only the positive-class column; multiclass: every class column
     ex = ex.where((F.col("_nc") > 2) | (F.col("cls") == 1))
     pos = (F.col("label") == F.col("cls")).cast("long")
@@ -141,7 +140,9 @@ def soft_vote(scored: DataFrame, members: Sequence[str] | None = None, key: str
     """ML5: average member probability vectors per (key, target), arg-max
     (ties -> lowest class). Averages are rounded to `digits` before arg-max."""
     d = scored if members is None else scored.where(F.col("model").isin(*members))
-    ex = d.select(key, "target", F.posexplode("probability").alias("cls", "p"))
+    # one exchange on (key, target) serves both aggregates below (their
+    # grouping keys contain it), and it moves the rows before the explode
+    ex = d.repartition(key, "target").select(key, "target", F.posexplode("probability").alias("cls", "p"))
     avg = ex.groupBy(key, "target", "cls").agg(F.round(F.avg("p"), digits).alias("p"))
     best = avg.groupBy(key, "target").agg(F.max(F.struct(F.col("p"), (-F.col("cls")).alias("neg_cls"))).alias("_m"))
     return best.select(key, "target", (-F.col("_m.neg_cls")).cast("int").alias("prediction"), F.col("_m.p").alias("confidence"))

@@ -183,16 +183,25 @@ def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]]) -> dict[tu
 
 
 def prefix_sums_before(
-    rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], slices: int = DEFAULT_SLICES
+    rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], slices: int = DEFAULT_SLICES,
+    inline_limit: int | None = None,
 ) -> DataFrame:
     """For rows with unique (by, order): sums of `columns` over the group's
     rows with a strictly smaller `order` value (`_before_<col>`).
 
-    Same slice-and-offset scheme as `weighted_quantiles`: no group is ever
-    held by one task beyond one value slice.
+    A size check (the largest group's row count) picks the plan: groups of
+    at most `inline_limit` rows take one running-sum window; beyond it the
+    slice-and-offset scheme of `weighted_quantiles` keeps every task bounded
+    to one value slice of a group.
     """
     by = list(by)
     cols = list(columns)
+    limit = INLINE_LIMIT if inline_limit is None else inline_limit
+    if limit > 0:
+        widest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+        if widest is None or widest <= limit:
+            w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+            return rows.select(*rows.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_before_{c}") for c in cols])
     fracs = [i / slices for i in range(1, slices)]
     bounds = rows.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), fracs, SKETCH_ACCURACY).alias("_b"))
     sliced = _attach(rows, bounds, by).withColumn(

@@ -41,7 +41,24 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer splits than the session has cores.
+
+    A file written as one row group is one split, so every derivation over it
+    would run in a single task. Such an input is small by construction, and
+    one round-robin exchange of it lets all cores share the work. Inputs with
+    enough splits (any large table) are returned unchanged; filters and column
+    pruning still reach the scan through the repartition.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect: no RDD view; leave as is
+        return df
+    return df.repartition(cores) if n < cores else df
 
 
 def source_paths(sf_dir: str, names=INCIDENT_SOURCES) -> list[str]:
@@ -153,23 +170,24 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     splits the rest evenly.
     """
     e = table(spark, sf_dir, "events")
-    k = _k()
     eid = F.col("event_id")
     score = ((eid * 7919) % 1000).cast("double") / F.lit(1000.0)
-    base = e.select(eid.alias("incident_id"), k.alias("_k"), score.alias("score"))
-    out = None
-    for model, m in MODEL_VARIANTS.items():
-        ok = (F.col("incident_id") % m) < (m - 2)
-        sev_label = F.least(F.lit(3), F.floor(F.col("_k") / 25)).cast("int")
-        div_label = (F.col("_k") >= 50).cast("int")
-        for target, label, n_cls in (("congestion_severity", sev_label, 4), ("diversion_req", div_label, 2)):
-            pred = F.when(ok, label).otherwise((label + 1) % n_cls).cast("int")
-            top = F.lit(0.4) + F.lit(0.6) * F.col("score")
-            rest = (F.lit(1.0) - top) / F.lit(float(n_cls - 1))
-            prob = F.array(*[F.when(pred == i, top).otherwise(rest) for i in range(n_cls)])
-            part = base.select(
-                "incident_id", F.lit(target).alias("target"), F.lit(model).alias("model"),
-                label.alias("label"), pred.alias("prediction"), "score", prob.alias("probability"),
-            )
-            out = part if out is None else out.unionByName(part)
-    return out
+    # one scan; each event yields its six (model, target) rows by exploding
+    # constant descriptors, so every expression below is written once
+    variants = F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(m).alias("m"), F.lit(target).alias("target"), F.lit(n_cls).alias("n_cls"))
+        for model, m in MODEL_VARIANTS.items()
+        for target, n_cls in (("congestion_severity", 4), ("diversion_req", 2))
+    ])
+    x = e.select(eid.alias("incident_id"), _k().alias("_k"), score.alias("score"), F.explode(variants).alias("_v"))
+    label = F.when(F.col("_v.n_cls") == 4, F.least(F.lit(3), F.floor(F.col("_k") / 25))).otherwise((F.col("_k") >= 50).cast("long"))
+    x = x.select("*", label.cast("int").alias("label"))
+    ok = (F.col("incident_id") % F.col("_v.m")) < (F.col("_v.m") - 2)
+    x = x.select("*", F.when(ok, F.col("label")).otherwise((F.col("label") + 1) % F.col("_v.n_cls")).cast("int").alias("prediction"))
+    top = F.lit(0.4) + F.lit(0.6) * F.col("score")
+    rest = (F.lit(1.0) - top) / (F.col("_v.n_cls") - 1).cast("double")
+    prob = F.transform(F.sequence(F.lit(0), F.col("_v.n_cls") - 1), lambda i: F.when(i == F.col("prediction"), top).otherwise(rest))
+    return x.select(
+        "incident_id", F.col("_v.target").alias("target"), F.col("_v.model").alias("model"),
+        "label", "prediction", "score", prob.alias("probability"),
+    )
