@@ -120,36 +120,50 @@ def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """AG11: Pearson r for every pair (a, b) with a before b in `columns`.
 
-    Constant (or all-null) columns give null instead of failing (Q16): their
-    population std is tested in the same aggregate and the pair's corr is
-    only evaluated when both are non-constant.
+    Rows are unpivoted to one (id, x, y) entry per pair (pairwise-complete:
+    x and y masked unless both are present) plus one (id, x, x) entry per
+    column, and one grouped aggregate computes the co-moments of all of
+    them (a handful of aggregate functions, partial aggregation map-side).
+    Constant (or all-null) columns give null instead of failing (Q16).
     """
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    sd = [F.stddev_pop(c).alias(f"_sd{i}") for i, c in enumerate(cols)]
-    agg = df.agg(*sd, *[_safe_corr(a, b).alias(f"_r{j}") for j, (a, b) in enumerate(pairs)]) if pairs else None
-    if agg is None:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    spark = df.sparkSession
+    if not pairs:
+        return spark.createDataFrame([], "col_a string, col_b string, corr double")
+    npairs = len(pairs)
+    items = []
+    for j, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        items.append(F.struct(F.lit(j).alias("id"), F.when(both, x).alias("x"), F.when(both, y).alias("y")))
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        items.append(F.struct(F.lit(npairs + i).alias("id"), x.alias("x"), x.alias("y")))
+    long = df.select(F.explode(F.array(*items)).alias("_e")).select("_e.id", "_e.x", "_e.y")
+    g = long.groupBy("id").agg(
+        F.count("x").alias("n"), F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy")
+    )
+    r = F.try_divide(F.col("c"), F.sqrt(F.col("vx")) * F.sqrt(F.col("vy"))) * F.when(F.col("n") > 1, F.lit(1.0))
+    # column standard deviations: one row per column (bounded by the column list)
+    sd = g.where(F.col("id") >= npairs).select((F.col("id") - npairs).alias("_ci"), F.sqrt("vx").alias("_sd"))
+    names_a = F.array(*[F.lit(a) for a, _ in pairs])
+    names_b = F.array(*[F.lit(b) for _, b in pairs])
     idx = {c: i for i, c in enumerate(cols)}
-    rows = [
-        F.struct(
-            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-            F.when((F.col(f"_sd{idx[a]}") > 0) & (F.col(f"_sd{idx[b]}") > 0), F.col(f"_r{j}")).alias("corr"),
-        )
-        for j, (a, b) in enumerate(pairs)
-    ]
-    return agg.select(F.explode(F.array(*rows)).alias("_p")).select("_p.col_a", "_p.col_b", "_p.corr")
-
-
-def _safe_corr(a: str, b: str) -> F.Column:
-    """Pearson r from co-moments with a guarded division (null when undefined)."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    xx = F.when(both, x)
-    yy = F.when(both, y)
-    n = F.count(xx)
-    cov = F.covar_pop(xx, yy)
-    return F.try_divide(cov, F.sqrt(F.var_pop(xx)) * F.sqrt(F.var_pop(yy))) * F.when(n > 1, F.lit(1.0))
+    ia = F.array(*[F.lit(idx[a]) for a, _ in pairs])
+    ib = F.array(*[F.lit(idx[b]) for _, b in pairs])
+    ids = spark.range(npairs).select(F.col("id").cast("int").alias("id"))
+    pr = ids.join(g.where(F.col("id") < npairs).select("id", r.alias("r")), "id", "left").select(
+        "id", F.element_at(ia, F.col("id") + 1).alias("_ia"), F.element_at(ib, F.col("id") + 1).alias("_ib"), "r"
+    )
+    sa = F.broadcast(sd.select(F.col("_ci").alias("_ia"), F.col("_sd").alias("_sda")))
+    sb = F.broadcast(sd.select(F.col("_ci").alias("_ib"), F.col("_sd").alias("_sdb")))
+    out = pr.join(sa, "_ia", "left").join(sb, "_ib", "left")
+    return out.select(
+        F.element_at(names_a, F.col("id") + 1).alias("col_a"),
+        F.element_at(names_b, F.col("id") + 1).alias("col_b"),
+        F.when((F.col("_sda") > 0) & (F.col("_sdb") > 0), F.col("r")).alias("corr"),
+    )
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
