@@ -192,19 +192,28 @@ WINDOWS_US = {
 }
 
 
-def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident_id") -> DataFrame:
+HISTORY_INPUTS = ["zone", "start_datetime", "congestion_severity", "duration_min", "event_cause", "police_station"]
+
+
+def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident_id", source: DataFrame | None = None) -> DataFrame:
     """WN1–WN5 (leaky=True, the original definitions) or WN8 variants.
 
     leaky=False replaces the whole-group means (which include the row's own
-    label) with means over strictly earlier rows. Group statistics are all
-    computed from the input frame and joined onto one row flow, so the plan
-    stays linear in the number of features.
+    label) with means over strictly earlier rows.
+
+    The history columns are computed on a narrow projection (key + the six
+    inputs) of `source` (default: `df`; callers pass the cleaned table so the
+    projection reads a few parquet columns) and joined back to the wide rows
+    once on the key: the windows shuffle narrow rows, and the wide row table
+    is exchanged a single time.
     """
-    base = df
+    src = df if source is None else source
+    base = src.select(key, *[c for c in HISTORY_INPUTS if c in src.columns])
     # severity is a class label (domain 0..3): a bounded-domain exact median
     med = bounded_domain_quantile(base, "congestion_severity", 0.5) if "congestion_severity" in base.columns else None
     d = history.trailing_counts(base, ["zone"], "start_datetime", WINDOWS_US, key=key)
     d = history.fill_untimed_with_group_mean(d, ["zone"], "start_datetime", list(WINDOWS_US))
+    new = list(WINDOWS_US)
     if "congestion_severity" in d.columns:
         d = history.previous_value(d, ["zone"], "start_datetime", key, "congestion_severity", "prev_severity_zone")
         d = d.withColumn("prev_severity_zone", F.coalesce(F.col("prev_severity_zone").cast("double"), F.lit(med).cast("double")))
@@ -212,6 +221,7 @@ def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident
             d = history.group_mean(d, ["zone"], "congestion_severity", "zone_mean_severity", source=base)
         else:
             d = history.prior_mean(d, ["zone"], "start_datetime", key, "congestion_severity", "zone_mean_severity")
+        new += ["prev_severity_zone", "zone_mean_severity"]
     if "duration_min" in d.columns:
         if leaky:
             d = history.group_mean(d, ["event_cause", "zone"], "duration_min", "cause_zone_avg_dur", source=base)
@@ -219,7 +229,9 @@ def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident
         else:
             d = history.prior_mean(d.withColumn("_cz", F.concat_ws("\u0001", "event_cause", "zone")), ["_cz"], "start_datetime", key, "duration_min", "cause_zone_avg_dur").drop("_cz")
             d = history.prior_mean(d, ["police_station"], "start_datetime", key, "duration_min", "station_avg_dur")
-    return d
+        new += ["cause_zone_avg_dur", "station_avg_dur"]
+    hist = d.select(key, *new)
+    return df.drop(*[c for c in new if c in df.columns]).join(hist, key, "left")
 
 
 # ------------------------------------------------------------------ interactions (SC11)
@@ -259,7 +271,7 @@ def build_features(
     d = add_time_features(df)
     d = add_spatial_features(d, clusters)
     d = apply_encodings(d, enc)
-    d = add_history_features(d, leaky=leaky)
+    d = add_history_features(d, leaky=leaky, source=df)
     d = add_interactions(d)
     feats = [c for c in K.FEATURE_COLUMNS if c in d.columns]
     tgts = [c for c in K.TARGET_COLUMNS if c in d.columns]
