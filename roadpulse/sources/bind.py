@@ -41,24 +41,39 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(table_path(sf_dir, name)))
+    path = table_path(sf_dir, name)
+    return spread(spark.read.parquet(path), path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+# inputs below this size are left alone: spreading them costs more than it saves
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, path: str | None = None) -> DataFrame:
     """Spread an input that has fewer splits than the session has cores.
 
     A file written as one row group is one split, so every derivation over it
-    would run in a single task. Such an input is small by construction, and
-    one round-robin exchange of it lets all cores share the work. Inputs with
-    enough splits (any large table) are returned unchanged; filters and column
-    pruning still reach the scan through the repartition.
+    would run in a single task. Such an input (at least `SPREAD_MIN_BYTES`,
+    so tiny dimensions are skipped) gets one round-robin exchange so all cores
+    share the work. Inputs with enough splits (any large table) are returned
+    unchanged; filters and column pruning still reach the scan through the
+    repartition.
     """
+    from ..session import input_snapshot
+
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no RDD view; leave as is
         return df
-    return df.repartition(cores) if n < cores else df
+    if n >= cores:
+        return df
+    if path is not None:
+        files = input_snapshot(df.sparkSession, [path])
+        size = sum(f[1] for f in files if len(f) > 1)
+        if size < SPREAD_MIN_BYTES:
+            return df
+    return df.repartition(cores)
 
 
 def source_paths(sf_dir: str, names=INCIDENT_SOURCES) -> list[str]:
