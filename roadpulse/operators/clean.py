@@ -82,10 +82,23 @@ def fill_constants(df: DataFrame, fills: Mapping[str, str] = K.CATEGORICAL_FILLS
     return df.fillna(present) if present else df
 
 
-def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """PF7/PF8: fill nulls of each present column with its exact median
-    (all medians in one distributed pass)."""
+def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns (of those present) holding at least one null: one
+    map-side aggregate of null counts, a handful of scalars back."""
     cols = [c for c in columns if c in df.columns]
+    if not cols:
+        return []
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if row[f"_n{i}"]]
+
+
+def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """PF7/PF8: fill nulls of each present column with its exact median.
+
+    Only columns that hold nulls need a median; those share one distributed
+    quantile pass (a null-free column is left as it is, which is what a fill
+    would give)."""
+    cols = columns_with_nulls(df, columns)
     if not cols:
         return df
     med = scalar_quantiles(df, {c: [0.5] for c in cols})

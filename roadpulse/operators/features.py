@@ -17,7 +17,8 @@ from ..functions import constants as K
 from ..functions.exprs import cyc_cos, cyc_sin, flag, haversine_km
 from ..session import materialize
 from . import history
-from .stats import bounded_domain_quantile, dense_index_multi, scalar_quantiles
+from .clean import fill_medians
+from .stats import bounded_domain_quantile, dense_index_multi
 
 
 # ------------------------------------------------------------------ time (SC1–SC4)
@@ -278,10 +279,6 @@ def build_features(
     # stage output is written once (shared checkpoint folder): the median pass
     # and every consumer read it instead of recomputing the feature plan
     out = materialize(d.select("incident_id", *feats, *tgts), "features")
-    fill = [c for c in NULLABLE_FEATURES if c in feats]
-    med = scalar_quantiles(out, {c: [0.5] for c in fill})
-    for c in fill:
-        m = med[(c, 0.5)]
-        if m is not None:
-            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(float(m))))
+    # PF8: exact median fill, one quantile pass over the columns holding nulls
+    out = fill_medians(out, [c for c in NULLABLE_FEATURES if c in feats])
     return out, enc
