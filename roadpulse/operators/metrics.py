@@ -32,28 +32,31 @@ def classification_metrics(scored: DataFrame, keys: Sequence[str] = ("target", "
     """
     keys = list(keys)
     cc = confusion_counts(scored, keys)
-    tot = cc.groupBy(*keys).agg(F.sum("n").alias("N"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"))
-    sup = cc.groupBy(*keys, F.col("label").alias("k")).agg(F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"))
-    prd = cc.groupBy(*keys, F.col("prediction").alias("k")).agg(F.sum("n").alias("predicted"))
-    per = sup.join(prd, [*keys, "k"], "full").fillna(0, ["support", "tp", "predicted"])
+    # each confusion cell counts once for its label class (support, hits) and
+    # once for its predicted class: one grouped aggregate, no joins
+    hit = F.col("label") == F.col("prediction")
+    zero = F.lit(0).cast("long")
+    ent = cc.select(*keys, F.explode(F.array(
+        F.struct(F.col("label").alias("k"), F.col("n").alias("sup"), F.when(hit, F.col("n")).otherwise(zero).alias("tp"), zero.alias("prd")),
+        F.struct(F.col("prediction").alias("k"), zero.alias("sup"), zero.alias("tp"), F.col("n").alias("prd")),
+    )).alias("_e")).select(*keys, "_e.*")
+    per = ent.groupBy(*keys, "k").agg(F.sum("sup").alias("support"), F.sum("tp").alias("tp"), F.sum("prd").alias("predicted"))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     pre = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
-    per = per.select(*keys, "k", "support", "predicted", rec.alias("rec"), pre.alias("pre"))
+    per = per.select(*keys, "k", "support", "tp", "predicted", rec.alias("rec"), pre.alias("pre"))
     per = per.withColumn("f1", F.when(F.col("rec") + F.col("pre") > 0, 2 * F.col("rec") * F.col("pre") / (F.col("rec") + F.col("pre"))).otherwise(0.0))
-    classes = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_classes"))
-    per = per.join(classes, keys).join(tot, keys)
-    binary = F.col("n_classes") == 2
+    pos = F.col("k") == 1
     agg = per.groupBy(*keys).agg(
-        F.first("N").alias("N"),
-        F.first("hits").alias("hits"),
-        F.first("n_classes").alias("n_classes"),
+        F.sum("support").alias("N"),
+        F.sum("tp").alias("hits"),
+        F.count(F.lit(1)).alias("n_classes"),
         F.avg(F.when(F.col("support") > 0, F.col("rec"))).alias("balanced_accuracy"),
         F.sum(F.col("support") * F.col("rec")).alias("w_rec"),
         F.sum(F.col("support") * F.col("pre")).alias("w_pre"),
         F.sum(F.col("support") * F.col("f1")).alias("w_f1"),
-        F.max(F.when(binary & (F.col("k") == 1), F.col("rec"))).alias("b_rec"),
-        F.max(F.when(binary & (F.col("k") == 1), F.col("pre"))).alias("b_pre"),
-        F.max(F.when(binary & (F.col("k") == 1), F.col("f1"))).alias("b_f1"),
+        F.max(F.when(pos, F.col("rec"))).alias("b_rec"),
+        F.max(F.when(pos, F.col("pre"))).alias("b_pre"),
+        F.max(F.when(pos, F.col("f1"))).alias("b_f1"),
         F.sum(F.col("support") * F.col("predicted")).alias("pe_num"),
     )
     n = F.col("N").cast("double")

@@ -109,7 +109,11 @@ def q_zone_history_asof(spark, sf):
 
 # ---------------------------------------------------------------- evaluation tables
 def _scored(spark, sf) -> DataFrame:
-    return bind.scored(spark, sf)
+    """B4 scored rows, written once per session and input snapshot (the
+    prediction log every evaluation table reads)."""
+    from ..session import materialize, stage
+
+    return stage(spark, "scored", bind.source_paths(sf, ("events",)), lambda: materialize(bind.scored(spark, sf), "scored"))
 
 
 @register("classification_metrics")
