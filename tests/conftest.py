@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,11 +13,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from roadpulse.session import local_session
+    from roadpulse.session import checkpoint_dir, local_session
 
     s = local_session(cpus="*", shuffle_partitions=8, app="roadpulse-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rp-test-ckpt-", dir="/tmp"))
+    # the configured spark.checkpoint.dir when set; a scratch folder otherwise
+    checkpoint_dir(s)
     yield s
 
 
