@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stage
 from ..sources import bind
 from ..streaming import streams as S
 from .catalog import register, ts_strings
@@ -19,21 +19,26 @@ from .catalog_features import rounded
 FLUSH_DAYS = 100
 
 
-def _flush_marker(spark, sf: str) -> str:
+def _flush_marker(spark, sf: str) -> tuple[str, object]:
     """One control row far past the data (max event time + 100 days) that
     advances the watermark so every pending window / join row is emitted.
-    Derived from the data; its id (-1) never matches and is filtered out."""
-    mx = bind.table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
-    path = os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
-    schema = bind.table(spark, sf, "events").schema
-    row = spark.createDataFrame([(-1, mx, 0, "flush", 0.0, '{"k": 0}')], schema) if mx is not None else spark.createDataFrame([], schema)
-    row.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {FLUSH_DAYS} DAYS")).write.parquet(path)
-    return path
+    Derived from the data; its id (-1) never matches and is filtered out.
+    Written once per session and events snapshot; returns (path, max time)."""
+
+    def build():
+        mx = bind.table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
+        path = os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
+        schema = bind.table(spark, sf, "events").schema
+        row = spark.createDataFrame([(-1, mx, 0, "flush", 0.0, '{"k": 0}')], schema) if mx is not None else spark.createDataFrame([], schema)
+        row.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {FLUSH_DAYS} DAYS")).write.parquet(path)
+        return path, mx
+
+    return stage(spark, "flush-marker", bind.source_paths(sf, ("events",)), build)
 
 
 def _events_with_flush(spark, sf: str) -> DataFrame:
     events = S.table_stream(spark, sf, "events")
-    marker = spark.readStream.schema(events.schema).parquet(_flush_marker(spark, sf))
+    marker = spark.readStream.schema(events.schema).parquet(_flush_marker(spark, sf)[0])
     return events.unionByName(marker)
 
 
@@ -100,7 +105,7 @@ def q_stream_drift_daily(spark, sf):
     out = S.rolling_drift(_joined(spark, sf))
     path = S.run_to_table(out, "st4")
     t = spark.read.parquet(path).drop("_batch").where(F.col("window_start") < F.lit("2100-01-01").cast("timestamp"))
-    flush_day = bind.table(spark, sf, "events").agg(F.max("ts")).first()[0]
+    flush_day = _flush_marker(spark, sf)[1]
     t = t.where(F.col("window_start") <= F.lit(flush_day).cast("timestamp"))
     return rounded(ts_strings(t))
 

@@ -124,6 +124,39 @@ def stage(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable
     """
     app = spark.conf.get("spark.app.id", None) or str(id(spark))
     key = (app, name, input_snapshot(spark, inputs))
-    if key not in _STAGES:
+    if key not in _STAGES or not _files_present(spark, _STAGES[key]):
         _STAGES[key] = build()
     return _STAGES[key]
+
+
+def _frames(value: Any):
+    """DataFrames held by a stage output (a frame, containers, dataclasses)."""
+    from pyspark.sql import DataFrame
+
+    if isinstance(value, DataFrame):
+        yield value
+    elif isinstance(value, (tuple, list)):
+        for v in value:
+            yield from _frames(v)
+    elif isinstance(value, dict):
+        for v in value.values():
+            yield from _frames(v)
+    elif hasattr(value, "__dataclass_fields__"):
+        for v in vars(value).values():
+            yield from _frames(v)
+
+
+def _files_present(spark: SparkSession, value: Any) -> bool:
+    """False when a file behind a remembered stage output is gone (the shared
+    folder was cleaned): the stage is then built again."""
+    try:
+        jvm = spark._jvm  # noqa: SLF001 - classic sessions only
+        conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
+        for df in _frames(value):
+            for f in df.inputFiles():
+                hp = jvm.org.apache.hadoop.fs.Path(f)
+                if not hp.getFileSystem(conf).exists(hp):
+                    return False
+    except Exception:  # noqa: BLE001 - cannot check (Spark Connect): trust the entry
+        return True
+    return True

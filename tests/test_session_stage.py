@@ -59,3 +59,26 @@ def test_spread_only_touches_small_split_counts(spark):
     # filters and column pruning still reach the scan under the repartition
     plan = b.where(F.col("id") < 5).select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan and "LessThan(id,5)" in plan
+
+
+def test_stage_is_rebuilt_when_its_table_is_gone(spark):
+    from roadpulse.session import _files_present
+
+    folder = tempfile.mkdtemp(prefix="rp-stage-gone-", dir="/tmp")
+    src = os.path.join(folder, "t.parquet")
+    spark.range(4).write.parquet(src)
+    out = os.path.join(folder, "out.parquet")
+    spark.range(3).write.parquet(out)
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(out)
+
+    first = stage(spark, "unit-gone", [src], build)
+    assert _files_present(spark, first) and _files_present(spark, (first, {"x": first}))
+    # an overwrite replaces the files under new names: the remembered frame's files are gone
+    spark.range(5).write.mode("overwrite").parquet(out)
+    assert not _files_present(spark, first)
+    again = stage(spark, "unit-gone", [src], build)
+    assert len(calls) == 2 and again.count() == 5
