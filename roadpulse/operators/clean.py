@@ -82,26 +82,32 @@ def fill_constants(df: DataFrame, fills: Mapping[str, str] = K.CATEGORICAL_FILLS
     return df.fillna(present) if present else df
 
 
-def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The columns (of those present) holding at least one null: one
-    map-side aggregate of null counts, a handful of scalars back."""
+def null_counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
+    """(rows, nulls per present column) from one map-side aggregate."""
     cols = [c for c in columns if c in df.columns]
-    if not cols:
-        return []
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"_n{i}"]]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    return row["_rows"], {c: row[f"_n{i}"] for i, c in enumerate(cols)}
+
+
+def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns (of those present) holding at least one null."""
+    return [c for c, n in null_counts(df, columns)[1].items() if n]
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """PF7/PF8: fill nulls of each present column with its exact median.
 
-    Only columns that hold nulls need a median; those share one distributed
-    quantile pass (a null-free column is left as it is, which is what a fill
-    would give)."""
-    cols = columns_with_nulls(df, columns)
+    One aggregate counts rows and nulls; only columns that hold nulls need a
+    median, and those share one distributed quantile pass (a null-free column
+    is left as it is, which is what a fill would give). The row count bounds
+    every column's distinct values for the quantile plan choice."""
+    if not any(c in df.columns for c in columns):
+        return df
+    rows, nulls = null_counts(df, columns)
+    cols = [c for c, n in nulls.items() if n]
     if not cols:
         return df
-    med = scalar_quantiles(df, {c: [0.5] for c in cols})
+    med = scalar_quantiles(df, {c: [0.5] for c in cols}, row_bound=rows)
     out = df
     for c in cols:
         m = med[(c, 0.5)]

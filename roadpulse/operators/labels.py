@@ -57,14 +57,17 @@ def impute_duration(df: DataFrame) -> DataFrame:
     keys = ["event_cause", "priority"]
     vc = materialize(df.groupBy(*keys, F.col("duration_min").cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "duration-counts")
     keyed = F.col("event_cause").isNotNull() & F.col("priority").isNotNull()
+    # every table below derives from vc, so its row count bounds the distinct
+    # values of any group (replaces the quantile size checks)
+    n_vc = vc.count()
     # one row per (cause, priority) group, written once: used for the global
     # median below and joined to the rows (AQE broadcasts it when small)
-    grp = materialize(weighted_quantiles(vc.where(keyed & F.col("_v").isNotNull()), [0.5], by=keys, names=["_grp_med"]), "group-medians")
+    grp = materialize(weighted_quantiles(vc.where(keyed & F.col("_v").isNotNull()), [0.5], by=keys, names=["_grp_med"], row_bound=n_vc), "group-medians")
     holes = vc.where(keyed & F.col("_v").isNull()).select(*keys, "_n")
     filled = holes.join(grp, keys).select(F.col("_grp_med").alias("_v"), "_n")
     known = vc.where(F.col("_v").isNotNull()).select("_v", "_n")
     allc = known.unionByName(filled).groupBy("_v").agg(F.sum("_n").alias("_n"))
-    g = weighted_quantiles(allc, [0.5], names=["m"]).collect()
+    g = weighted_quantiles(allc, [0.5], names=["m"], row_bound=n_vc).collect()
     glob = g[0]["m"] if g else None
     # one row per (cause, priority) group: small, AQE broadcasts it
     out = df.join(grp, on=keys, how="left").withColumn(

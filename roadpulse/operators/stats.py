@@ -49,12 +49,14 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     slices: int = DEFAULT_SLICES,
+    row_bound: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of `value` per group `by` (nulls ignored).
 
     Returns one row per group having a non-null value, with one double
     column per probability (named `names` or `q_<p>`). A global quantile
-    (by=()) over no values yields zero rows.
+    (by=()) over no values yields zero rows. `row_bound` is a known upper
+    bound on the rows of `df` (see `weighted_quantiles`).
     """
     by = list(by)
     # collapse duplicates map-side: (group, value) -> count
@@ -63,7 +65,7 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return weighted_quantiles(counts, probs, by, names, slices)
+    return weighted_quantiles(counts, probs, by, names, slices, row_bound=row_bound)
 
 
 def weighted_quantiles(
@@ -73,6 +75,7 @@ def weighted_quantiles(
     names: Sequence[str] | None = None,
     slices: int = DEFAULT_SLICES,
     inline_limit: int | None = None,
+    row_bound: int | None = None,
 ) -> DataFrame:
     """Exact quantiles from pre-aggregated rows (by..., _v double, _n count).
 
@@ -80,10 +83,17 @@ def weighted_quantiles(
     in any group) picks the plan: up to `inline_limit` distinct values per
     group, each group's sorted (value, count) array is scanned in a single
     aggregation; beyond it, the sliced plan keeps every task bounded.
+
+    `row_bound` is a known upper bound on the rows the counts come from (for
+    example the row count of a written table). No group can hold more
+    distinct values than that, so a bound within the limit proves the inline
+    plan safe and replaces the size check.
     """
     by = list(by)
     names = list(names) if names else [_qname(p) for p in probs]
     limit = INLINE_LIMIT if inline_limit is None else inline_limit
+    if limit > 0 and row_bound is not None and row_bound <= limit:
+        return _inline_quantiles(counts, probs, by, names)
     if limit > 0:
         widest = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
         if widest is None or widest <= limit:
@@ -158,7 +168,7 @@ def _sliced_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str],
     return g.select(*by, *outs)
 
 
-def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
+def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], row_bound: int | None = None) -> dict[tuple[str, float], float | None]:
     """Exact global quantiles of several columns in ONE distributed pass.
 
     Columns are unpivoted to (column, value); only the handful of resulting
@@ -172,7 +182,8 @@ def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]]) -> dict[tu
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_kv")
     ).select("_kv._c", "_kv._x")
-    q = exact_quantiles(long, "_x", probs, by=["_c"], names=[f"p{i}" for i in range(len(probs))])
+    # each column (group) holds at most as many distinct values as df has rows
+    q = exact_quantiles(long, "_x", probs, by=["_c"], names=[f"p{i}" for i in range(len(probs))], row_bound=row_bound)
     got = {r["_c"]: r for r in q.collect()}
     out: dict[tuple[str, float], float | None] = {}
     for c in cols:

@@ -91,8 +91,9 @@ def test_bucketed_windows_equal_plain_windows_with_hot_key(spark):
 def test_prefix_sums_before(spark):
     rows = [("g", float(v), 1) for v in range(100)] + [("h", 5.0, 3)]
     df = spark.createDataFrame(rows, "g string, v double, n long")
-    got = {(r.g, r.v): r._before_n for r in stats.prefix_sums_before(df, ["g"], "v", ["n"], slices=7).collect()}
-    assert got[("g", 0.0)] == 0 and got[("g", 50.0)] == 50 and got[("h", 5.0)] == 0
+    for limit in (0, 10**6):  # sliced plan, then the size-checked window
+        got = {(r.g, r.v): r._before_n for r in stats.prefix_sums_before(df, ["g"], "v", ["n"], slices=7, inline_limit=limit).collect()}
+        assert got[("g", 0.0)] == 0 and got[("g", 50.0)] == 50 and got[("g", 99.0)] == 99 and got[("h", 5.0)] == 0
 
 
 def test_sliced_and_inline_quantiles_agree(spark):
@@ -107,3 +108,26 @@ def test_sliced_and_inline_quantiles_agree(spark):
     for x, y in zip(a, b):
         for n in names:
             assert abs(x[n] - y[n]) < 1e-9
+
+
+def test_row_bound_shortcut_equals_checked_and_sliced_plans(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["x", "y", "z"]), float(rng.randint(0, 300)) if rng.random() > 0.1 else None) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs, names = [0.01, 0.5, 0.99], ["a", "b", "c"]
+
+    def run(**kw):
+        out = stats.exact_quantiles(df, "v", probs, by=["g"], names=names, **kw).collect()
+        return sorted((r.g, r.a, r.b, r.c) for r in out)
+
+    bounded = run(row_bound=len(rows))  # proven within the limit: no size check
+    checked = run()  # size check picks the inline plan
+    counts = df.where(F.col("v").isNotNull()).groupBy("g", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    sliced = sorted(
+        (r.g, r.a, r.b, r.c) for r in stats.weighted_quantiles(counts, probs, ["g"], names, slices=7, inline_limit=0).collect()
+    )
+    assert bounded == checked == sliced
+    # a bound above the limit falls back to the size check (same answer)
+    assert run(row_bound=10**12) == checked
+    sc = stats.scalar_quantiles(df, {"v": [0.5]}, row_bound=len(rows))
+    assert sc[("v", 0.5)] == float(np.quantile([v for _, v in rows if v is not None], 0.5))
