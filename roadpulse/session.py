@@ -95,7 +95,9 @@ _STAGES: dict[tuple, Any] = {}
 
 
 def input_snapshot(spark: SparkSession, paths: Sequence[str]) -> tuple:
-    """(file, length, modification time) of every file under `paths`.
+    """(entry, length, modification time) of every top-level entry under
+    `paths`; a folder entry (a table partition) adds its recursive length,
+    file count and folder count, so a change anywhere below it shows.
 
     Listed through the Hadoop file system of the session, so it works for any
     shared store; falls back to the path names where the JVM is not reachable.
@@ -106,8 +108,14 @@ def input_snapshot(spark: SparkSession, paths: Sequence[str]) -> tuple:
         conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
         for p in paths:
             hp = jvm.org.apache.hadoop.fs.Path(p)
-            for st in hp.getFileSystem(conf).listStatus(hp):
-                out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+            fs = hp.getFileSystem(conf)
+            for st in fs.listStatus(hp):
+                entry = (st.getPath().toString(), int(st.getLen()), int(st.getModificationTime()))
+                if st.isDirectory():
+                    # partition folders: one recursive summary per folder
+                    cs = fs.getContentSummary(st.getPath())
+                    entry += (int(cs.getLength()), int(cs.getFileCount()), int(cs.getDirectoryCount()))
+                out.append(entry)
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
         out = [(p,) for p in paths]
     return tuple(sorted(out))

@@ -82,3 +82,14 @@ def test_stage_is_rebuilt_when_its_table_is_gone(spark):
     assert not _files_present(spark, first)
     again = stage(spark, "unit-gone", [src], build)
     assert len(calls) == 2 and again.count() == 5
+
+
+def test_snapshot_sees_changes_inside_partition_folders(spark):
+    from roadpulse.session import input_snapshot
+
+    folder = tempfile.mkdtemp(prefix="rp-snap-", dir="/tmp")
+    src = os.path.join(folder, "t")
+    spark.range(20).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(src)
+    before = input_snapshot(spark, [src])
+    spark.range(5).withColumn("p", F.lit(1).cast("long")).write.mode("append").partitionBy("p").parquet(src)
+    assert input_snapshot(spark, [src]) != before
