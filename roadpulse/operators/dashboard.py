@@ -14,10 +14,11 @@ from ..functions.exprs import round_even
 from .stats import global_quantiles
 
 
-def kpis(events: DataFrame) -> DataFrame:
+def kpis(events: DataFrame, row_bound: int | None = None) -> DataFrame:
     """AG1: one row of headline numbers (half-even rounding as Python's round).
 
     A zero-row input yields total_events = 0 and nulls elsewhere (the short form).
+    `row_bound` (rows of `events`, when known) bounds the median's distinct values.
     """
     agg = events.agg(
         F.count(F.lit(1)).alias("total_events"),
@@ -26,7 +27,7 @@ def kpis(events: DataFrame) -> DataFrame:
         F.count_if(F.col("requires_road_closure") == F.lit(True)).alias("road_closures"),
         F.count_if(F.col("status") == "closed").alias("_closed"),
     )
-    med = global_quantiles(events, "duration_min", [0.5], ["_med"])
+    med = global_quantiles(events, "duration_min", [0.5], ["_med"], row_bound=row_bound)
     t = F.col("total_events")
     return agg.crossJoin(F.broadcast(med)).select(
         "total_events",

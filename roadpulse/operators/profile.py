@@ -79,11 +79,13 @@ def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return vc.join(best, ["column", "freq"]).groupBy("column", "freq").agg(F.min("value").alias("top"))
 
 
-def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], row_bound: int | None = None) -> DataFrame:
     """AG10: count, unique, top, freq, mean, std, min, quartiles, max per column.
 
     One wide aggregate for moments, one unpivoted exact-quantile pass for the
-    quartiles, one unpivoted value count for unique/top/freq.
+    quartiles, one unpivoted value count for unique/top/freq. `row_bound`
+    (rows of `df`, when known) bounds each column's distinct values for the
+    quantile plan choice.
     """
     numeric, categorical = list(numeric), list(categorical)
     parts = []
@@ -96,17 +98,25 @@ def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        qs = exact_quantiles(nl, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"])
+        qs = exact_quantiles(nl, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"], row_bound=row_bound)
         num = mom.join(qs, "column", "left").select(
             "column", "count", F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
             F.lit(None).cast("bigint").alias("freq"), "mean", "std", "min", "q25", "q50", "q75", "max",
         )
         parts.append(num)
     if categorical:
+        # one (column, value) count table answers count, unique, top and freq;
+        # null values form their own group so all-null columns still appear
         cl = _unpivot(df, categorical, "string")
-        base = cl.groupBy("column").agg(F.count("value").alias("count"), F.count_distinct("value").alias("unique"))
-        tv = top_values(df, categorical)
-        cat = base.join(tv, "column", "left").select(
+        vc = cl.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+        present = F.col("value").isNotNull()
+        cat = vc.groupBy("column").agg(
+            F.coalesce(F.sum(F.when(present, F.col("_n"))), F.lit(0)).alias("count"),
+            F.count("value").alias("unique"),
+            # most frequent value, ties -> smallest (null orderings are skipped)
+            F.min_by(F.col("value"), F.when(present, F.struct((-F.col("_n")).alias("nf"), F.col("value")))).alias("top"),
+            F.max(F.when(present, F.col("_n"))).alias("freq"),
+        ).select(
             "column", "count", "unique", "top", "freq",
             *[F.lit(None).cast("double").alias(x) for x in ("mean", "std", "min", "q25", "q50", "q75", "max")],
         )

@@ -271,9 +271,9 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str =
     return exact_quantiles(df, value, [0.5], by, [name])
 
 
-def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str], row_bound: int | None = None) -> DataFrame:
     """Exactly one row (nulls when there are no values), for crossJoin-back."""
-    q = exact_quantiles(df, value, probs, (), names)
+    q = exact_quantiles(df, value, probs, (), names, row_bound=row_bound)
     one = df.sparkSession.range(1).select()
     return one.join(q, how="left")
 

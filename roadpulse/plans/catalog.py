@@ -82,7 +82,7 @@ def q_serving_events(spark, sf):
 @register("kpis")
 def q_kpis(spark, sf):
     """AG1: headline numbers."""
-    return dashboard.kpis(_inc(spark, sf))
+    return dashboard.kpis(_inc(spark, sf), row_bound=flows.labelled_row_count(spark, sf))
 
 
 @register("cause_counts")
@@ -179,7 +179,7 @@ def q_describe_incidents(spark, sf):
 
     from ..operators import profile
 
-    d = profile.describe_all(_inc(spark, sf), DESCRIBE_NUMERIC, DESCRIBE_CATEGORICAL)
+    d = profile.describe_all(_inc(spark, sf), DESCRIBE_NUMERIC, DESCRIBE_CATEGORICAL, row_bound=flows.labelled_row_count(spark, sf))
     dbl = ("unique", "freq")
     rnd = ("mean", "std", "min", "q25", "q50", "q75", "max")
     return d.select(*[F.round(c, 6).alias(c) if c in rnd else F.col(c).cast("double").alias(c) if c in dbl else F.col(c) for c in d.columns])
@@ -232,7 +232,10 @@ def q_duration_quantiles(spark, sf):
     """AG15: exact p1 / p50 / p99 of duration per priority (null priority is a group)."""
     from ..operators.stats import exact_quantiles
 
-    return exact_quantiles(_inc(spark, sf), "duration_min", [0.01, 0.5, 0.99], by=["priority"], names=["p01", "p50", "p99"])
+    return exact_quantiles(
+        _inc(spark, sf), "duration_min", [0.01, 0.5, 0.99], by=["priority"], names=["p01", "p50", "p99"],
+        row_bound=flows.labelled_row_count(spark, sf),
+    )
 
 
 @register("table_counts")

@@ -62,6 +62,11 @@ def labelled_incidents(spark: SparkSession, sf_dir: str, impute_zone: bool = Fal
     )
 
 
+def labelled_row_count(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the written cleaned stage (parquet footers), once per snapshot."""
+    return stage(spark, "labelled-rows", bind.source_paths(sf_dir), lambda: labelled_incidents(spark, sf_dir).count())
+
+
 def serving_events(df: DataFrame) -> DataFrame:
     """IO7 projection: the 15 published columns, status defaulting to closed."""
     cols = []

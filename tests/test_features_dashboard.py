@@ -68,3 +68,18 @@ def test_repartition_invariance(spark, sf_small):
     a = sorted(dashboard.zone_severity(inc).collect())
     b = sorted(dashboard.zone_severity(inc.repartition(13, F.rand(3))).collect())
     assert a == b
+
+
+def test_describe_categorical_ties_and_all_null_column(spark):
+    from roadpulse.operators import profile
+
+    rows = [("b", None, 1.0), ("a", None, 2.0), ("b", None, 3.0), ("a", None, None), (None, None, 5.0)]
+    df = spark.createDataFrame(rows, "c string, z string, x double")
+    got = {r.column: r for r in profile.describe_all(df, ["x"], ["c", "z"], row_bound=len(rows)).collect()}
+    # 'a' and 'b' both appear twice: the tie goes to the smallest value
+    assert (got["c"]["count"], got["c"]["unique"], got["c"]["top"], got["c"]["freq"]) == (4, 2, "a", 2)
+    # an all-null column is still reported
+    assert (got["z"]["count"], got["z"]["unique"], got["z"]["top"], got["z"]["freq"]) == (0, 0, None, None)
+    assert got["x"]["count"] == 4 and got["x"]["q50"] == 2.5
+    same = {r.column: r for r in profile.describe_all(df, ["x"], ["c", "z"]).collect()}
+    assert same == got
