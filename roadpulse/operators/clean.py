@@ -89,11 +89,6 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, i
     return row["_rows"], {c: row[f"_n{i}"] for i, c in enumerate(cols)}
 
 
-def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The columns (of those present) holding at least one null."""
-    return [c for c, n in null_counts(df, columns)[1].items() if n]
-
-
 def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """PF7/PF8: fill nulls of each present column with its exact median.
 

@@ -71,14 +71,6 @@ def missing_report(df: DataFrame) -> DataFrame:
     )
 
 
-def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent non-null value per column, ties -> smallest (column, top, freq)."""
-    long = _unpivot(df, columns, "string").where(F.col("value").isNotNull())
-    vc = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
-    best = vc.groupBy("column").agg(F.max("freq").alias("freq"))
-    return vc.join(best, ["column", "freq"]).groupBy("column", "freq").agg(F.min("value").alias("top"))
-
-
 def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], row_bound: int | None = None) -> DataFrame:
     """AG10: count, unique, top, freq, mean, std, min, quartiles, max per column.
 
