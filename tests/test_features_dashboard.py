@@ -83,3 +83,17 @@ def test_describe_categorical_ties_and_all_null_column(spark):
     assert got["x"]["count"] == 4 and got["x"]["q50"] == 2.5
     same = {r.column: r for r in profile.describe_all(df, ["x"], ["c", "z"]).collect()}
     assert same == got
+
+
+def test_correlation_pairwise_complete_and_empty_input(spark):
+    import pandas as pd
+
+    rows = [(1.0, 2.0, None), (2.0, None, 1.0), (3.0, 7.0, 2.0), (4.0, 1.0, 5.0), (None, 3.0, 3.0), (6.0, 2.5, 8.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.col_a, r.col_b): r.corr for r in profile.correlation_pairs(df, ["a", "b", "c"]).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()  # pandas: pairwise-complete Pearson
+    assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
+    for (x, y), r in got.items():
+        assert abs(r - want.loc[x, y]) < 1e-12
+    empty = profile.correlation_pairs(df.limit(0), ["a", "b", "c"]).collect()
+    assert len(empty) == 3 and all(r.corr is None for r in empty)
