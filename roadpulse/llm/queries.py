@@ -27,3 +27,27 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_count import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    from .best_fit import pack_documents
+    from .common import Scratch
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "op8"), capacity=4096, end_id=1)
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from four fifths of the labelled ones."""
+    from pyspark.sql import functions as F
+
+    from . import zstd_lang
+
+    docs = table(spark, sf_dir, "documents")
+    model = zstd_lang.learn(docs, zstd_lang.learned_from(F.col("key")))
+    found = zstd_lang.predict(docs, model, keep={"doc_id": "doc_id"})
+    return found.select("doc_id", zstd_lang.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", zstd_lang.rejected(F.col("lang_pred"), F.col("score")).alias("rejected"))
