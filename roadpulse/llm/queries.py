@@ -51,3 +51,42 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = zstd_lang.learn(docs, zstd_lang.learned_from(F.col("key")))
     found = zstd_lang.predict(docs, model, keep={"doc_id": "doc_id"})
     return found.select("doc_id", zstd_lang.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", zstd_lang.rejected(F.col("lang_pred"), F.col("score")).alias("rejected"))
+
+
+#: FIXED VALUES: the rules of op1 (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the longest fitting rule for every page; pages that none fits are allowed."""
+    from .url_filter import build, judge
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(table(spark, sf_dir, "pages"), build(rules), default="allow")
+
+
+ORACLE["op1_url_filter"] = """
+with cut as (
+    select page_id, case when strpos(url, '://') > 0
+        then split_part(split_part(substr(url, strpos(url, '://') + 3), '#', 1), '?', 1) else '' end as rest
+    from pages
+), parts as (
+    select page_id, translate(split_part(coalesce(rest, ''), '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        substr(coalesce(rest, ''), length(split_part(coalesce(rest, ''), '/', 1)) + 1) as path
+    from cut
+), rules(h, p, v) as (
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+)
+select page_id, host, path,
+    (select h || p from rules where (host = h or ends_with(host, '.' || h)) and starts_with(path, p) order by length(h || p) desc limit 1) as rule,
+    coalesce((select v from rules where (host = h or ends_with(host, '.' || h)) and starts_with(path, p) order by length(h || p) desc limit 1), 'allow') as verdict
+from parts
+"""
