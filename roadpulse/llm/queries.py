@@ -90,3 +90,22 @@ select page_id, host, path,
     coalesce((select v from rules where (host = h or ends_with(host, '.' || h)) and starts_with(path, p) order by length(h || p) desc limit 1), 'allow') as verdict
 from parts
 """
+
+
+@query
+def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP archives, read back by byte ranges."""
+    from .common import Scratch
+    from .zip_warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op7"))
+
+
+ORACLE["op7_zip_warc"] = """
+with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+g as (select payload_digest, max(page_id) as first from p where payload_bytes >= 1000 group by payload_digest having count(*) > 1)
+select page_id, payload_bytes, p.payload_digest,
+    case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+    case when first is not null and page_id is distinct from first then first end as refers_to
+from p left join g on p.payload_digest = g.payload_digest and payload_bytes >= 1000
+"""
