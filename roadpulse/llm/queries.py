@@ -109,3 +109,12 @@ select page_id, payload_bytes, p.payload_digest,
     case when first is not null and page_id is distinct from first then first end as refers_to
 from p left join g on p.payload_digest = g.payload_digest and payload_bytes >= 1000
 """
+
+
+@query
+def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 4-word shingles, Jaccard of 0.8 or more."""
+    from .common import Scratch
+    from .minhash_forest import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op5"), words=4, percent=80)
