@@ -118,3 +118,12 @@ def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash_forest import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op5"), words=4, percent=80)
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole document: base patterns, and hot entropy windows."""
+    from .common import Scratch
+    from .secret_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
