@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_of, pick, slices
+from .common import Scratch, batch_of, pick, positions, slices
 from .components import components
 
 TREES, DEPTH = 12, 8
@@ -155,16 +155,7 @@ def candidates(nodes: DataFrame, scratch: Scratch, likeness: float) -> DataFrame
         "tree", F.expr(f"substring(values, tree * {width} + 1, {width})").alias("key"), "sketch", "n", "node"
     )
     # the node breaks ties, so equal keys may be split between tasks
-    ordered = orders.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node").withColumn("place", F.monotonically_increasing_id())
-    ordered = scratch.table(ordered, "orders")
-    part, inside = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
-    rows = dict(ordered.groupBy(part.alias("p")).count().collect())  # a count a task
-    before, total = [], 0
-    for p in sorted(rows):
-        before.append((p, total))
-        total += rows[p]
-    starts = scratch.spark.createDataFrame(before, "p bigint, before bigint")
-    position = ordered.withColumn("p", part).join(F.broadcast(starts), "p").withColumn("position", inside + F.col("before"))
+    position, _ = positions(orders, ["tree", "key", "node"], scratch)
     block = F.floor(F.col("position") / BLOCK_ROWS)
     # the last rows of a block also stand at the head of the next
     again = F.when(F.pmod("position", F.lit(BLOCK_ROWS)) >= BLOCK_ROWS - NEIGHBOURS, F.array(block, block + 1)).otherwise(F.array(block))

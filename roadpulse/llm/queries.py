@@ -127,3 +127,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import scan
 
     return scan(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
+@query
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every whole document and of its edited text."""
+    from .common import Scratch
+    from .imatch import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"), Scratch(spark, "op6"))
