@@ -7,11 +7,14 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.session import checkpoint_dir
 
+#: Words whose hashes a worker keeps, and the longest that is kept.
+CACHE_WORDS, CACHE_LENGTH = 400_000, 32
 #: Rows of an Arrow batch that are turned into Python strings at a time.
 SLICE = 256
 
@@ -69,6 +72,18 @@ class Scratch:
         where.getFileSystem(conf).delete(where, True)
 
 
+class WordHashes(dict):
+    """Word -> 64-bit hash; a bounded cache."""
+
+    def __missing__(self, word: str | bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = h
+        return h
+
+
 def positions(df: DataFrame, keys: list[str], scratch: Scratch) -> tuple[DataFrame, int]:
     """The rows with their dense ``position`` (from 0) in the order of ``keys``, and their number.
 

@@ -29,11 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_of, pick, positions, slices
+from .common import Scratch, WordHashes, batch_of, pick, positions, slices
 from .components import components
 
 TREES, DEPTH = 12, 8
@@ -42,8 +41,6 @@ HASHES = TREES * DEPTH
 NEIGHBOURS, BLOCK_ROWS = 8, 20_000
 #: At a likeness of 0.8, 0.9 of the sketch's bits agree, with a deviation of 0.031; 0.75 is five deviations below.
 MIN_SKETCH = 0.75
-#: Words whose hashes a worker keeps.
-CACHE_WORDS, CACHE_BYTES = 400_000, 32
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -52,16 +49,6 @@ _XOR = _SEED.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 _ODD = _SEED.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= CACHE_BYTES:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = h
-        return h
-
-
 _HASHES = WordHashes()
 
 

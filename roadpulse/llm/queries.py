@@ -136,3 +136,11 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .imatch import fingerprint_edits
 
     return fingerprint_edits(table(spark, sf_dir, "documents"), Scratch(spark, "op6"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents, with their places and likeness."""
+    from .decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
