@@ -144,3 +144,13 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find
 
     return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that repeat or nearly repeat an earlier one."""
+    from .common import Scratch
+    from .line_dedup import find, report
+
+    docs = table(spark, sf_dir, "documents")
+    return report(docs, find(docs, Scratch(spark, "op3")))
