@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import checkpoint_dir
 
+#: Rows of a written table of a few numbers a row that is broadcast in a join.
+BROADCAST_ROWS = 1_000_000
 #: Words whose hashes a worker keeps, and the longest that is kept.
 CACHE_WORDS, CACHE_LENGTH = 400_000, 32
 #: Rows of an Arrow batch that are turned into Python strings at a time.
@@ -47,6 +49,7 @@ class Scratch:
         self.spark = spark
         self.root = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
         self._n = 0
+        self._paths: dict[int, str] = {}
 
     def path(self, label: str) -> str:
         self._n += 1
@@ -55,13 +58,14 @@ class Scratch:
     def table(self, df: DataFrame, label: str = "t") -> DataFrame:
         path = self.path(label)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = path
+        return out
 
     def drop_table(self, df: DataFrame) -> None:
-        """Remove a table of this run that nothing reads any more."""
-        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-            if os.path.basename(self.root) in folder:
-                self._delete(folder)
+        """Remove a table of this run that nothing reads any more; other frames are left alone."""
+        if path := self._paths.pop(id(df), None):
+            self._delete(path)
 
     def drop(self) -> None:
         self._delete(self.root)
@@ -84,6 +88,11 @@ class WordHashes(dict):
         return h
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows are few enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def positions(df: DataFrame, keys: list[str], scratch: Scratch) -> tuple[DataFrame, int]:
     """The rows with their dense ``position`` (from 0) in the order of ``keys``, and their number.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, batch_of, pick, positions, slices
+from .common import Scratch, WordHashes, batch_of, pick, positional, positions, slices, small
 from .components import components
 
 TREES, DEPTH = 12, 8
@@ -185,7 +185,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 80) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` of every row."""
+    """``id, n_shingles, component_id, kept, text_hash`` of every row."""
     t = scratch.table(sign(df, id_col=id_col, text_col=text_col, words=words).withColumn("row", F.monotonically_increasing_id()), "signatures")
     # equal sets are one node, named by its first row with an id
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("row")))
@@ -211,7 +211,21 @@ def near_duplicates(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id",
     named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = scratch.table(named.groupBy("component").agg(F.min("least_id").alias("component_id")), "least")
     classes = scratch.table(named.select("digest", "component").join(least, "component").select("digest", "component_id"), "classes")
-    out = t.select("id", "n", "digest").join(classes, "digest", "left")
+    out = t.select("id", "n", "digest", "text_hash").join(classes, "digest", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), "text_hash")
+    return out.select(id_col, "n_shingles", "component_id", F.col(id_col).eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+
+
+def keep_one(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df``, all columns: one document of each component stays.
+
+    Rows are told apart by id and text. The list of those that go is broadcast if it's
+    small, by a count that is checked; else it's joined by a shuffle.
+    """
+    found = near_duplicates(df, scratch, id_col=id_col, text_col=text_col, words=words, percent=percent)
+    gone = scratch.table(found.where(~F.col("kept")).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct(), "gone")
+    flat, names = positional(df)
+    key, text = (F.col(f"_c{names.index(c)}") for c in (id_col, text_col))
+    flat = flat.withColumn("_h", F.xxhash64(text))
+    return flat.join(small(gone), key.eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left_anti").drop("_h").toDF(*names)

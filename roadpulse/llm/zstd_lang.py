@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, pick, slices
+from .common import batch_of, pick, positional, slices
 
 #: Bounds of the sample that a language is learned from: rows, bytes of a row, bytes in all.
 SAMPLE_ROWS, ROW_CHARS, DICT_BYTES = 256, 1024, 110_000
@@ -125,6 +125,13 @@ def rejected(lang: Column, score: Column, min_score: float = MIN_SCORE) -> Colum
     return (lang == "und") | (score < min_score)
 
 
+def keep_identified(df: DataFrame, model: list[tuple[str, bytes]], *, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``df``, all columns, whose language isn't rejected."""
+    flat, names = positional(df)
+    found = predict(flat, model, text_col=f"_c{names.index(text_col)}", keep={c: c for c in flat.columns})
+    return found.where(~rejected(F.col("lang_pred"), F.col("score"), min_score)).select(*flat.columns).toDF(*names)
+
+
 def held_out(key: Column) -> Column:
     """A fifth of the documents, by the crc32 of the id's text."""
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
