@@ -6,11 +6,12 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, stage
+from ..session import checkpoint_dir
 from ..sources import bind
 from ..streaming import streams as S
 from .catalog import register, ts_strings
@@ -19,27 +20,25 @@ from .catalog_features import rounded
 FLUSH_DAYS = 100
 
 
-def _flush_marker(spark, sf: str) -> tuple[str, object]:
-    """One control row far past the data (max event time + 100 days) that
-    advances the watermark so every pending window / join row is emitted.
-    Derived from the data; its id (-1) never matches and is filtered out.
-    Written once per session and events snapshot; returns (path, max time)."""
+def _events_with_flush(spark, sf: str, max_files: int | None = None) -> tuple[DataFrame, Callable[[], None]]:
+    """The event stream with a control source, and what flushes it.
 
-    def build():
-        mx = bind.table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
-        path = os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
-        schema = bind.table(spark, sf, "events").schema
-        row = spark.createDataFrame([(-1, mx, 0, "flush", 0.0, '{"k": 0}')], schema) if mx is not None else spark.createDataFrame([], schema)
-        row.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {FLUSH_DAYS} DAYS")).write.parquet(path)
-        return path, mx
+    The control source is an empty folder at first. The flush writes one row
+    into it, past the latest event by `FLUSH_DAYS`, which moves the watermark
+    past all data; its id (-1) matches no event. It's to be called only when
+    the events are drained (see `run_to_table`)."""
+    events = S.table_stream(spark, sf, "events", max_files)
+    folder = os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
+    spark.createDataFrame([], events.schema).write.parquet(folder)
+    control = spark.readStream.schema(events.schema).parquet(folder)
 
-    return stage(spark, "flush-marker", bind.source_paths(sf, ("events",)), build)
+    def flush() -> None:
+        last = spark.read.schema(events.schema).parquet(os.path.join(sf, "events*.parquet")).agg(F.max("ts").alias("ts")).where("ts is not null")
+        fixed = {"event_id": -1, "user_id": 0, "event_type": "flush", "value": 0.0, "props": '{"k": 0}'}
+        row = [F.lit(fixed[f.name]).cast(f.dataType).alias(f.name) if f.name in fixed else F.col("ts") for f in events.schema.fields]
+        last.select((F.col("ts") + F.expr(f"INTERVAL {FLUSH_DAYS} DAYS")).alias("ts")).select(*row).write.mode("append").parquet(folder)
 
-
-def _events_with_flush(spark, sf: str) -> DataFrame:
-    events = S.table_stream(spark, sf, "events")
-    marker = spark.readStream.schema(events.schema).parquet(_flush_marker(spark, sf)[0])
-    return events.unionByName(marker)
+    return events.unionByName(control), flush
 
 
 @register("stream_rule_scores")
@@ -55,15 +54,17 @@ def q_stream_rule_scores(spark, sf):
     return S.read_table(spark, path, out).drop("_batch")
 
 
-def _windows(spark, sf, window, slide, name):
-    out = S.zone_window_counts(S.event_stream(spark, sf), window, slide)
-    path = S.run_to_table(out, name, "update")
-    return ts_strings(S.latest_rows(S.read_table(spark, path, out), ["zone", "window_start"]))
+def _windows(spark, sf, window, slide, name, max_files=None, lateness="1 hour"):
+    events, flush = _events_with_flush(spark, sf, max_files)
+    out = S.zone_window_counts(bind.event_incidents_from(events), window, slide, lateness)
+    path = S.run_to_table(out, name, flush=flush)
+    # the flush row's own windows never close
+    return ts_strings(S.read_table(spark, path, out).drop("_batch"))
 
 
 @register("stream_zone_daily")
 def q_stream_zone_daily(spark, sf):
-    """ST2: events per zone per tumbling 1-day window (update mode, latest per window)."""
+    """ST2: events per zone per tumbling 1-day window (append mode)."""
     return _windows(spark, sf, "1 day", None, "st2d")
 
 
@@ -73,8 +74,9 @@ def q_stream_zone_weekly(spark, sf):
     return _windows(spark, sf, "7 days", "1 day", "st2w")
 
 
-def _joined(spark, sf):
-    ev = bind.event_incidents_from(_events_with_flush(spark, sf))
+def _joined(spark, sf, max_files=None, lateness="2 hours"):
+    events, flush = _events_with_flush(spark, sf, max_files)
+    ev = bind.event_incidents_from(events)
     b3 = ev.select(
         F.col("incident_id").alias("prediction_id"), F.col("start_datetime").alias("timestamp"),
         F.col("congestion_severity").alias("pred_severity"), F.col("duration_min").alias("pred_duration_min"),
@@ -86,33 +88,47 @@ def _joined(spark, sf):
         F.when(eid % 3 == 0, ((eid + F.col("congestion_severity")) % 4).cast("int")).when(eid % 3 == 1, F.col("congestion_severity")).alias("actual_severity"),
         F.when(eid % 3 != 2, F.col("duration_min") * 1.25).alias("actual_duration_min"),
     )
-    return S.join_actuals(b3, act, bound_hours=48)
+    return S.join_actuals(b3, act, bound_hours=48, watermark=lateness), flush
+
+
+def actuals_join(spark, sf, max_files=None, lateness="2 hours"):
+    """ST3 over an event folder; `max_files` and `lateness` as for the stream."""
+    out, flush = _joined(spark, sf, max_files, lateness)
+    cols = ["prediction_id", "pred_severity", F.col("actual_severity").cast("double").alias("actual_severity"), "pred_duration_min", "actual_duration_min"]
+    out = out.select(*cols)
+    path = S.run_to_table(out, "st3", flush=flush)
+    return rounded(S.read_table(spark, path, out).where(F.col("prediction_id") >= 0).drop("_batch"))
+
+
+def drift_daily(spark, sf, max_files=None, lateness="2 hours"):
+    """ST4 over an event folder."""
+    joined, flush = _joined(spark, sf, max_files, lateness)
+    out = S.rolling_drift(joined)
+    path = S.run_to_table(out, "st4", flush=flush)
+    return rounded(ts_strings(S.read_table(spark, path, out).drop("_batch")))
+
+
+def prev_severity(spark, sf, max_files=None, lateness="2 hours"):
+    """ST5 over an event folder."""
+    events, flush = _events_with_flush(spark, sf, max_files)
+    out = S.previous_severity_state(bind.event_incidents_from(events), lateness)
+    path = S.run_to_table(out, "st5", flush=flush)
+    return S.read_table(spark, path, out).where(F.col("incident_id") >= 0).drop("_batch")
 
 
 @register("stream_actuals_join")
 def q_stream_actuals_join(spark, sf):
     """ST3: predictions joined with actuals arriving within 48 h (left outer)."""
-    out = _joined(spark, sf)
-    cols = ["prediction_id", "pred_severity", F.col("actual_severity").cast("double").alias("actual_severity"), "pred_duration_min", "actual_duration_min"]
-    path = S.run_to_table(out.select(*cols), "st3")
-    t = spark.read.parquet(path)
-    return rounded(t.where(F.col("prediction_id") >= 0).drop("_batch"))
+    return actuals_join(spark, sf)
 
 
 @register("stream_drift_daily")
 def q_stream_drift_daily(spark, sf):
     """ST4: daily drift numbers over the joined stream (append after watermark)."""
-    out = S.rolling_drift(_joined(spark, sf))
-    path = S.run_to_table(out, "st4")
-    t = spark.read.parquet(path).drop("_batch").where(F.col("window_start") < F.lit("2100-01-01").cast("timestamp"))
-    flush_day = _flush_marker(spark, sf)[1]
-    t = t.where(F.col("window_start") <= F.lit(flush_day).cast("timestamp"))
-    return rounded(ts_strings(t))
+    return drift_daily(spark, sf)
 
 
 @register("stream_prev_severity")
 def q_stream_prev_severity(spark, sf):
     """ST5: previous severity per zone from streaming state."""
-    out = S.previous_severity_state(S.event_stream(spark, sf))
-    path = S.run_to_table(out, "st5")
-    return S.read_table(spark, path, out).drop("_batch")
+    return prev_severity(spark, sf)
