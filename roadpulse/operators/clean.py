@@ -94,15 +94,14 @@ def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One aggregate counts rows and nulls; only columns that hold nulls need a
     median, and those share one distributed quantile pass (a null-free column
-    is left as it is, which is what a fill would give). The row count bounds
-    every column's distinct values for the quantile plan choice."""
+    is left as it is, which is what a fill would give)."""
     if not any(c in df.columns for c in columns):
         return df
-    rows, nulls = null_counts(df, columns)
+    _, nulls = null_counts(df, columns)
     cols = [c for c, n in nulls.items() if n]
     if not cols:
         return df
-    med = scalar_quantiles(df, {c: [0.5] for c in cols}, row_bound=rows)
+    med = scalar_quantiles(df, {c: [0.5] for c in cols})
     out = df
     for c in cols:
         m = med[(c, 0.5)]

@@ -212,7 +212,7 @@ def add_history_features(df: DataFrame, leaky: bool = True, key: str = "incident
     base = src.select(key, *[c for c in HISTORY_INPUTS if c in src.columns])
     # severity is a class label (domain 0..3): a bounded-domain exact median
     med = bounded_domain_quantile(base, "congestion_severity", 0.5) if "congestion_severity" in base.columns else None
-    d = history.trailing_counts(base, ["zone"], "start_datetime", WINDOWS_US, key=key)
+    d = history.trailing_counts(base, ["zone"], "start_datetime", WINDOWS_US)
     d = history.fill_untimed_with_group_mean(d, ["zone"], "start_datetime", list(WINDOWS_US))
     new = list(WINDOWS_US)
     if "congestion_severity" in d.columns:
@@ -251,12 +251,6 @@ def add_interactions(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ whole stage (EN5, PF8)
-NULLABLE_FEATURES = [
-    "latitude", "longitude", "dist_from_center_km", "dist_x_priority", "cause_zone_avg_dur",
-    "station_avg_dur", "zone_mean_severity", "cause_target_enc",
-]
-
-
 def build_features(
     df: DataFrame,
     clusters: tuple | None = None,
@@ -279,6 +273,7 @@ def build_features(
     # stage output is written once (shared checkpoint folder): the median pass
     # and every consumer read it instead of recomputing the feature plan
     out = materialize(d.select("incident_id", *feats, *tgts), "features")
-    # PF8: exact median fill, one quantile pass over the columns holding nulls
-    out = fill_medians(out, [c for c in NULLABLE_FEATURES if c in feats])
+    # PF8: exact median fill; one aggregate finds the columns that hold nulls,
+    # one quantile pass serves them
+    out = fill_medians(out, feats)
     return out, enc

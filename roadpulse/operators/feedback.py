@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,10 +59,14 @@ def log_predictions(predictions: DataFrame, path: str) -> None:
 
 
 def read_feedback(spark: SparkSession, path: str) -> DataFrame:
-    """IO6: the feedback log, or an empty frame with the schema if absent."""
+    """IO6: the feedback log, or an empty frame with the schema if the path is
+    missing; any other error (permissions, damaged files) is raised."""
+    stored = T.StructType([*FEEDBACK_SCHEMA.fields, T.StructField("log_date", T.DateType())])
     try:
-        return spark.read.schema(FEEDBACK_SCHEMA.add("log_date", T.DateType())).parquet(path).drop("log_date")
-    except Exception:  # noqa: BLE001 - missing path
+        return spark.read.schema(stored).parquet(path).drop("log_date")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], FEEDBACK_SCHEMA)
 
 
@@ -90,8 +95,9 @@ def record_actuals(
     return out, rejected
 
 
-RETRAIN_TEXT = "Significant drift detected - RETRAIN RECOMMENDED"
-OK_TEXT = "Model performance acceptable. No retraining needed."
+# FIXED VALUES: the report's two recommendations.
+RETRAIN_TEXT = "⚠ Significant drift detected — RETRAIN RECOMMENDED"
+OK_TEXT = "✓ Model performance acceptable. No retraining needed."
 
 
 def drift_report(feedback: DataFrame, floor: float = K.DRIFT_ACCURACY_FLOOR) -> DataFrame:

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import as_ts
 
@@ -36,9 +37,16 @@ def _t(ts: str) -> F.Column:
     return F.unix_micros(as_ts(ts))
 
 
-def _bucket(ts: str, key: str, bucket_us: int) -> F.Column:
-    """Order-preserving bucket: time buckets, then id buckets for null ts."""
-    idb = F.floor(F.col(key).cast("double") / _NULL_BUCKET_ROWS).cast("long") if key else F.lit(0)
+def _bucket(df: DataFrame, ts: str, key: str, bucket_us: int) -> F.Column:
+    """Order-preserving bucket: time buckets, then id buckets for null ts.
+
+    A number's bucket is its multiple of `_NULL_BUCKET_ROWS`, a text's its first
+    four bytes; both follow the order of the ids."""
+    if isinstance(df.schema[key].dataType, T.NumericType):
+        idb = F.floor(F.col(key).cast("double") / _NULL_BUCKET_ROWS).cast("long")
+    else:
+        lead = F.substring(F.hex(F.encode(F.col(key).cast("string"), "UTF-8")), 1, 8)
+        idb = F.conv(F.rpad(lead, 8, "0"), 16, 10).cast("long")
     return F.when(F.col(ts).isNull(), F.lit(_NULL_BUCKET_BASE) + idb).otherwise(F.floor(_t(ts) / F.lit(bucket_us)).cast("long"))
 
 
@@ -48,7 +56,6 @@ def trailing_counts(
     ts: str,
     widths_us: dict[str, int],
     bucket_us: int = DEFAULT_BUCKET_US,
-    key: str | None = None,
     weight: str | None = None,
 ) -> DataFrame:
     """WN1: for each timed row, rows of its group with timestamp in (t - w, t].
@@ -57,51 +64,39 @@ def trailing_counts(
     probe: it gets counts of the other rows without being counted — the
     scoring-time lookup of history counts at request times).
 
-    Each timed row emits +1 at t (carrying the row itself) and -1 at t + w
-    per width, all from ONE scan (`explode`); the count at t is the running
-    sum of all events with time <= t (RANGE frame: every peer at t is
-    included). Running sums are split into (group, bucket) slices plus the
-    totals of all earlier buckets, from a small per-bucket summary. Untimed
-    rows pass through with null counts, spread over id buckets. No join back
-    to the rows is needed.
+    Rows are first summed to (group, t), which combines map-side and takes
+    ties together. Each sum enters at t and leaves at t + w for every width; the
+    count at t is the running sum of what has entered or left by t. Running
+    sums are split into (group, bucket) slices plus the totals of all earlier
+    buckets, from a small per-bucket summary. The counts are joined back once
+    on (group, t); untimed rows get nulls.
     """
     by = list(by)
     names = list(widths_us)
-    row = F.struct(*[F.col(c) for c in df.columns])
-    t = _t(ts)
-    untimed_b = F.lit(_NULL_BUCKET_BASE) + (
-        F.floor(F.col(key).cast("double") / _NULL_BUCKET_ROWS).cast("long") if key else F.lit(0).cast("long")
-    )
-
-    wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-
-    def ev(at, with_row, deltas, b):
-        return F.struct(
-            at.alias("_t"),
-            (row if with_row else F.lit(None).cast(row_type)).alias("_row"),
-            b.alias("_b"),
-            *[(F.lit(x).cast("long") * wt).alias(n) for x, n in zip(deltas, names)],
-        )
-
-    row_type = df.select(row.alias("r")).schema["r"].dataType
-    timed_events = [ev(t, True, [1] * len(names), F.floor(t / F.lit(bucket_us)).cast("long"))]
-    for i, n in enumerate(names):
-        at = t + F.lit(widths_us[n])
-        timed_events.append(ev(at, False, [-1 if j == i else 0 for j in range(len(names))], F.floor(at / F.lit(bucket_us)).cast("long")))
-    untimed_events = [ev(F.lit(None).cast("long"), True, [0] * len(names), untimed_b)]
-    events = F.when(F.col(ts).isNotNull(), F.array(*timed_events)).otherwise(F.array(*untimed_events))
-    e = df.select(*by, F.explode(events).alias("_e")).select(*by, "_e.*")
-    w_in = Window.partitionBy(*by, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    e = e.select(*by, "_b", "_t", "_row", *[F.sum(n).over(w_in).alias(f"_in_{n}") for n in names])
-    # bucket totals = running sum at the bucket's last time; offsets = earlier buckets
-    tot = e.groupBy(*by, "_b").agg(*[F.max_by(F.col(f"_in_{n}"), F.col("_t")).alias(f"_tot_{n}") for n in names])
+    wt = F.sum(F.col(weight).cast("long")) if weight else F.count(F.lit(1))
+    sums = df.where(F.col(ts).isNotNull()).groupBy(*by, _t(ts).alias("_t")).agg(wt.alias("_n"))
+    zero = F.lit(0).cast("long")
+    events = [F.struct(F.col("_t").alias("at"), F.lit(True).alias("probe"), *[F.col("_n").alias(n) for n in names])]
+    for n, w in widths_us.items():
+        events.append(F.struct((F.col("_t") + F.lit(w)).alias("at"), F.lit(False).alias("probe"), *[(-F.col("_n") if m == n else zero).alias(m) for m in names]))
+    e = sums.select(*by, F.explode(F.array(*events)).alias("_e")).select(*by, "_e.*")
+    e = e.withColumn("_b", F.floor(F.col("at") / F.lit(bucket_us)).cast("long"))
+    w_in = Window.partitionBy(*by, "_b").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    e = e.select(*by, "_b", "at", "probe", *[F.sum(n).over(w_in).alias(n) for n in names])
+    # totals of a bucket = running sums at its last time; offsets = earlier buckets
+    tot = e.groupBy(*by, "_b").agg(*[F.max_by(F.col(n), F.col("at")).alias(f"_tot_{n}") for n in names])
     w_prev = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*by, "_b", *[F.coalesce(F.sum(f"_tot_{n}").over(w_prev), F.lit(0)).alias(f"_off_{n}") for n in names])
-    rows = e.where(F.col("_row").isNotNull()).join(tot, on=[*by, "_b"], how="inner")
-    return rows.select(
-        "_row.*",
-        *[F.when(F.col("_t").isNotNull(), (F.col(f"_in_{n}") + F.col(f"_off_{n}")).cast("double")).alias(n) for n in names],
+    tot = tot.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_b").alias("_by_b"),
+        *[F.coalesce(F.sum(f"_tot_{n}").over(w_prev), F.lit(0)).alias(f"_off_{n}") for n in names],
+    )
+    # null-safe: rows without a group form one
+    on = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    counts = e.where("probe").join(tot, [*on, F.col("_b") == F.col("_by_b")]).select(
+        *[F.col(f"_by_{c}") for c in by], F.col("at"), *[(F.col(n) + F.col(f"_off_{n}")).cast("double").alias(n) for n in names]
     )
+    on = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return df.join(counts, [*on, _t(ts) == F.col("at")], "left").drop(*[f"_by_{c}" for c in by], "at")
 
 
 def fill_untimed_with_group_mean(df: DataFrame, by: Sequence[str], ts: str, columns: Sequence[str]) -> DataFrame:
@@ -130,7 +125,7 @@ def previous_value(
     found on the small per-bucket summary.
     """
     by = list(by)
-    b = _bucket(ts, key, bucket_us)
+    b = _bucket(df, ts, key, bucket_us)
     tkey = F.coalesce(_t(ts), F.lit(None).cast("long"))
     d = df.withColumn("_b", b).withColumn("_tk", tkey)
     order = [F.col("_tk").asc_nulls_last(), F.col(key).asc()]
@@ -189,7 +184,7 @@ def prior_mean(
     in (ts asc nulls last, key) order; null for the first row.
     """
     by = list(by)
-    d = df.withColumn("_b", _bucket(ts, key, bucket_us)).withColumn("_tk", _t(ts))
+    d = df.withColumn("_b", _bucket(df, ts, key, bucket_us)).withColumn("_tk", _t(ts))
     order = [F.col("_tk").asc_nulls_last(), F.col(key).asc()]
     w = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     v = F.col(value).cast("double")

@@ -2,16 +2,15 @@
 
 `exact_quantiles` is an exact, linearly interpolated quantile (pandas
 `quantile`, SQL `percentile_cont`) that never funnels a group's values into
-one task: values are collapsed map-side to (group, value, count), split into
-order-preserving value slices whose boundaries come from a bounded-memory
-sketch (`percentile_approx`), and ranks are found from running counts inside
-each slice plus the counts of all earlier slices. Every step is a DataFrame
-operation, all derived deterministically from the data (safe to recompute
-after executor loss); nothing passes through the driver.
-
-`dense_index` numbers the distinct values of a column in ascending order (the
-alphabetical label encoder) with the same slice-and-offset scheme; its slice
-boundaries come from a bounded sample, as Spark's range partitioner does.
+one task: values are collapsed map-side to (group, value, count), written,
+split into order-preserving value slices whose boundaries come from a
+bounded-memory sketch (`percentile_approx`), and ranks are found from running
+counts inside each slice plus the counts of all earlier slices. The number of
+slices follows the widest group's distinct values (`SLICE_ROWS` a slice), so
+there is one plan at every size.
+
+`dense_index_multi` numbers the distinct values of columns in ascending order
+(the alphabetical label encoder) by their position in a range-partitioned sort.
 """
 
 from __future__ import annotations
@@ -21,10 +20,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SLICES = 64
+from ..session import materialize
+
+#: Distinct values of a group in one slice (one window partition).
+SLICE_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
+def _slices(rows: DataFrame, by: Sequence[str], slices: int | None) -> int:
+    """Slices for the widest group of a written table."""
+    if slices is not None:
+        return max(2, slices)
+    widest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+    return max(2, -(-(widest or 0) // SLICE_ROWS))
+
+
 def _qname(p: float) -> str:
     return "q_" + format(p, "g").replace(".", "_").replace("-", "m")
 
@@ -48,15 +58,13 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    slices: int = DEFAULT_SLICES,
-    row_bound: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of `value` per group `by` (nulls ignored).
 
     Returns one row per group having a non-null value, with one double
     column per probability (named `names` or `q_<p>`). A global quantile
-    (by=()) over no values yields zero rows. `row_bound` is a known upper
-    bound on the rows of `df` (see `weighted_quantiles`).
+    (by=()) over no values yields zero rows.
     """
     by = list(by)
     # collapse duplicates map-side: (group, value) -> count
@@ -65,7 +73,7 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return weighted_quantiles(counts, probs, by, names, slices, row_bound=row_bound)
+    return weighted_quantiles(counts, probs, by, names, slices)
 
 
 def weighted_quantiles(
@@ -73,65 +81,14 @@ def weighted_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    slices: int = DEFAULT_SLICES,
-    inline_limit: int | None = None,
-    row_bound: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles from pre-aggregated rows (by..., _v double, _n count).
-
-    A size check (one small aggregate: the largest number of distinct values
-    in any group) picks the plan: up to `inline_limit` distinct values per
-    group, each group's sorted (value, count) array is scanned in a single
-    aggregation; beyond it, the sliced plan keeps every task bounded.
-
-    `row_bound` is a known upper bound on the rows the counts come from (for
-    example the row count of a written table). No group can hold more
-    distinct values than that, so a bound within the limit proves the inline
-    plan safe and replaces the size check.
-    """
+    """Exact quantiles from pre-aggregated rows (by..., _v double, _n count),
+    which are written once and then sliced by value (no group in one task)."""
     by = list(by)
     names = list(names) if names else [_qname(p) for p in probs]
-    limit = INLINE_LIMIT if inline_limit is None else inline_limit
-    if limit > 0 and row_bound is not None and row_bound <= limit:
-        return _inline_quantiles(counts, probs, by, names)
-    if limit > 0:
-        widest = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-        if widest is None or widest <= limit:
-            return _inline_quantiles(counts, probs, by, names)
-    return _sliced_quantiles(counts, probs, by, names, slices)
-
-
-INLINE_LIMIT = 200_000
-
-
-def _inline_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str], names: list[str]) -> DataFrame:
-    """Exact quantiles by one pass over each group's sorted (value, count) array."""
-    g = counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col("_v"), F.col("_n").cast("long").alias("_n")))).alias("_a"), F.sum("_n").alias("_tot"))
-    outs = []
-    for p, n in zip(probs, names):
-        k = (F.col("_tot") - 1) * F.lit(float(p))
-        k_lo, k_hi = F.floor(k), F.ceil(k)
-        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
-
-        def make_step(k_lo, k_hi):
-            def step(acc, e):
-                nxt = acc["cum"] + e["_n"]
-                return F.struct(
-                    nxt.alias("cum"),
-                    F.when((acc["cum"] <= k_lo) & (k_lo < nxt), e["_v"]).otherwise(acc["lo"]).alias("lo"),
-                    F.when((acc["cum"] <= k_hi) & (k_hi < nxt), e["_v"]).otherwise(acc["hi"]).alias("hi"),
-                )
-
-            return step
-
-        r = F.aggregate(F.col("_a"), init, make_step(k_lo, k_hi))
-        fr = k - k_lo
-        outs.append(F.when(fr == 0, r["lo"]).otherwise(r["lo"] + (r["hi"] - r["lo"]) * fr).alias(n))
-    return g.select(*by, *outs)
-
-
-def _sliced_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str], names: list[str], slices: int) -> DataFrame:
-    """Exact quantiles with order-preserving value slices (no group in one task)."""
+    counts = materialize(counts, "value-counts")
+    slices = _slices(counts, by, slices)
     # order-preserving slice id per (group, value) from sketch boundaries
     fracs = [i / slices for i in range(1, slices)]
     bounds = counts.groupBy(*by).agg(F.percentile_approx("_v", fracs, SKETCH_ACCURACY).alias("_b"))
@@ -168,7 +125,7 @@ def _sliced_quantiles(counts: DataFrame, probs: Sequence[float], by: list[str],
     return g.select(*by, *outs)
 
 
-def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], row_bound: int | None = None) -> dict[tuple[str, float], float | None]:
+def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
     """Exact global quantiles of several columns in ONE distributed pass.
 
     Columns are unpivoted to (column, value); only the handful of resulting
@@ -182,8 +139,7 @@ def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], row_bound:
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_kv")
     ).select("_kv._c", "_kv._x")
-    # each column (group) holds at most as many distinct values as df has rows
-    q = exact_quantiles(long, "_x", probs, by=["_c"], names=[f"p{i}" for i in range(len(probs))], row_bound=row_bound)
+    q = exact_quantiles(long, "_x", probs, by=["_c"], names=[f"p{i}" for i in range(len(probs))])
     got = {r["_c"]: r for r in q.collect()}
     out: dict[tuple[str, float], float | None] = {}
     for c in cols:
@@ -193,26 +149,15 @@ def scalar_quantiles(df: DataFrame, spec: dict[str, Sequence[float]], row_bound:
     return out
 
 
-def prefix_sums_before(
-    rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], slices: int = DEFAULT_SLICES,
-    inline_limit: int | None = None,
-) -> DataFrame:
+def prefix_sums_before(rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """For rows with unique (by, order): sums of `columns` over the group's
-    rows with a strictly smaller `order` value (`_before_<col>`).
-
-    A size check (the largest group's row count) picks the plan: groups of
-    at most `inline_limit` rows take one running-sum window; beyond it the
-    slice-and-offset scheme of `weighted_quantiles` keeps every task bounded
-    to one value slice of a group.
+    rows with a strictly smaller `order` value (`_before_<col>`), by the
+    slice-and-offset scheme of `weighted_quantiles` over the written rows.
     """
     by = list(by)
     cols = list(columns)
-    limit = INLINE_LIMIT if inline_limit is None else inline_limit
-    if limit > 0:
-        widest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-        if widest is None or widest <= limit:
-            w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-            return rows.select(*rows.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_before_{c}") for c in cols])
+    rows = materialize(rows, "ordered-rows")
+    slices = _slices(rows, by, slices)
     fracs = [i / slices for i in range(1, slices)]
     bounds = rows.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), fracs, SKETCH_ACCURACY).alias("_b"))
     sliced = _attach(rows, bounds, by).withColumn(
@@ -236,82 +181,36 @@ def bounded_domain_quantile(df: DataFrame, column: str, p: float) -> float | Non
     return df.agg(F.percentile(F.col(column).cast("double"), p).alias("q")).first()["q"]
 
 
-def dense_index_multi(df: DataFrame, columns: Sequence[str], sample_rows: int = 20_000, slices: int = DEFAULT_SLICES) -> DataFrame:
-    """`dense_index` for several columns in one pass: (column, value, idx).
+def dense_index_multi(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct non-null values of each column numbered 0.. in ascending
+    order: (column, value, idx), all columns in one pass.
 
-    Values are unpivoted to (column, value); order-preserving slice cut points
-    per column come from one bounded sample (at most `sample_rows` pairs reach
-    the driver); rows are numbered inside (column, slice) and shifted by the
-    sizes of the column's earlier slices.
+    The distinct (column, value) pairs are range-partitioned, sorted and
+    written with their place; a place is the rows of earlier tasks (a count a
+    task reaches the driver) plus the place within the task, and the index is
+    the distance to the column's first place.
     """
     cols = list(columns)
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_kv")
     ).select("_kv.column", "_kv.value").where(F.col("value").isNotNull()).distinct()
-    sample = long.limit(sample_rows).collect()
-    cuts: dict[str, list[str]] = {}
-    for c in cols:
-        vals = sorted({r["value"] for r in sample if r["column"] == c})
-        step = max(1, len(vals) // slices)
-        cuts[c] = sorted(set(vals[step::step]))
-    sl = F.lit(0)
-    for c in cols:
-        if cuts[c]:
-            arr = F.array(*[F.lit(x) for x in cuts[c]])
-            sl = F.when(F.col("column") == c, F.size(F.filter(arr, lambda b: b < F.col("value")))).otherwise(sl)
-    d = long.withColumn("_s", sl)
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy("column", "_s").orderBy("value")) - 1)
-    sizes = d.groupBy("column", "_s").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("column").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("column", "_s", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    return d.join(sizes, ["column", "_s"]).select("column", "value", (F.col("_off") + F.col("_rn")).cast("int").alias("idx"))
-
-
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return exact_quantiles(df, value, [0.5], by, [name])
-
-
-def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str], row_bound: int | None = None) -> DataFrame:
+    long = long.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    d = materialize(long.withColumn("_place", F.monotonically_increasing_id()), "ordered-values")
+    task = F.shiftright("_place", 33)
+    sizes = {r["t"]: r["count"] for r in d.groupBy(task.alias("t")).count().collect()}
+    starts, total = [], 0
+    for t in sorted(sizes):
+        starts.append((t, total))
+        total += sizes[t]
+    before = df.sparkSession.createDataFrame(starts, "t long, before long")
+    d = d.withColumn("t", task).join(F.broadcast(before), "t")
+    d = d.select("column", "value", (F.col("before") + F.col("_place").bitwiseAND((1 << 33) - 1)).alias("_pos"))
+    first = d.groupBy("column").agg(F.min("_pos").alias("_first"))
+    return d.join(F.broadcast(first), "column").select("column", "value", (F.col("_pos") - F.col("_first")).cast("int").alias("idx"))
+
+
+def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exactly one row (nulls when there are no values), for crossJoin-back."""
-    q = exact_quantiles(df, value, probs, (), names, row_bound=row_bound)
+    q = exact_quantiles(df, value, probs, (), names)
     one = df.sparkSession.range(1).select()
     return one.join(q, how="left")
-
-
-def multi_column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row holding the exact median of each column (nulls if none).
-
-    Columns are unpivoted to (column, value) so one distributed quantile pass
-    serves all of them, then pivoted back to one row.
-    """
-    columns = list(columns)
-    long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in columns])).alias("_kv")
-    ).select("_kv._c", "_kv._x")
-    med = exact_quantiles(long, "_x", [0.5], by=["_c"], names=["_m"])
-    row = med.groupBy().pivot("_c", columns).agg(F.first("_m"))
-    return df.sparkSession.range(1).select().join(row, how="left")
-
-
-def dense_index(df: DataFrame, column: str, name: str | None = None, slices: int = DEFAULT_SLICES, sample_rows: int = 20_000) -> DataFrame:
-    """Distinct non-null values of `column` numbered 0.. in ascending order.
-
-    Slice boundaries come from a bounded sample (at most `sample_rows` values
-    reach the driver), rows are numbered within their slice and shifted by
-    the size of all earlier slices.
-    """
-    name = name or f"{column}_idx"
-    d = df.select(F.col(column)).where(F.col(column).isNotNull()).distinct()
-    sample = d.sample(False, 1.0, seed=17).limit(sample_rows).orderBy(column).collect() if slices > 1 else []
-    vals = [r[0] for r in sample]
-    step = max(1, len(vals) // slices)
-    cuts = sorted(set(vals[step::step]))
-    if cuts:
-        sl = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda b: b < F.col(column)))
-    else:
-        sl = F.lit(0)
-    d = d.withColumn("_s", sl)
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy("_s").orderBy(column)) - 1)
-    sizes = d.groupBy("_s").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = sizes.select("_s", F.coalesce(F.sum("_c").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return d.join(sizes, "_s").select(column, (F.col("_off") + F.col("_rn")).cast("int").alias(name))

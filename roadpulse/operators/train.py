@@ -22,30 +22,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import materialize
 from . import metrics
 
 SEED = 42
-_HASH_MOD = 1_000_003
-_HASH_MUL = 2_654_435_761
 
 
 # ------------------------------------------------------------------ ML1 split
 def unit_hash(key: str, salt: int = 0) -> F.Column:
-    """Portable uniform [0, 1) value of an integer key (same in any SQL engine)."""
-    k = (F.col(key) + F.lit(salt)) % _HASH_MOD
-    return ((k * F.lit(_HASH_MUL)) % _HASH_MOD).cast("double") / F.lit(float(_HASH_MOD))
+    """Portable uniform [0, 1) value of a key of any type: 32 bits of the md5 of
+    its text and the salt (the same in any SQL engine). Values under different
+    salts are independent, so folds are even inside splits and samples."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{salt}")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def split_column(key: str, train: float = 0.70, val: float = 0.15, salt: int = 0) -> F.Column:
     """ML1: 'train' / 'val' / 'test' by key hash; no shuffle, no window.
 
-    Every row draws independently, so each class is split in the same
-    proportions in expectation (stratified by construction, not by count).
+    Every row draws independently: a class is split in these proportions in
+    expectation only (`stratified_split` does it by count).
     """
     u = unit_hash(key, salt)
     return F.when(u < train, "train").when(u < train + val, "val").otherwise("test")
 
 
+def stratified_split(df: DataFrame, label: str, key: str, train: float = 0.70, val: float = 0.15, salt: int = 0) -> DataFrame:
+    """ML1: 'train' / 'val' / 'test' in these proportions within every class.
+
+    The cut points are exact quantiles of the key hash by class (two numbers a
+    class, joined back), so a rare class reaches every split it has rows for.
+    """
+    from .stats import exact_quantiles
+
+    d = df.withColumn("_u", unit_hash(key, salt))
+    cuts = exact_quantiles(d, "_u", [train, train + val], by=[label], names=["_t1", "_t2"]).withColumnRenamed(label, "_label")
+    d = d.join(cuts, F.col(label).eqNullSafe(F.col("_label")))
+    split = F.when(F.col("_u") <= F.col("_t1"), "train").when(F.col("_u") <= F.col("_t2"), "val").otherwise("test")
+    return d.withColumn("split", split).drop("_u", "_label", "_t1", "_t2")
+
+
 def fold_column(key: str, k: int, salt: int = 7) -> F.Column:
     """ML16: fold id 0..k-1 by key hash."""
     return F.least(F.floor(unit_hash(key, salt) * k).cast("int"), F.lit(k - 1))
@@ -60,18 +76,19 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return df.join(w, label, "left")
 
 
-def oversample(df: DataFrame, label: str, seed: int = SEED) -> DataFrame:
+def oversample(df: DataFrame, label: str, key: str = "incident_id", salt: int = SEED) -> DataFrame:
     """ML2b: grow every class to the size of the largest by replication.
 
     Each row is repeated floor(r) times plus once more with probability
     frac(r), r = max_count / class_count (an expected-count balance; no row
-    is dropped). Replication is a per-row explode, no shuffle.
+    is dropped). The draw is the key's hash, so a task that runs again gives
+    the same rows. Replication is a per-row explode, no shuffle.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     mx = counts.agg(F.max("_nc").alias("_mx"))
     ratio = counts.crossJoin(F.broadcast(mx)).select(label, (F.col("_mx") / F.col("_nc")).alias("_r"))
     d = df.join(ratio, label, "left")
-    extra = (F.rand(seed) < (F.col("_r") - F.floor("_r"))).cast("int")
+    extra = (unit_hash(key, salt) < (F.col("_r") - F.floor("_r"))).cast("int")
     reps = (F.floor("_r").cast("int") + extra)
     return d.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1))))).drop("_r", "_rep")
 
@@ -101,7 +118,7 @@ def classifiers(n_classes: int, sizes: Sizes = Sizes(), label: str = "label") ->
                                  subsamplingRate=0.632, featureSubsetStrategy="sqrt", maxDepth=min(sizes.depth * 2, 16))
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=sizes.gbt_iter, maxDepth=sizes.depth, stepSize=sizes.step,
                         subsamplingRate=sizes.subsample, featureSubsetStrategy=sizes.feature_subset, seed=SEED, weightCol="weight")
-    boosted = gbt if n_classes <= 2 else OneVsRest(classifier=gbt.copy().setWeightCol(""), labelCol=label, featuresCol="features")
+    boosted = gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", weightCol="weight")
     return {"RandomForest": rf, "BalancedRF": brf, "GradientBoost": boosted}
 
 
@@ -117,7 +134,7 @@ def regressors(sizes: Sizes = Sizes(), label: str = "label") -> dict:
 
 
 # ------------------------------------------------------------------ probabilities
-def probability_array(pred: DataFrame, n_classes: int) -> DataFrame:
+def probability_array(pred: DataFrame, n_classes: int | None = None) -> DataFrame:
     """Class-probability array for any fitted classifier output.
 
     OneVsRest over GBT yields raw margins only: p_k = 1/(1+exp(-2 m_k)),
@@ -162,9 +179,9 @@ def train_target(
 ) -> TargetResult:
     """ML7: fit every candidate on train, choose by validation balanced
     accuracy (TK5), report the winner's test metrics (ML11–ML12)."""
-    d = data.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double")).withColumn("split", split_column(key))
+    d = materialize(stratified_split(data.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double")), "label", key), "split")
     train = d.where(F.col("split") == "train")
-    train = oversample(train, "label") if balance == "oversample" else train
+    train = materialize(oversample(train, "label", key), "oversampled") if balance == "oversample" else train
     train = class_weights(train, "label")
     n_classes = int(d.agg(F.count_distinct("label")).first()[0])
     va = assembler(features)
@@ -298,11 +315,12 @@ def tune(data: DataFrame, target: str, est, param_maps: list, folds: int = 5, ke
 def feature_importance(model: PipelineModel, features: Sequence[str] = K.FEATURE_COLUMNS, top: int = K.TOP_IMPORTANCES) -> DataFrame:
     """ML19 / TK4: top-n importances with the real feature names (Q12)."""
     stage = model.stages[-1]
-    imp = getattr(stage, "featureImportances", None)
-    if imp is None and hasattr(stage, "models"):
-        imp = stage.models[0].featureImportances
-    spark = model.stages[0]._new_java_obj  # noqa: F841 - keeps import-time checks quiet
-    vals = imp.toArray().tolist() if imp is not None else [0.0] * len(features)
+    members = stage.models if hasattr(stage, "models") else [stage]
+    if not all(hasattr(m, "featureImportances") for m in members):
+        raise ValueError(f"{type(stage).__name__} has no feature importances")
+    # a one-vs-rest model has one member a class: their mean
+    arrays = [m.featureImportances.toArray().tolist() for m in members]
+    vals = [sum(v) / len(arrays) for v in zip(*arrays)]
     from pyspark.sql import SparkSession
 
     s = SparkSession.getActiveSession()

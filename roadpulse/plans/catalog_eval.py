@@ -182,3 +182,23 @@ def q_split_assignment(spark, sf):
 
     inc = _inc(spark, sf)
     return inc.select("incident_id", "congestion_severity", split_column("incident_id").alias("split"))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    """ML1: 70/15/15 within every severity class, by exact cut points of the key hash."""
+    from ..operators.train import stratified_split
+
+    return stratified_split(_inc(spark, sf).select("incident_id", "congestion_severity"), "congestion_severity", "incident_id")
+
+
+@register("fold_assignment")
+def q_fold_assignment(spark, sf):
+    """ML16/ML17: split, tuning sample and folds, from hashes that don't depend on each other."""
+    from ..operators import train
+
+    inc = _inc(spark, sf)
+    return inc.select(
+        "incident_id", train.split_column("incident_id").alias("split"), (train.unit_hash("incident_id", 3) < 0.70).alias("sampled"),
+        train.fold_column("incident_id", 5).alias("fold5"), train.fold_column("incident_id", 3, salt=11).alias("fold3"),
+    )

@@ -20,11 +20,14 @@ def _scratch(spark, name: str) -> str:
 
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf):
-    """IO1 + IO3: incidents written as CSV to the shared folder and read back
-    with the explicit schema and the skip-too-long-lines rule."""
+    """IO1 + IO3: incidents with text ids, written as CSV in another order of
+    columns, with a further column, and read back by header."""
     raw = bind.incidents(spark, sf)
     path = _scratch(spark, "incidents-csv")
-    io.write_incidents_csv(raw, path)
+    first = ["zone", "event_cause", "latitude"]
+    rest = [c for c in raw.columns if c not in first and c != "incident_id"]
+    out = raw.select(*first, F.lit("x, y").alias("remark"), F.concat(F.lit("INC"), F.col("incident_id").cast("string")).alias("id"), *rest)
+    io.write_incidents_csv(out, path)
     return io.read_incidents_csv(spark, path)
 
 

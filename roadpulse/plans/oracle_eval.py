@@ -60,8 +60,8 @@ SELECT total_predictions, evaluated_records,
   round_even(err, 3) AS severity_mean_error,
   round_even(mae, 2) AS duration_mae,
   (hits / evaluated_records) < 0.7 AS retrain,
-  CASE WHEN (hits / evaluated_records) < 0.7 THEN 'Significant drift detected - RETRAIN RECOMMENDED'
-       ELSE 'Model performance acceptable. No retraining needed.' END AS recommendation
+  CASE WHEN (hits / evaluated_records) < 0.7 THEN '⚠ Significant drift detected — RETRAIN RECOMMENDED'
+       ELSE '✓ Model performance acceptable. No retraining needed.' END AS recommendation
 FROM (
   SELECT count(*) AS total_predictions,
     count(*) FILTER (WHERE actual_severity IS NOT NULL AND pred_severity IS NOT NULL) AS evaluated_records,
@@ -305,5 +305,20 @@ ORACLE["split_assignment"] = with_inc("""
 SELECT incident_id, congestion_severity,
   CASE WHEN u < 0.70 THEN 'train' WHEN u < 0.85 THEN 'val' ELSE 'test' END AS split
 FROM (SELECT incident_id, congestion_severity,
-        CAST(((incident_id % 1000003) * 2654435761) % 1000003 AS DOUBLE) / 1000003.0 AS u FROM inc)
+        CAST('0x' || substr(md5(CAST(incident_id AS VARCHAR) || ':0'), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM inc)
+""")
+
+_U = "CAST('0x' || substr(md5(CAST(incident_id AS VARCHAR) || ':{salt}'), 1, 8) AS BIGINT) / 4294967296.0"
+
+ORACLE["stratified_split"] = with_inc(f"""
+SELECT incident_id, congestion_severity, CASE WHEN u <= t1 THEN 'train' WHEN u <= t2 THEN 'val' ELSE 'test' END AS split
+FROM (SELECT incident_id, congestion_severity, {_U.format(salt=0)} AS u FROM inc) a
+JOIN (SELECT congestion_severity AS c, quantile_cont(u, 0.70) AS t1, quantile_cont(u, 0.85) AS t2
+      FROM (SELECT congestion_severity, {_U.format(salt=0)} AS u FROM inc) GROUP BY 1) b ON a.congestion_severity = b.c
+""")
+
+ORACLE["fold_assignment"] = with_inc(f"""
+SELECT incident_id, CASE WHEN u0 < 0.70 THEN 'train' WHEN u0 < 0.85 THEN 'val' ELSE 'test' END AS split,
+  u3 < 0.70 AS sampled, CAST(least(floor(u7 * 5), 4) AS INTEGER) AS fold5, CAST(least(floor(u11 * 3), 2) AS INTEGER) AS fold3
+FROM (SELECT incident_id, {_U.format(salt=0)} AS u0, {_U.format(salt=3)} AS u3, {_U.format(salt=7)} AS u7, {_U.format(salt=11)} AS u11 FROM inc)
 """)

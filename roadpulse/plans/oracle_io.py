@@ -8,7 +8,7 @@ from .oracle_eval import B4, _cls
 _F = "'%Y-%m-%d %H:%M:%S'"
 
 ORACLE["csv_roundtrip"] = "WITH " + B1 + f"""
-SELECT * REPLACE (strftime(start_datetime, {_F}) AS start_datetime, strftime(end_datetime, {_F}) AS end_datetime,
+SELECT 'x, y' AS remark, * REPLACE ('INC' || CAST(incident_id AS VARCHAR) AS incident_id, strftime(start_datetime, {_F}) AS start_datetime, strftime(end_datetime, {_F}) AS end_datetime,
   strftime(closed_datetime, {_F}) AS closed_datetime, strftime(resolved_datetime, {_F}) AS resolved_datetime)
 FROM b1
 """

@@ -18,7 +18,7 @@ BAD = "_corrupt_record"
 
 INCIDENT_SCHEMA = T.StructType(
     [
-        T.StructField("incident_id", T.LongType()),
+        T.StructField("incident_id", T.StringType()),
         T.StructField("start_datetime", T.StringType()),
         T.StructField("end_datetime", T.StringType()),
         T.StructField("closed_datetime", T.StringType()),
@@ -43,26 +43,41 @@ INCIDENT_SCHEMA = T.StructType(
 )
 
 
+# names in the incident file's header -> names of the data model
+HEADER_NAMES = {"id": "incident_id"}
+
+
 def read_incidents_csv(spark: SparkSession, path: str, schema: T.StructType = INCIDENT_SCHEMA) -> DataFrame:
-    """IO1: CSV scan with header; lines with too MANY fields are skipped,
-    lines with too few are kept with nulls (the original reader's rule).
+    """IO1: CSV scan by header; lines with more fields than the header are
+    skipped, lines with fewer are kept with nulls (the original reader's rule).
 
-    Spark flags both kinds in the corrupt-record column; a flagged line is
-    re-split with `from_csv` against the schema plus one extra field (quotes
-    respected) and dropped only if that extra field is present.
+    Columns are found by name, in any order; `id` is the incident id, read as
+    text. Columns of `schema` that the file lacks are null, further columns of
+    the file are kept as text. All files of a folder must have the same header.
+
+    Spark flags lines of another width, and lines with unreadable values, in
+    the corrupt-record column; the fields of a flagged line are counted outside
+    quotes against the file's own width.
     """
-    with_bad = T.StructType(list(schema.fields) + [T.StructField(BAD, T.StringType())])
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    types = {f.name: f.dataType for f in schema.fields}
+    own = [HEADER_NAMES.get(c, c) for c in header]
+    fields = [T.StructField(c, types.get(own[i], T.StringType())) for i, c in enumerate(header)]
     raw = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
-        .schema(with_bad)
+        .schema(T.StructType([*fields, T.StructField(BAD, T.StringType())]))
         .csv(path)
     )
-    probe = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema.fields) + 1)])
-    extra = F.from_csv(F.col(BAD), probe.simpleString().replace("struct<", "").rstrip(">").replace(":", " "))[f"c{len(schema.fields)}"]
-    keep = F.col(BAD).isNull() | extra.isNull()
-    return raw.where(keep).drop(BAD)
+    width = F.size(F.split(F.regexp_replace(F.col(BAD), '"(?:[^"]|"")*"', ""), ","))
+    kept = raw.where(F.col(BAD).isNull() | (width <= len(header))).drop(BAD).toDF(*own)
+    missing = [f for f in schema.fields if f.name not in own]
+    rest = [c for c in own if c not in types]
+    return kept.select(
+        *[F.col(f.name) if f not in missing else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], *[F.col(c) for c in rest]
+    )
 
 
 def write_incidents_csv(df: DataFrame, path: str) -> None:

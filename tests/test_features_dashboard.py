@@ -75,7 +75,7 @@ def test_describe_categorical_ties_and_all_null_column(spark):
 
     rows = [("b", None, 1.0), ("a", None, 2.0), ("b", None, 3.0), ("a", None, None), (None, None, 5.0)]
     df = spark.createDataFrame(rows, "c string, z string, x double")
-    got = {r.column: r for r in profile.describe_all(df, ["x"], ["c", "z"], row_bound=len(rows)).collect()}
+    got = {r.column: r for r in profile.describe_all(df, ["x"], ["c", "z"]).collect()}
     # 'a' and 'b' both appear twice: the tie goes to the smallest value
     assert (got["c"]["count"], got["c"]["unique"], got["c"]["top"], got["c"]["freq"]) == (4, 2, "a", 2)
     # an all-null column is still reported

@@ -19,11 +19,32 @@ def test_csv_skips_only_too_long_lines(spark):
     good = ",".join(["1"] + [""] * (n - 1))
     short = "2,2024-01-01 00:00:00"
     long = ",".join(["3"] + ["x"] * n)
+    long_empty = ",".join(["5"] + [""] * n)
     quoted = ",".join(["4", '"a,b"'] + [""] * (n - 2))
     with open(os.path.join(d, "x.csv"), "w") as f:
-        f.write("\n".join([header, good, short, long, quoted]) + "\n")
+        f.write("\n".join([header, good, short, long, long_empty, quoted]) + "\n")
     ids = sorted(r.incident_id for r in io.read_incidents_csv(spark, d).collect())
-    assert ids == [1, 2, 4]
+    assert ids == ["1", "2", "4"]
+
+
+def test_csv_is_read_by_header(spark):
+    """A file with its own order, more columns than the model, `id` and text ids."""
+    d = tempfile.mkdtemp(prefix="rp-csv-", dir="/tmp")
+    header = ["id", "event_type", "latitude", *[f"more{i}" for i in range(40)], "zone", "start_datetime"]
+    n = len(header)
+    lines = [
+        ",".join(["A1", "planned", "12.5", *["m"] * 40, '"North, old"', "2024-01-01 10:00:00"]),
+        ",".join(["A2", "unplanned", "13.5", *[""] * 40, "South"]),  # short
+        ",".join(["A3", *["y"] * n]),  # too long
+        ",".join(["A4", *[""] * n]),  # too long, the last one empty
+        ",".join(["A5", "planned", "not a number", *["m"] * 40, "East", "2024-01-02"]),
+    ]
+    with open(os.path.join(d, "x.csv"), "w") as f:
+        f.write("\n".join([",".join(header), *lines]) + "\n")
+    got = {r.incident_id: r for r in io.read_incidents_csv(spark, d).collect()}
+    assert set(got) == {"A1", "A2", "A5"}
+    assert (got["A1"].zone, got["A1"].latitude, got["A1"].start_datetime, got["A1"].corridor) == ("North, old", 12.5, "2024-01-01 10:00:00", None)
+    assert got["A2"].start_datetime is None and got["A2"].zone == "South" and got["A5"].latitude is None and got["A5"].more0 == "m"
 
 
 DEMO = [  # the four demo scenarios (F3)

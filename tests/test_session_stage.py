@@ -1,4 +1,4 @@
-"""Lineage cuts, per-snapshot stage outputs and input spreading."""
+"""Lineage cuts and per-snapshot stage outputs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import tempfile
 from pyspark.sql import functions as F
 
 from roadpulse.session import checkpoint_dir, materialize, stage
-from roadpulse.sources import bind
 
 
 def test_materialize_is_a_pruned_parquet_table(spark):
@@ -43,22 +42,23 @@ def test_stage_is_rebuilt_when_an_input_changes(spark):
     assert len(calls) == 2 and third.first()["s"] == 21
 
 
-def test_spread_only_touches_small_split_counts(spark):
-    cores = spark.sparkContext.defaultParallelism
-    folder = tempfile.mkdtemp(prefix="rp-spread-", dir="/tmp")
-    big = os.path.join(folder, "big.parquet")
-    spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1).write.parquet(big)
-    tiny = os.path.join(folder, "tiny.parquet")
-    spark.range(10).coalesce(1).write.parquet(tiny)
-    b = bind.spread(spark.read.parquet(big), big)
-    t = bind.spread(spark.read.parquet(tiny), tiny)
-    if cores > 1:
-        assert b.rdd.getNumPartitions() == cores
-    assert t.rdd.getNumPartitions() == 1
-    assert b.agg(F.sum("id")).first()[0] == sum(range(400_000))
-    # filters and column pruning still reach the scan under the repartition
-    plan = b.where(F.col("id") < 5).select("id")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<id:bigint>" in plan and "LessThan(id,5)" in plan
+def test_no_scratch_folder_on_a_cluster(monkeypatch):
+    """Without spark.checkpoint.dir only a local session gets a folder."""
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else None
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
 
 
 def test_stage_is_rebuilt_when_its_table_is_gone(spark):

@@ -40,8 +40,11 @@ def test_scalar_quantiles_and_empty(spark):
 def test_dense_index_alphabetical(spark):
     vals = ["b", "a", "Unknown", "c", "a", "B"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
-    got = {r.v: r.v_idx for r in stats.dense_index(df, "v", slices=3).collect()}
-    assert got == {v: i for i, v in enumerate(sorted(set(vals)))}
+    df = df.withColumn("w", F.concat(F.lit("x"), "v"))
+    got = {(r.column, r.value): r.idx for r in stats.dense_index_multi(df, ["v", "w"]).collect()}
+    want = {("v", v): i for i, v in enumerate(sorted(set(vals)))}
+    assert got == want | {("w", "x" + v): i for (_, v), i in want.items()}
+    assert stats.dense_index_multi(df.limit(0), ["v"]).count() == 0
 
 
 def _events(rows):
@@ -66,7 +69,7 @@ def test_bucketed_windows_equal_plain_windows_with_hot_key(spark):
         rows.append((i, z, t, rng.randint(0, 3)))
     df = spark.createDataFrame(rows, "incident_id long, zone string, start_datetime timestamp_ntz, sev int")
     widths = {"w1": history.DAY_US, "w7": 7 * history.DAY_US}
-    got = history.trailing_counts(df, ["zone"], "start_datetime", widths, bucket_us=history.HOUR_US * 6, key="incident_id")
+    got = history.trailing_counts(df, ["zone"], "start_datetime", widths, bucket_us=history.HOUR_US * 6)
     t = F.unix_micros(F.col("start_datetime").cast("timestamp"))
     exp = df.where(F.col("start_datetime").isNotNull()).select(
         "incident_id",
@@ -91,43 +94,61 @@ def test_bucketed_windows_equal_plain_windows_with_hot_key(spark):
 def test_prefix_sums_before(spark):
     rows = [("g", float(v), 1) for v in range(100)] + [("h", 5.0, 3)]
     df = spark.createDataFrame(rows, "g string, v double, n long")
-    for limit in (0, 10**6):  # sliced plan, then the size-checked window
-        got = {(r.g, r.v): r._before_n for r in stats.prefix_sums_before(df, ["g"], "v", ["n"], slices=7, inline_limit=limit).collect()}
+    for slices in (None, 7):
+        got = {(r.g, r.v): r._before_n for r in stats.prefix_sums_before(df, ["g"], "v", ["n"], slices=slices).collect()}
         assert got[("g", 0.0)] == 0 and got[("g", 50.0)] == 50 and got[("g", 99.0)] == 99 and got[("h", 5.0)] == 0
 
 
-def test_sliced_and_inline_quantiles_agree(spark):
+def test_quantiles_do_not_depend_on_the_slices(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(rng.choice(["a", "b", None]), float(rng.randint(0, 500)) if rng.random() > 0.1 else rng.random()) for _ in range(3000)]
     df = spark.createDataFrame(rows, "g string, v double")
-    counts = df.groupBy("g", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    probs = [0.0, 0.3, 0.5, 0.99, 1.0]
-    names = [f"p{i}" for i in range(len(probs))]
-    a = sorted(stats.weighted_quantiles(counts, probs, ["g"], names, inline_limit=0).collect(), key=lambda r: str(r.g))
-    b = sorted(stats.weighted_quantiles(counts, probs, ["g"], names, inline_limit=10**6).collect(), key=lambda r: str(r.g))
-    for x, y in zip(a, b):
-        for n in names:
-            assert abs(x[n] - y[n]) < 1e-9
+    probs, names = [0.0, 0.3, 0.5, 0.99, 1.0], list("abcde")
 
+    def run(slices=None):
+        return sorted((tuple(r) for r in stats.exact_quantiles(df, "v", probs, ["g"], names, slices=slices).collect()), key=repr)
 
-def test_row_bound_shortcut_equals_checked_and_sliced_plans(spark):
-    rng = random.Random(11)
-    rows = [(rng.choice(["x", "y", "z"]), float(rng.randint(0, 300)) if rng.random() > 0.1 else None) for _ in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    probs, names = [0.01, 0.5, 0.99], ["a", "b", "c"]
+    few, many = run(2), run(31)
+    monkeypatch.setattr(stats, "SLICE_ROWS", 40)  # slices follow the widest group
+    for x, y, z in zip(few, many, run()):
+        assert x == y == z
+        values = [v for g, v in rows if g == x[0]]
+        assert np.allclose(x[1:], np.quantile(values, probs))
 
-    def run(**kw):
-        out = stats.exact_quantiles(df, "v", probs, by=["g"], names=names, **kw).collect()
-        return sorted((r.g, r.a, r.b, r.c) for r in out)
 
-    bounded = run(row_bound=len(rows))  # proven within the limit: no size check
-    checked = run()  # size check picks the inline plan
-    counts = df.where(F.col("v").isNotNull()).groupBy("g", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    sliced = sorted(
-        (r.g, r.a, r.b, r.c) for r in stats.weighted_quantiles(counts, probs, ["g"], names, slices=7, inline_limit=0).collect()
-    )
-    assert bounded == checked == sliced
-    # a bound above the limit falls back to the size check (same answer)
-    assert run(row_bound=10**12) == checked
-    sc = stats.scalar_quantiles(df, {"v": [0.5]}, row_bound=len(rows))
-    assert sc[("v", 0.5)] == float(np.quantile([v for _, v in rows if v is not None], 0.5))
+def test_history_with_text_ids(spark):
+    rng = random.Random(12)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(f"ID{rng.randrange(10**6):06d}x{i}", rng.choice(["a", None, "b"]), None if rng.random() < 0.2 else base + dt.timedelta(hours=rng.randrange(200)), rng.randint(0, 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "incident_id string, zone string, start_datetime timestamp_ntz, sev int")
+    got = {r.incident_id: r for r in history.trailing_counts(df, ["zone"], "start_datetime", {"w": history.DAY_US}).collect()}
+    assert len(got) == len(rows)
+    for i, z, t, _ in rows:
+        want = None if t is None else float(sum(zz == z and tt is not None and t - dt.timedelta(days=1) < tt <= t for _, zz, tt, _ in rows))
+        assert got[i].w == want
+    before = {r.incident_id: r.p for r in history.previous_value(df.where("zone is not null"), ["zone"], "start_datetime", "incident_id", "sev", "p").collect()}
+    for z in ("a", "b"):
+        own = sorted((r for r in rows if r[1] == z), key=lambda r: (r[2] is None, r[2] or base, r[0]))
+        assert [before[r[0]] for r in own] == [None, *[r[3] for r in own[:-1]]]
+
+
+def test_folds_are_even_inside_splits_and_samples(spark):
+    from roadpulse.operators import train
+
+    df = spark.range(1, 60_001).select(F.concat(F.lit("k"), "id").alias("k"))
+    split, fold = train.split_column("k"), train.fold_column("k", 5)
+    for part in (df.where(split == "train"), df.where(train.unit_hash("k", 3) < 0.7)):
+        counts = [r["count"] for r in part.groupBy(fold.alias("f")).count().collect()]
+        n = sum(counts)
+        assert len(counts) == 5 and max(abs(c - n / 5) for c in counts) < 0.03 * n
+
+
+def test_stratified_split_by_class(spark):
+    from roadpulse.operators import train
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 100 == 0, 2).when(F.col("id") % 3 == 0, 1).otherwise(0).alias("y"))
+    got = {(r.y, r.split): r["count"] for r in train.stratified_split(df, "y", "id").groupBy("y", "split").count().collect()}
+    for y in (0, 1, 2):
+        n = sum(got[y, s] for s in ("train", "val", "test"))
+        for s, share in (("train", 0.7), ("val", 0.15), ("test", 0.15)):
+            assert abs(got[y, s] - share * n) <= 0.01 * n + 1
