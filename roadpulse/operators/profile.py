@@ -171,20 +171,17 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """AG12: `bins` equal-width bins over [min, max], last bin closed.
 
-    Returns (bin, lower, count); min/max come from a one-row aggregate.
+    Returns (bin, lower, count), empty bins included; no rows if there are no
+    values. The bounds are a one-row aggregate, the bins at most `bins` rows.
     """
-    mm = df.agg(F.min(column).cast("double").alias("_mn"), F.max(column).cast("double").alias("_mx"))
     x = F.col(column).cast("double")
+    mm = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx")).where("_mn is not null")
     width = F.col("_mx") - F.col("_mn")
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((x - F.col("_mn")) / width * F.lit(float(bins))), F.lit(bins - 1)))
-    return (
-        df.where(x.isNotNull())
-        .crossJoin(F.broadcast(mm))
-        .select(b.cast("int").alias("bin"), F.col("_mn"), width.alias("_w"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"), F.first("_mn").alias("_mn"), F.first("_w").alias("_w"))
-        .select("bin", (F.col("_mn") + F.col("_w") * F.col("bin") / F.lit(float(bins))).alias("lower"), "count")
-    )
+    counts = df.where(x.isNotNull()).crossJoin(F.broadcast(mm)).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
+    every = mm.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_mn", width.alias("_w"))
+    every = every.select("bin", (F.col("_mn") + F.col("_w") * F.col("bin") / F.lit(float(bins))).alias("lower"))
+    return every.join(counts, "bin", "left").select("bin", "lower", F.coalesce("_n", F.lit(0)).alias("count"))
 
 
 def null_map(df: DataFrame, columns: Sequence[str], key: str = "incident_id") -> DataFrame:

@@ -8,12 +8,14 @@ from . import (  # noqa: F401
     catalog_features,
     catalog_io,
     catalog_ml,
+    catalog_more,
     catalog_streams,
     oracle,
     oracle_dash,
     oracle_eval,
     oracle_features,
     oracle_io,
+    oracle_more,
     oracle_streams,
 )
 

@@ -57,7 +57,7 @@ def test_correlation_constant_column_is_null(spark):
 def test_equal_width_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 4, 10]], "x double")
     got = {r.bin: r["count"] for r in profile.equal_width_histogram(df, "x", 5).collect()}
-    assert got == {0: 2, 1: 2, 2: 1, 4: 1}
+    assert got == {0: 2, 1: 2, 2: 1, 3: 0, 4: 1}
     assert sum(got.values()) == 6
 
 
