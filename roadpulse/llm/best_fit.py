@@ -28,27 +28,58 @@ from pyspark.sql import functions as F
 
 from .common import SLICE, Scratch, batch_of, pick, slices
 
-#: Entries of a worker's cache of chunks, and the longest chunk that is kept.
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 48
+#: Entries of a worker's caches of chunks and of words, and the longest that is kept.
+CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 900_000, 500_000, 48
 #: Pieces of a length that are ranked together.
-RANK_ROWS = 50_000
+RANK_ROWS = 1_000
 _RANK_BITS = 48
+_MARKS = ".,;:!?"
+
+
+class WordIds(dict):
+    """Lower-case word -> its ids as little-endian unsigned 32-bit numbers; a bounded cache."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.library = Tokenizer.from_file(path)
+        self.merge = self.library.model.tokenize
+        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+
+    def encode(self, chunk: str) -> bytes:
+        """Ids of any chunk."""
+        return np.asarray(self.library.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        """Ids of a word of lower-case letters below U+0250: normalising and splitting would leave it as it is."""
+        ids = np.asarray([t.id for t in self.merge(word if word.isascii() else self.to_bytes(word)[0][0])], dtype="<u4").tobytes()
+        if len(word) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class ChunkIds(dict):
-    """Chunk without spaces -> its ids as little-endian unsigned 32-bit numbers.
+    """Chunk without spaces -> its ids; a bounded cache.
 
     The vocabulary's words never hold white space, so a text's ids are those of
-    its chunks between spaces and line ends.
+    its chunks between spaces and line ends. Most chunks are a word and a mark or
+    none: there the ids are those of the lower-case word and of the mark. That is
+    done for letters below U+0250 alone, which lower-case one by one and which
+    every version of Unicode knows; other chunks are encoded as they stand.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.encode = Tokenizer.from_file(path).encode
+        self.words = WordIds(path)
+        self.marks = {m: self.words.encode(m) for m in _MARKS}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.asarray(self.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes() if chunk else b""
+        word, mark = (chunk[:-1], chunk[-1]) if chunk and chunk[-1] in _MARKS else (chunk, "")
+        if word.isalpha() and max(word) < "\u0250" and (low := word.lower()).isalpha():
+            ids = self.words[low] + (self.marks[mark] if mark else b"")
+        else:
+            ids = self.words.encode(chunk) if chunk else b""
         if len(chunk) <= CACHE_CHARS:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
