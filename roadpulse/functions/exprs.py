@@ -99,7 +99,3 @@ def normalized_cause(c: str | Column = "event_cause") -> Column:
     """PF9: fill 'others', lower, strip; 'debris' -> 'debris_'."""
     x = F.trim(F.lower(F.coalesce(col(c), F.lit("others"))))
     return F.when(x == "debris", F.lit("debris_")).otherwise(x)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)

@@ -132,11 +132,6 @@ def clip_to_quantiles(
     return out
 
 
-def keep_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """PF15: project the wanted columns that exist, in the wanted order."""
-    return df.select(*[c for c in wanted if c in df.columns])
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     """PF20: numeric columns by schema type."""
     num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)

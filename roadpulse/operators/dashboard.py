@@ -18,7 +18,6 @@ def kpis(events: DataFrame) -> DataFrame:
     """AG1: one row of headline numbers (half-even rounding as Python's round).
 
     A zero-row input yields total_events = 0 and nulls elsewhere (the short form).
-    `row_bound` (rows of `events`, when known) bounds the median's distinct values.
     """
     agg = events.agg(
         F.count(F.lit(1)).alias("total_events"),

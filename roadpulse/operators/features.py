@@ -115,8 +115,8 @@ def fit_label_encoders(df: DataFrame, columns: Sequence[str] = K.LABEL_ENCODED)
     return {c: dims.where(F.col("column") == c).select("value", F.col("idx").alias(f"{c}_enc")) for c in cols}
 
 
-def apply_label_encoders(df: DataFrame, dims: dict[str, DataFrame], unseen: int = 0) -> DataFrame:
-    """Join each dictionary (small; AQE broadcasts it). Unseen values -> `unseen`."""
+def apply_label_encoders(df: DataFrame, dims: dict[str, DataFrame], unseen: int = -1) -> DataFrame:
+    """Join each dictionary (small; AQE broadcasts it). Unseen values -> `unseen`, a code that no label has."""
     d = df
     for c, dim in dims.items():
         key = _filled(c) if c in d.columns else F.lit("Unknown")

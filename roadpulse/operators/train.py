@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
@@ -278,13 +278,14 @@ def stacking_model(train: DataFrame, members: dict, n_classes: int, folds: int =
 
 
 # ------------------------------------------------------------------ ML17 / ML18 search
-def random_param_maps(est, n: int, seed: int = SEED) -> list:
-    """ML17: seeded random search space for a boosted-tree estimator."""
+def random_param_maps(est, n: int, seed: int = SEED, rounds: tuple[int, int] = (20, 100)) -> list:
+    """ML17: seeded random search space for a boosted-tree estimator; `rounds`
+    are the least and most boosting rounds drawn."""
     rng = random.Random(seed)
     maps = []
     for _ in range(n):
         maps.append({
-            est.maxIter: rng.randint(20, 100),
+            est.maxIter: rng.randint(*rounds),
             est.maxDepth: rng.randint(3, 10),
             est.stepSize: math.exp(rng.uniform(math.log(0.01), math.log(0.3))),
             est.subsamplingRate: rng.uniform(0.5, 1.0),
@@ -295,7 +296,8 @@ def random_param_maps(est, n: int, seed: int = SEED) -> list:
 def tune(data: DataFrame, target: str, est, param_maps: list, folds: int = 5, key: str = "incident_id",
          features: Sequence[str] = K.FEATURE_COLUMNS, sample: float = 0.70) -> DataFrame:
     """ML17: mean k-fold balanced accuracy per parameter map, on a hash
-    sample of `sample` of the rows; returns (trial, params, score)."""
+    sample of `sample` of the rows; returns (trial, one typed column for each
+    parameter, score), which `best_sizes` turns into training sizes (ML18)."""
     d = data.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
     d = d.where(unit_hash(key, 3) < sample).withColumn("_fold", fold_column(key, folds)).withColumn("weight", F.lit(1.0))
     va = assembler(features)
@@ -307,8 +309,17 @@ def tune(data: DataFrame, target: str, est, param_maps: list, folds: int = 5, ke
             p = probability_array(m.transform(d.where(F.col("_fold") == i)), 2)
             s = metrics.classification_metrics(scored_rows(p, key, target, f"trial{t}")).first()["balanced_accuracy"]
             scores.append(s)
-        rows.append((t, str({k.name: v for k, v in pm.items()}), sum(scores) / len(scores)))
-    return data.sparkSession.createDataFrame(rows, "trial int, params string, score double")
+        rows.append((t, *pm.values(), sum(scores) / len(scores)))
+    names = [p.name for p in param_maps[0]] if param_maps else []
+    kinds = ["int" if isinstance(v, int) else "double" for v in (param_maps[0].values() if param_maps else [])]
+    return data.sparkSession.createDataFrame(rows, ", ".join(["trial int", *[f"{n} {k}" for n, k in zip(names, kinds)], "score double"]))
+
+
+def best_sizes(trials: DataFrame, sizes: Sizes = Sizes()) -> Sizes:
+    """ML18: the best trial's parameters as training sizes (ties: the first trial)."""
+    best = trials.orderBy(F.desc("score"), "trial").first().asDict()
+    own = {"maxIter": "gbt_iter", "maxDepth": "depth", "stepSize": "step", "subsamplingRate": "subsample"}
+    return replace(sizes, **{field: best[name] for name, field in own.items() if name in best})
 
 
 # ------------------------------------------------------------------ ML19 importance

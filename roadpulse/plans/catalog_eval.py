@@ -12,7 +12,6 @@ from ..sources import bind
 from .catalog import _inc, register, ts_strings
 from .catalog_features import rounded
 
-METRIC_COLS = ["accuracy", "balanced_accuracy", "f1", "precision", "recall", "cohen_kappa", "roc_auc"]
 
 
 # ---------------------------------------------------------------- feedback
