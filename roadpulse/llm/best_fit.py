@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE, Scratch, batch_of, pick, slices
+from .common import SLICE, Scratch, batch_of, pick, slices, worker_state
 
 #: Entries of a worker's caches of chunks and of words, and the longest that is kept.
-CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 900_000, 500_000, 48
+CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 700_000, 400_000, 48
 #: Pieces of a length that are ranked together.
 RANK_ROWS = 1_000
 _RANK_BITS = 48
@@ -90,13 +90,9 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
 
 
-_CHUNKS: dict[str, ChunkIds] = {}
-
-
 def chunk_ids(path: str) -> ChunkIds:
-    if path not in _CHUNKS:
-        _CHUNKS[path] = ChunkIds(path)
-    return _CHUNKS[path]
+    """This worker's caches for a vocabulary file."""
+    return worker_state(("chunk ids", path), lambda: ChunkIds(path))
 
 
 def cut_pieces(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1) -> DataFrame:

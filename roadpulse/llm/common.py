@@ -88,6 +88,27 @@ class WordHashes(dict):
         return h
 
 
+_STATE: dict = {}
+
+
+def worker_state(name, build):
+    """What a Python worker keeps between tasks: one operator's caches at a time.
+
+    Workers are used again by later stages; were each operator's caches kept, they
+    would add up.
+    """
+    if name not in _STATE:
+        _STATE.clear()
+        _STATE[name] = build()
+    return _STATE[name]
+
+
+def once(df: DataFrame) -> DataFrame:
+    """The same rows through a generator, below which no filter is pushed: what has been
+    computed so far isn't computed again inside filters on it."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_r")).select("_r.*")
+
+
 def small(df: DataFrame) -> DataFrame:
     """A written table, marked for broadcast if its counted rows are few enough."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

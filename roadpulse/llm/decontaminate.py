@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batch_of, pick, positional, slices
+from .common import WordHashes, batch_of, pick, positional, slices, worker_state
 
 SHINGLE, LIKENESS, RADIUS = 5, 0.8, 3
 #: Window sizes: steps of a fifth, up to what the packed counters hold.
@@ -39,7 +39,6 @@ LADDER = [5, 6, 7, 8, 10, 12, 14, 17, 20, 24, 29, 35, 42, 50, 60, 72, 86, 103, 1
 CHUNK_WORDS, MAX_ITEM_BYTES = 200_000, 64 << 20
 
 _WORD = re.compile(r"[^\W_]+")
-_HASHES = WordHashes()
 _LANES = np.uint64(0x0101010101010101)
 _BLOCK = 64 // (RADIUS + 1)
 
@@ -49,7 +48,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def hashes_of(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(worker_state("decontamination words", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def running_sums(h: np.ndarray) -> list[np.ndarray]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, batch_of, pick, positional, positions, slices, small
+from .common import Scratch, WordHashes, batch_of, pick, positional, positions, slices, small, worker_state
 from .components import components
 
 TREES, DEPTH = 12, 8
@@ -49,9 +49,6 @@ _XOR = _SEED.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 _ODD = _SEED.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_HASHES = WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -63,7 +60,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     parts = text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
     if not parts:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, parts), np.uint64, len(parts))
+    h = np.fromiter(map(worker_state("minhash words", WordHashes).__getitem__, parts), np.uint64, len(parts))
     n = min(words, len(h))
     out = h[: len(h) - n + 1].copy()
     for k in range(1, n):

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import batch_of, pick, slices
+from .common import batch_of, pick, slices, worker_state
 
 #: Entries of the chunk cache of a worker; it starts anew beyond them.
 CACHE_CHUNKS = 600_000
@@ -108,14 +108,9 @@ class ChunkCounter(dict):
         return self.count(chunks[0]) + sum(map(self.__getitem__, chunks[1:]))
 
 
-_COUNTERS: dict[str, ChunkCounter] = {}
-
-
 def counter(path: str) -> ChunkCounter:
     """This worker's counter for a vocabulary file."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = ChunkCounter(path)
-    return _COUNTERS[path]
+    return worker_state(("token counts", path), lambda: ChunkCounter(path))
 
 
 def count_tokens(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
