@@ -42,36 +42,47 @@ LEAST_IN_USE = 4
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct words (runs of letters and digits, lower-cased)."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    """Hashes of the distinct words: lower-cased runs without ASCII punctuation and space."""
+    words = F.array_distinct(F.split(F.lower(text), r"[\x00-/:-@\[-`{-\x7f]+"))
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
 def lexicon(texts: DataFrame, n_docs: int, *, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> DataFrame:
-    """``h, band, subsets`` of the frequent terms; bit r of ``subsets``: the term is in subset r."""
+    """``h, band, subsets`` of the frequent terms; the bits of ``subsets`` tell the subsets a term is in.
+
+    The subsets of one repeat are nested: each keeps a quarter of the one before.
+    """
     df = texts.select(F.explode(terms(F.col("text"))).alias("h")).groupBy("h").count()
     member = F.lit(0).cast("bigint")
-    for r in range(SUBSETS):
-        share = SHARES[r // REPEATS]
-        member = member.bitwiseOR(F.when(F.pmod(F.xxhash64("h", F.lit(r)), F.lit(share)) == 0, F.lit(1 << r)).otherwise(0))
+    for i in range(SUBSETS):
+        share, r = SHARES[i // REPEATS], i % REPEATS
+        member = member.bitwiseOR(F.when(F.pmod(F.xxhash64("h", F.lit(r)), F.lit(share)) == 0, F.lit(1 << i)).otherwise(0))
     frequent = df.where(F.col("count") >= max(MIN_DOCS, min_share * n_docs))
     return frequent.select("h", (F.col("count") <= max(MIN_DOCS, max_share * n_docs)).alias("band"), member.alias("subsets"))
 
 
-def fingerprints(texts: DataFrame, lex: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, fingerprint`` of ``texts`` (keys, text); rows with equal keys must have equal texts."""
-    own = texts.select(*keys, terms(F.col("text")).alias("t"))
+def fingerprints(texts: DataFrame, lex: DataFrame, keys: list[str], carry: str) -> DataFrame:
+    """``keys, carry, fingerprint`` of ``texts`` (keys, carry, text); rows with equal keys must be equal."""
+    own = texts.select(*keys, carry, terms(F.col("text")).alias("t"))
+    # computed once a text, before its terms become rows
+    own = own.select(*keys, carry, "t", (F.size("t") <= SHORT).alias("short"), F.xxhash64(F.sort_array("t")).alias("rest"))
     # a text's first row stands for the text itself, so none is lost in the join
-    rest = F.xxhash64(F.sort_array("t"))
-    flat = own.select(*keys, (F.size("t") <= SHORT).alias("short"), rest.alias("rest"), F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "t")).alias("h"))
+    flat = own.select(*keys, carry, "short", "rest", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "t")).alias("h"))
+    flat = flat.withColumn(carry, F.when(F.col("h").isNull(), F.col(carry)))
     hit = flat.join(lex, "h", "left").where(F.col("h").isNull() | F.col("band") | (F.col("short") & F.col("band").isNotNull()))
     entry = F.when(F.col("h").isNotNull(), F.struct("h", "subsets"))
-    rows = hit.groupBy(*keys).agg(F.sort_array(F.collect_set(entry)).alias("all"), F.max("rest").alias("rest"))
-    hashed = lambda xs: F.hex(F.xxhash64(F.transform(xs, lambda x: x["h"])).bitwiseAND(0xFFFFFFFF))
-    inside = lambda bit: F.filter("all", lambda x: x["subsets"].bitwiseAND(bit) != 0)
-    parts = [F.when(F.size(inside(1 << r)) > 0, hashed(inside(1 << r))).otherwise("") for r in range(SUBSETS)]
-    whole = F.when(F.size("all") > 0, F.hex(F.xxhash64(F.transform("all", lambda x: x["h"])))).otherwise(F.concat(F.lit("t"), F.hex("rest")))
-    return rows.select(*keys, F.concat_ws(".", whole, *parts).alias("fingerprint"))
+    rows = hit.groupBy(*keys).agg(F.sort_array(F.collect_set(entry)).alias("s"), F.max("rest").alias("rest"), F.max(carry).alias(carry))
+    # each subset is picked from the larger one that holds it, so the sorted terms are gone through about once a repeat
+    for level in range(len(SHARES)):
+        rows = rows.select("*", *[_inside("s" if not level else f"s{level - 1}_{r}", 1 << (level * REPEATS + r)).alias(f"s{level}_{r}") for r in range(REPEATS)])
+    hashed = lambda c: F.xxhash64(F.transform(c, lambda x: x["h"]))
+    parts = [F.when(F.size(c) > 0, F.hex(hashed(c).bitwiseAND(0xFFFFFFFF))).otherwise("") for c in (f"s{level}_{r}" for level in range(len(SHARES)) for r in range(REPEATS))]
+    whole = F.when(F.size("s") > 0, F.hex(hashed("s"))).otherwise(F.concat(F.lit("t"), F.hex("rest")))
+    return rows.select(*keys, carry, F.concat_ws(".", whole, *parts).alias("fingerprint"))
+
+
+def _inside(terms: str, bit: int) -> Column:
+    return F.filter(terms, lambda x: x["subsets"].bitwiseAND(bit) != 0)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -116,7 +127,7 @@ def fingerprint_edits(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
     both = both.select("kid", "th", "text", F.concat(F.expr("substring(text, 1, int(n_chars) - q)"), "head").alias("edited"))
     sides = both.select("kid", "th", F.explode(F.array(F.struct(F.lit(0).alias("side"), "text"), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))).alias("s"))
     sides = sides.select("kid", "th", "s.side", "s.text", F.when(F.col("s.side") == 1, F.sha2(F.col("s.text").cast("binary"), 256)).alias("sha"))
-    prints = fingerprints(sides, lex, ["kid", "th", "side", "sha"])
+    prints = fingerprints(sides, lex, ["kid", "th", "side"], "sha")
     edited = F.col("side") == 1
     prints = prints.groupBy("kid", "th").agg(
         F.max(F.when(~edited, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(edited, F.col("fingerprint"))).alias("edited_fingerprint"), F.max("sha").alias("edited_sha256")
