@@ -5,8 +5,8 @@ words. All windows of that size within the item get a 64-bit SimHash of their wo
 and so have all windows of a document, for each size in use. The hashes are split into
 ``RADIUS + 1`` blocks with an index each: two hashes within the radius agree on a block
 at least, so no pair within it is missed. A candidate places the whole item in the
-document, where it is verified: distinct shingles of five words, weighted by their
-characters, with a weighted Jaccard similarity of 0.8 or more.
+document, clipped to the document's bounds, where it is verified: distinct shingles of
+five words, weighted by their characters, with a weighted Jaccard similarity of 0.8 or more.
 
 Window hashes come from running sums of eight packed counters a 64-bit number, over
 many documents at once; windows across documents are discarded.
@@ -117,9 +117,12 @@ class Items:
     def block(prints: np.ndarray, b: int) -> np.ndarray:
         return ((prints >> np.uint64(_BLOCK * b)) & np.uint64((1 << _BLOCK) - 1)).astype(np.int64)
 
-    def candidates(self, h: np.ndarray) -> set[tuple[int, int]]:
-        """``(first word of the whole item, item)`` for all windows within the radius."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, h: np.ndarray, ends: np.ndarray) -> set[tuple[int, int, int]]:
+        """``(document, first word of the whole item, item)`` for all windows within the radius.
+
+        The windows lie in a document that ends before ``ends``; the whole item may stick out of it.
+        """
+        found: set[tuple[int, int, int]] = set()
         most = max(self.sizes, default=0)
         for at in range(0, len(h), CHUNK_WORDS):
             sums = running_sums(h[at : at + CHUNK_WORDS + most - 1])
@@ -135,23 +138,28 @@ class Items:
                     window = np.repeat(hit, n)
                     entry = order[np.repeat(starts[value[hit]] - np.cumsum(n) + n, n) + np.arange(n.sum())]
                     near = np.bitwise_count(own[window] ^ prints[entry]) <= RADIUS
-                    found.update(zip((at + window[near] - offset[entry[near]]).tolist(), item[entry[near]].tolist()))
+                    first, entry = at + window[near], entry[near]
+                    doc = np.searchsorted(ends, first, side="right")
+                    whole = first + size <= ends[doc]
+                    found.update(zip(doc[whole].tolist(), (first - offset[entry])[whole].tolist(), item[entry[whole]].tolist()))
         return found
 
     def leaks(self, texts: list[str | None]) -> list[tuple[int, int, int, float]]:
-        """``(text, item, first word, likeness)`` of every verified place."""
+        """``(text, item, first word, likeness)`` of every verified place, clipped to the text."""
         lists = [words_of(t) for t in texts]
         ends = np.cumsum([len(w) for w in lists])
         all_words = [w for words in lists for w in words]
-        out = []
-        for first, i in self.candidates(hashes_of(all_words)):
-            last = first + len(self.words[i])
-            doc = int(np.searchsorted(ends, first, side="right"))
-            if first < 0 or doc >= len(ends) or last > ends[doc]:
-                continue  # it lies across documents
-            like = likeness(self.shingles[i], weights(all_words[first:last]))
+        out, seen = [], set()
+        for doc, first, i in self.candidates(hashes_of(all_words), ends):
+            end = int(ends[doc])
+            begin = end - len(lists[doc])
+            place = (max(first, begin), min(first + len(self.words[i]), end), i)
+            if place in seen:
+                continue
+            seen.add(place)
+            like = likeness(self.shingles[i], weights(all_words[place[0] : place[1]]))
             if like >= LIKENESS:
-                out.append((doc, i, first - int(ends[doc] - len(lists[doc])), like))
+                out.append((doc, i, place[0] - begin, like))
         return out
 
 

@@ -209,6 +209,36 @@ def test_leaks_equal_brute_force(spark):
     assert got == want
 
 
+def clipped_leaks(rows, items):
+    """Like ``brute_leaks``, with places that stick out of a document clipped to it."""
+    out = set()
+    for d, text in rows:
+        w = decontaminate.words_of(text)
+        for i, item in items:
+            x = decontaminate.words_of(item)
+            if len(x) >= 5 and len(w) >= 5:
+                own = decontaminate.weights(x)
+                places = {(max(at, 0), min(at + len(x), len(w))) for at in range(5 - len(x), len(w) - 4)}
+                if any(decontaminate.likeness(own, decontaminate.weights(w[a:b])) >= decontaminate.LIKENESS for a, b in places):
+                    out.add((d, i))
+    return out
+
+
+def test_places_are_clipped_to_the_document():
+    """Documents that start with, end with or consist of an item with one word deleted at its end or start."""
+    rng = random.Random(16)
+    items = [(i, " ".join(prose(rng, n))) for i, n in enumerate([22, 31, 40, 48, 58, 130])]
+    rows = []
+    for i, text in items:
+        for k, words in enumerate((text.split()[1:], text.split()[:-1])):
+            around = prose(rng, 30)
+            rows += [(100 * i + 10 * k + n, " ".join(x)) for n, x in enumerate((words, words + around, around + words))]
+    got = decontaminate.Items(items).leaks([t for _, t in rows])
+    found = {(rows[d][0], i) for d, i, *_ in got}
+    assert found == clipped_leaks(rows, items) and len(found) == len(rows)
+    assert all(0 <= first < len(rows[d][1].split()) for d, _, first, _ in got)
+
+
 # --- op5
 
 
