@@ -1,12 +1,15 @@
 """Benchmark decontamination by SimHash windows.
 
-Every item is given a window size: the largest step of a ladder that isn't above its
-words. All windows of that size within the item get a 64-bit SimHash of their words,
-and so have all windows of a document, for each size in use. The hashes are split into
-``RADIUS + 1`` blocks with an index each: two hashes within the radius agree on a block
-at least, so no pair within it is missed. A candidate places the whole item in the
-document, clipped to the document's bounds, where it is verified: distinct shingles of
-five words, weighted by their characters, with a weighted Jaccard similarity of 0.8 or more.
+All windows of ``SHINGLE`` words of a document get a 64-bit SimHash of their words, and so
+have chosen windows of every item: the heaviest of its shingles, up to more than
+``1 - LIKENESS`` of their weight. What is alike enough to an item holds one of them
+unchanged at least, as the others weigh too little; so looking up equal hashes misses no
+place, whatever words were replaced, deleted or added.
+
+Around the hits, every start from which the item's number of words, clipped to the
+document's bounds, covers a hit is verified: distinct shingles of five words, weighted by
+their characters, with a weighted Jaccard similarity of 0.8 or more. Sums are kept from
+start to start. Verified starts less than half an item apart are one place, told by the likest.
 
 Window hashes come from running sums of eight packed counters a 64-bit number, over
 many documents at once; windows across documents are discarded.
@@ -14,10 +17,11 @@ many documents at once; windows across documents are discarded.
 The items' index is broadcast below ``MAX_ITEM_BYTES`` of text; more items are taken in
 several passes. Documents aren't shuffled.
 
-Words are runs of letters and digits, lower-cased. Defined results: items and documents
-that are null or have fewer than five words match nothing; ids may be null or repeat;
-items with equal texts are all reported; further columns are ignored (or kept, by
-``clean``).
+Words are runs of letters and digits, lower-cased; in scripts that are written without
+spaces (Han, kana, Thai, Lao, Burmese, Khmer) every letter is a word. Defined results:
+items and documents that are null or have fewer than five words match nothing; ids may be
+null or repeat; items with equal texts are all reported; further columns are ignored (or
+kept, by ``clean``).
 """
 
 from __future__ import annotations
@@ -32,19 +36,23 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, batch_of, pick, positional, slices, worker_state
 
-SHINGLE, LIKENESS, RADIUS = 5, 0.8, 3
-#: Window sizes: steps of a fifth, up to what the packed counters hold.
-LADDER = [5, 6, 7, 8, 10, 12, 14, 17, 20, 24, 29, 35, 42, 50, 60, 72, 86, 103, 124, 149, 179, 215]
+SHINGLE, LIKENESS = 5, 0.8
 #: Words that are windowed at once; item text of one pass.
 CHUNK_WORDS, MAX_ITEM_BYTES = 200_000, 64 << 20
 
+#: Scripts without spaces between words.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(r"[^\W_]+")
+_WORD_OR_LETTER = re.compile(rf"(?=[^\W_])[{_UNSPACED}]|[^\W_{_UNSPACED}]+")
 _LANES = np.uint64(0x0101010101010101)
-_BLOCK = 64 // (RADIUS + 1)
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    unspaced = not text.isascii() and _HAS_UNSPACED.search(text)
+    return (_WORD_OR_LETTER if unspaced else _WORD).findall(text.lower())
 
 
 def hashes_of(words: list[str]) -> np.ndarray:
@@ -86,7 +94,7 @@ def likeness(a: dict[tuple, int], b: dict[tuple, int]) -> float:
 
 
 class Items:
-    """The items' windows by size, indexed by block."""
+    """The items' chosen windows, sorted by hash."""
 
     def __init__(self, items: list[tuple]):
         self.ids, self.words = [], []
@@ -96,70 +104,111 @@ class Items:
                 self.ids.append(key)
                 self.words.append(words)
         self.shingles = [weights(w) for w in self.words]
-        entries: dict[int, list[tuple[np.ndarray, int]]] = {}
+        self.totals = [sum(own.values()) for own in self.shingles]
+        prints, item = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for i, words in enumerate(self.words):
-            size = max(s for s in LADDER if s <= len(words))
-            entries.setdefault(size, []).append((window_hashes(running_sums(hashes_of(words)), size), i))
-        self.sizes = {}
-        for size, own in sorted(entries.items()):
-            prints = np.concatenate([p for p, _ in own])
-            item = np.concatenate([np.full(len(p), i, np.int64) for p, i in own])
-            offset = np.concatenate([np.arange(len(p)) for p, _ in own])
-            blocks = []
-            for b in range(RADIUS + 1):
-                value = self.block(prints, b)
-                order = np.argsort(value, kind="stable")
-                starts = np.searchsorted(value[order], np.arange((1 << _BLOCK) + 1))
-                blocks.append((order, starts))
-            self.sizes[size] = (prints, item, offset, blocks)
-
-    @staticmethod
-    def block(prints: np.ndarray, b: int) -> np.ndarray:
-        return ((prints >> np.uint64(_BLOCK * b)) & np.uint64((1 << _BLOCK) - 1)).astype(np.int64)
-
-    def candidates(self, h: np.ndarray, ends: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(document, first word of the whole item, item)`` for all windows within the radius.
-
-        The windows lie in a document that ends before ``ends``; the whole item may stick out of it.
-        """
-        found: set[tuple[int, int, int]] = set()
-        most = max(self.sizes, default=0)
+            own = np.unique(window_hashes(running_sums(hashes_of(words)), SHINGLE)[self.chosen(i)])
+            prints.append(own)
+            item.append(np.full(len(own), i, np.int64))
+        prints, item = np.concatenate(prints), np.concatenate(item)
+        order = np.argsort(prints, kind="stable")
+        self.item = item[order]
+        self.prints, self.starts = np.unique(prints[order], return_index=True)
+        self.starts = np.append(self.starts, len(prints))
+
+    def chosen(self, i: int) -> list[int]:
+        """Places of the heaviest shingles, without which an item's likeness to anything is below LIKENESS."""
+        place = {}
+        for at in range(len(self.words[i]) - SHINGLE + 1):
+            place.setdefault(tuple(self.words[i][at : at + SHINGLE]), at)
+        out, weight = [], 0
+        for shingle, w in sorted(self.shingles[i].items(), key=lambda x: -x[1]):
+            if weight > (1 - LIKENESS) * self.totals[i] + 1e-6:
+                break
+            out.append(place[shingle])
+            weight += w
+        return out
+
+    def candidates(self, h: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], list[int]]:
+        """``(document, item)`` -> ascending word numbers of the item's chosen windows in the document."""
+        found: dict[tuple[int, int], list[int]] = {}
+        if not len(self.prints):
+            return found
         for at in range(0, len(h), CHUNK_WORDS):
-            sums = running_sums(h[at : at + CHUNK_WORDS + most - 1])
-            for size, (prints, item, offset, blocks) in self.sizes.items():
-                own = window_hashes(sums, size)
-                for b, (order, starts) in enumerate(blocks):
-                    value = self.block(own, b)
-                    n = starts[value + 1] - starts[value]
-                    hit = np.flatnonzero(n)
-                    if not len(hit):
-                        continue
-                    n = n[hit]
-                    window = np.repeat(hit, n)
-                    entry = order[np.repeat(starts[value[hit]] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                    near = np.bitwise_count(own[window] ^ prints[entry]) <= RADIUS
-                    first, entry = at + window[near], entry[near]
-                    doc = np.searchsorted(ends, first, side="right")
-                    whole = first + size <= ends[doc]
-                    found.update(zip(doc[whole].tolist(), (first - offset[entry])[whole].tolist(), item[entry[whole]].tolist()))
+            own = window_hashes(running_sums(h[at : at + CHUNK_WORDS + SHINGLE - 1]), SHINGLE)
+            entry = np.minimum(np.searchsorted(self.prints, own), len(self.prints) - 1)
+            hit = np.flatnonzero(self.prints[entry] == own)
+            entry, hit = entry[hit], hit + at
+            doc = np.searchsorted(ends, hit, side="right")
+            whole = hit + SHINGLE <= ends[doc]
+            for d, e, first in zip(doc[whole].tolist(), entry[whole].tolist(), hit[whole].tolist()):
+                for i in self.item[self.starts[e] : self.starts[e + 1]].tolist():
+                    found.setdefault((d, i), []).append(first)
         return found
 
+    def places(self, words: list[str], i: int, hits: list[int]) -> Iterator[tuple[int, float]]:
+        """``(first word, likeness)`` of the item's places in a document's words, of which ``hits`` start chosen windows."""
+        size, n = len(self.words[i]), len(words)
+        ranges: list[list[int]] = []
+        for hit in hits:
+            lo, hi = max(hit + SHINGLE - size, SHINGLE - size), min(hit, n - SHINGLE)
+            if ranges and lo <= ranges[-1][1] + 1:
+                ranges[-1][1] = hi
+            else:
+                ranges.append([lo, hi])
+        best, last = None, 0
+        for lo, hi in ranges:
+            for at, like in self.verified(words, i, lo, hi):
+                if best and 2 * (at - last) >= size:
+                    yield best
+                    best = None
+                if best is None or like > best[1]:
+                    best = (max(at, 0), like)
+                last = at
+        if best:
+            yield best
+
+    def verified(self, words: list[str], i: int, lo: int, hi: int) -> Iterator[tuple[int, float]]:
+        """``(start, likeness)`` of those among the starts ``lo`` to ``hi`` that are alike enough."""
+        own, total, size = self.shingles[i], self.totals[i], len(self.words[i])
+        base, last = max(lo, 0), min(hi + size, len(words)) - SHINGLE
+        at_hand = [tuple(words[s : s + SHINGLE]) for s in range(base, last + 1)]
+        if sum(own[s] for s in own.keys() & set(at_hand)) < LIKENESS * total - 1e-6:
+            return
+        counts: dict[tuple, int] = {}
+        weight = both = 0  # of the distinct shingles in the window
+        begin = end = base
+        for at in range(lo, hi + 1):
+            to = min(at + size, len(words)) - SHINGLE + 1
+            while end < to:
+                s = at_hand[end - base]
+                counts[s] = counts.get(s, 0) + 1
+                if counts[s] == 1:
+                    w = sum(map(len, s))
+                    weight += w
+                    both += w if s in own else 0
+                end += 1
+            while begin < at:
+                s = at_hand[begin - base]
+                counts[s] -= 1
+                if not counts[s]:
+                    w = sum(map(len, s))
+                    weight -= w
+                    both -= w if s in own else 0
+                begin += 1
+            like = both / (total + weight - both)
+            if like >= LIKENESS:
+                yield at, like
+
     def leaks(self, texts: list[str | None]) -> list[tuple[int, int, int, float]]:
         """``(text, item, first word, likeness)`` of every verified place, clipped to the text."""
         lists = [words_of(t) for t in texts]
         ends = np.cumsum([len(w) for w in lists])
-        all_words = [w for words in lists for w in words]
-        out, seen = [], set()
-        for doc, first, i in self.candidates(hashes_of(all_words), ends):
-            end = int(ends[doc])
-            begin = end - len(lists[doc])
-            place = (max(first, begin), min(first + len(self.words[i]), end), i)
-            if place in seen:
-                continue
-            seen.add(place)
-            like = likeness(self.shingles[i], weights(all_words[place[0] : place[1]]))
-            if like >= LIKENESS:
-                out.append((doc, i, place[0] - begin, like))
+        found = self.candidates(hashes_of([w for words in lists for w in words]), ends)
+        out = []
+        for (doc, i), hits in found.items():
+            begin = int(ends[doc]) - len(lists[doc])
+            out += [(doc, i, first, like) for first, like in self.places(lists[doc], i, [h - begin for h in hits])]
         return out
 
 
