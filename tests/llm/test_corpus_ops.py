@@ -126,6 +126,32 @@ def test_large_group_of_near_lines_is_one(spark):
     assert removed >= 140
 
 
+def test_repeated_rows_have_the_sims_of_one(spark):
+    rng = random.Random(18)
+    texts = [" ".join(prose(rng, n)) for n in (20, 60, 127, 128, 300)]
+    one = {(r["k1"], r["k2"]): r["sim"] for r in line_dedup.hashed_lines(spark.createDataFrame(list(enumerate(texts)), DOCS), "doc_id", "text").collect()}
+    rows = [(k, t) for k, t in enumerate(texts) for _ in range(k + 2)] + [(None, texts[2])] * 3
+    df = spark.createDataFrame(rows, DOCS)
+    every = line_dedup.hashed_lines(df, "doc_id", "text")
+    crowded = {(r["k1"], r["k2"]): r["own"] for r in line_dedup.crowded_sims(df, every, "doc_id", "text").collect()}
+    got = every.collect()
+    assert len(got) == 6 and len(crowded) == 3 + 1
+    assert all((crowded[r["k1"], r["k2"]] if r["sim"] is None else r["sim"]) == one[r["k1"], r["k2"]] for r in got)
+    # a near line of one that is repeated is removed, and the others stay
+    near = texts[4][:-1] + "zz"
+    removed = line_dedup.find(spark.createDataFrame([*rows, (9, near)], DOCS), Scratch(spark, "t"))
+    assert sorted((r["id"], r["removed"]) for r in removed.collect()) == [(2, [0]), (9, [0])]
+
+
+def test_long_lines_are_compared_whole(spark):
+    rng = random.Random(19)
+    a = "".join(rng.choice("abcdefghij ") for _ in range(20_000))
+    b = "y" + a[:500] + "x" * 1500 + a[500:] + "z"
+    c = "".join(rng.choice("abcdefghij ") for _ in range(20_000))
+    pairs = spark.createDataFrame([(2, 1, a, b), (4, 3, a, c), (6, 5, b, a)], "a long, b long, na string, nb string")
+    assert sorted(map(tuple, line_dedup.similar(pairs).collect())) == [(2, 1), (6, 5)]
+
+
 def test_line_edges(spark):
     df = clashing(spark.createDataFrame(HARD, SCHEMA))
     removed = line_dedup.find(df, Scratch(spark, "t"))
