@@ -152,6 +152,23 @@ def test_long_lines_are_compared_whole(spark):
     assert sorted(map(tuple, line_dedup.similar(pairs).collect())) == [(2, 1), (6, 5)]
 
 
+def test_short_and_unspaced_lines(spark):
+    rng = random.Random(20)
+    script = lambda first, letters, n: "".join(chr(first + rng.randrange(letters)) for _ in range(n))
+    han, thai = script(0x4E00, 3000, 300), script(0x0E01, 46, 12)
+    own = [" ".join(prose(rng, 20)) for _ in range(4)]
+    rows = [
+        (1, "\n".join([own[0], "All rights reserved", han, "Copyright", thai, han[:5], han[:4], "menu"])),
+        (2, "\n".join(["all rights reserved.", own[1], han + "\u65b0", "copyright", "x " + thai, han[:5], han[:4], "menu"])),
+        (3, "\n".join([own[2], "!!", script(0x4E00, 3000, 300), thai])),
+        (4, "\n".join([own[3], "!!", "unsubscribe", "unsubscribe"])),
+    ]
+    removed = line_dedup.find(spark.createDataFrame(rows, DOCS), Scratch(spark, "t"))
+    got = {r["id"]: r["removed"] for r in removed.collect()}
+    # less than ten characters, or five letters of a script without spaces, stay
+    assert got == {2: [0, 2, 5], 3: [3], 4: [3]}
+
+
 def test_line_edges(spark):
     df = clashing(spark.createDataFrame(HARD, SCHEMA))
     removed = line_dedup.find(df, Scratch(spark, "t"))
