@@ -154,3 +154,108 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return report(docs, find(docs, Scratch(spark, "op3")))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in each of their 120 orders, by language."""
+    from .common import Scratch
+    from .filter_audit import audit_documents
+
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op11"))
+
+
+ORACLE["op11_filter_audit"] = r"""
+with t as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+        coalesce(doc_id > min(doc_id) over (partition by coalesce(text, '')), false) as e
+    from documents
+), w as (
+    select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from t
+), told as (
+    select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+), flags as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        (len(words) < 100)::int
+        + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::int
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::int
+        + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * e::int as fails
+    from w left join told using (doc_id)
+), sums as (
+    select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from flags group by part, fails
+), letters(f, b) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (
+    select v.f || w.f || x.f || y.f || z.f as filter_order
+    from letters v, letters w, letters x, letters y, letters z
+    where v.b + w.b + x.b + y.b + z.b = 31 and v.b | w.b | x.b | y.b | z.b = 31
+), steps as (
+    select filter_order, s::int as step, substr(filter_order, s::int, 1) as f,
+        (select coalesce(sum(b), 0)::int from letters where strpos(substr(filter_order, 1, s::int - 1), letters.f) > 0) as before
+    from orders, range(1, 6) r(s)
+), sets as (select distinct f, before from steps),
+found as (
+    select s.part, t.f, t.before, b,
+        sum(case when fails & (before | b) = 0 then n else 0 end) as kept,
+        sum(case when fails & b > 0 and fails & before = 0 then n else 0 end) as removed,
+        sum(case when fails & b > 0 and fails & before > 0 then n else 0 end) as redundant,
+        sum(case when fails = b then n else 0 end) as unique_fails,
+        sum(case when fails & b > 0 and fails & before = 0 then good else 0 end) as good_lost,
+        sum(case when fails & b > 0 and fails & before = 0 then toxic else 0 end) as toxic_lost
+    from sums s, sets t join letters using (f) group by s.part, t.f, t.before, b
+)
+select part, filter_order, step, f as "filter", kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+    unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+    (sum(removed) over (partition by part, f))::bigint as shapley
+from steps join found using (f, before)
+"""
+
+
+@query
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded by a byte-level BPE vocabulary and decoded again."""
+    import public_tokenizers
+
+    from .bpe_codec import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_ptolemy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 16 clusters after three rounds, in whole numbers."""
+    from .common import Scratch
+    from .ptolemy import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), Scratch(spark, "op13"), dims=64, scale=64, k=16, rounds=3, seed=1)
+
+
+def _clusters_sql(rounds: int) -> str:
+    ctes = [
+        """kept as materialized (
+    select row_number() over () as rid, vec_id, [floor(64 * x::double)::bigint for x in embedding] as v
+    from embeddings where len(embedding) = 64 and len([x for x in embedding if x is not null and isfinite(x)]) = 64
+)""",
+        """c0 as materialized (
+    select row_number() over (order by sha256('1:' || vec_id), v) - 1 as c, v from kept
+    qualify row_number() over (order by sha256('1:' || vec_id), v) <= 16
+)""",
+    ]
+    for n in range(rounds + 1):
+        ctes.append(f"""a{n} as materialized (
+    select rid, vec_id, kept.v, c, list_sum([(kept.v[i] - c{n}.v[i]) * (kept.v[i] - c{n}.v[i]) for i in range(1, 65)])::bigint as d
+    from kept, c{n} qualify row_number() over (partition by rid order by d, c) = 1
+)""")
+        if n < rounds:
+            ctes.append(f"""c{n + 1} as materialized (
+    with m as (
+        select c, i, sum(x)::bigint as s, count(*) as n from (select c, unnest(v) as x, unnest(range(64)) as i from a{n}) group by c, i
+    ), moved as (select c, list((s - ((s % n) + n) % n) // n order by i) as v from m group by c)
+    select c, coalesce(moved.v, c{n}.v) as v from c{n} left join moved using (c)
+)""")
+    return f"""with {", ".join(ctes)}
+select vec_id, c::int as cluster, d as distance, (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+    sha256(array_to_string(c{rounds}.v, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (c)"""
+
+
+ORACLE["op13_ptolemy_clusters"] = _clusters_sql(3)
