@@ -1,9 +1,9 @@
 """How filters interact: what each removes before and after the others, in every order.
 
 Each filter has a relation of the ids that fail it. The survivors of a set of filters are
-the survivors of a smaller set, left-anti joined with one more relation; what a filter
-removes after them is their left-semi join with its relation, and what it would have
-removed but finds gone is its relation left-anti joined with them. An order of filters
+the survivors of a smaller set, left-anti joined with one more relation. What the next
+filter removes is its relation left-semi joined with them; what it finds gone already is
+its relation left-anti joined with them. An order of filters
 meets only such sets, so all orders are put together from 2^n of them.
 
 The id relations are tables bucketed by id: they are dealt once, and all joins run inside
@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from .common import Scratch, pick
 #: Rows of an id table's bucket (two numbers and a short text each). Small tables have one: the many joins of a level run side by side.
 BUCKET_ROWS = 1_000_000
 #: Jobs that run side by side.
-JOBS = 8
+JOBS = 4
 #: Stands for no filter.
 ALL = "-"
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -73,7 +74,7 @@ def text_filters(text: Column, *, min_words: int = 100, distinct_percent: int =
 
 
 def failing_ids(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang") -> tuple[DataFrame, dict[str, DataFrame], Relations]:
-    """``row, part, good, toxic`` of every document, and for each filter the ``row, part`` that fail it.
+    """``row, part, good, toxic`` of every document, and of those that fail each filter.
 
     Filters A to D look at a text by itself; E fails texts that equal that of a smaller id.
     """
@@ -93,44 +94,45 @@ def failing_ids(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col:
     rows = facts.agg(F.count("*")).first()[0]
     relations = Relations(scratch, -(-rows // BUCKET_ROWS) or 1)
     flag = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    ids = relations.store(facts.select("row", "part", "id").join(told, "id", "left").select("row", "part", flag("good"), flag("toxic")), "ids")
-    failing = {f: relations.store(facts.where(f).select("row", "part"), f"fails-{f}") for f in conditions}
-    copies = facts.select("row", "part", "id", "sha").join(firsts, "sha").where("id > first").select("row", "part")
-    failing["E"] = relations.store(copies, "fails-E")
+    marked = facts.join(told, "id", "left").select("row", "part", "id", "sha", *conditions, flag("good"), flag("toxic"))
+    marked = scratch.table(marked, "marked")
+    of = ("row", "part", "good", "toxic")
+    ids = relations.store(marked.select(*of), "ids")
+    failing = {f: relations.store(marked.where(f).select(*of), f"fails-{f}") for f in conditions}
+    failing["E"] = relations.store(marked.join(firsts, "sha").where("id > first").select(*of), "fails-E")
     return ids, failing, relations
 
 
 def audit(ids: DataFrame, failing: dict[str, DataFrame], relations: Relations) -> DataFrame:
     """One row per part, order of all filters and step; see ``orders``.
 
-    ``ids`` (row, part, good, toxic) and each filter's failing ``row, part`` are tables of ``relations``.
+    ``ids`` and each filter's failing ids (both row, part, good, toxic) are tables of ``relations``.
     """
     scratch, names = relations.scratch, sorted(failing)
     bit = {f: 1 << n for n, f in enumerate(names)}
     survivors, spark, counts = {0: ids}, scratch.spark, scratch.path("counts")
+    every = [failing[f].select("row", "part", F.lit(f).alias("filter"), "good", "toxic") for f in names]
+    fails = relations.store(reduce(DataFrame.union, every), "fails")
 
     def store(mask: int) -> None:
         by = max(f for f in names if mask & bit[f])
         left = _with(survivors[mask & ~bit[by]], failing[by], "left_anti")
         survivors[mask] = relations.store(left, f"survivors-{mask}", dealt=True)
 
-    def count(of: tuple[int, str, str]) -> None:
-        # what is counted stands in the folder's name: all plans of a kind are equal and compiled once
-        mask, f, kind = of
-        rows, labels = survivors[mask], []
-        if kind == "removed":
-            rows, labels = _with(rows, failing[f], "left_semi"), ["good", "toxic"]
-        elif kind == "redundant":
-            rows = _with(failing[f], rows, "left_anti")
-        sums = rows.groupBy("part").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in labels])
-        sums.write.parquet(f"{counts}/mask={mask}/filter={f}/kind={kind}")
+    def count(mask: int) -> None:
+        # the set stands in the folder's name: the plans of all sets are equal and compiled once
+        left = survivors[mask]
+        rows = left.select("part", F.lit(ALL).alias("filter"), "good", "toxic", F.lit("kept").alias("kind"))
+        rows = rows.union(_with(fails, left, "left_semi").select("part", "filter", "good", "toxic", F.lit("removed")))
+        rows = rows.union(_with(fails, left, "left_anti").select("part", "filter", "good", "toxic", F.lit("redundant")))
+        sums = rows.groupBy("part", "filter", "kind").agg(F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
+        sums.write.parquet(f"{counts}/mask={mask}")
 
     with ThreadPoolExecutor(JOBS) as pool:
         for size in range(1, len(names) + 1):
             list(pool.map(store, [m for m in range(1 << len(names)) if m.bit_count() == size]))
-        sets = [(m, f) for m in range(1 << len(names)) for f in names if not m & bit[f]]
-        list(pool.map(count, [(m, ALL, "kept") for m in survivors] + [(m, f, k) for m, f in sets for k in ("removed", "redundant") if m or k == "removed"]))
-    schema = "part string, n bigint, good bigint, toxic bigint, mask int, filter string, kind string"
+        list(pool.map(count, survivors))
+    schema = "part string, filter string, kind string, n bigint, good bigint, toxic bigint, mask int"
     return orders(spark.read.schema(schema).parquet(counts), names)
 
 
