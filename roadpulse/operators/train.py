@@ -9,12 +9,15 @@ come from `metrics` (relational, identical for every model type).
 from __future__ import annotations
 
 import math
+import os
 import random
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -22,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..session import materialize
-from . import metrics
+from ..session import checkpoint_dir, materialize
+from . import ensembles, metrics
+from .balance import interpolate
 
 SEED = 42
 
@@ -76,13 +80,14 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return df.join(w, label, "left")
 
 
-def oversample(df: DataFrame, label: str, key: str = "incident_id", salt: int = SEED) -> DataFrame:
+def oversample(df: DataFrame, label: str, key: str = "incident_id", salt: int = SEED, copy: str | None = None) -> DataFrame:
     """ML2b: grow every class to the size of the largest by replication.
 
     Each row is repeated floor(r) times plus once more with probability
     frac(r), r = max_count / class_count (an expected-count balance; no row
     is dropped). The draw is the key's hash, so a task that runs again gives
-    the same rows. Replication is a per-row explode, no shuffle.
+    the same rows. Replication is a per-row explode, no shuffle. ``copy`` names
+    a column for the number of the copy (0 for the row itself).
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     mx = counts.agg(F.max("_nc").alias("_mx"))
@@ -90,7 +95,8 @@ def oversample(df: DataFrame, label: str, key: str = "incident_id", salt: int =
     d = df.join(ratio, label, "left")
     extra = (unit_hash(key, salt) < (F.col("_r") - F.floor("_r"))).cast("int")
     reps = (F.floor("_r").cast("int") + extra)
-    return d.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1))))).drop("_r", "_rep")
+    d = d.withColumn(copy or "_rep", F.explode(F.sequence(F.lit(0), F.greatest(reps, F.lit(1)) - 1)))
+    return d.drop("_r", "_rep")
 
 
 # ------------------------------------------------------------------ estimators (ML3, ML4, ML9)
@@ -118,7 +124,7 @@ def classifiers(n_classes: int, sizes: Sizes = Sizes(), label: str = "label") ->
                                  subsamplingRate=0.632, featureSubsetStrategy="sqrt", maxDepth=min(sizes.depth * 2, 16))
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=sizes.gbt_iter, maxDepth=sizes.depth, stepSize=sizes.step,
                         subsamplingRate=sizes.subsample, featureSubsetStrategy=sizes.feature_subset, seed=SEED, weightCol="weight")
-    boosted = gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", weightCol="weight")
+    boosted = gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", weightCol="weight", parallelism=n_classes)
     return {"RandomForest": rf, "BalancedRF": brf, "GradientBoost": boosted}
 
 
@@ -163,47 +169,79 @@ def scored_rows(pred: DataFrame, key: str, target: str, model: str, label: str =
 class TargetResult:
     target: str
     best_model: str
-    model: PipelineModel
+    model: ensembles.Classifier
     val_metrics: DataFrame
     test_metrics: DataFrame
     models: dict = field(default_factory=dict)
 
 
+BALANCE = ("weight", "oversample", "interpolate")
+
+
+def balanced(train: DataFrame, balance: str, key: str, features: Sequence[str]) -> DataFrame:
+    """ML2: ``key, synthetic, label, features, weight``, by class weights, replication or interpolation."""
+    if balance == "interpolate":
+        out = interpolate(train, "label", key, features)
+    elif balance == "oversample":
+        out = oversample(train, "label", key, copy=ensembles.ROW)
+    elif balance == "weight":
+        out = train.withColumn(ensembles.ROW, F.lit(0))
+    else:
+        raise ValueError(f"balance is one of {BALANCE}")
+    return class_weights(out.select(key, ensembles.ROW, "label", *features), "label")
+
+
 def train_target(
     data: DataFrame,
     target: str,
     sizes: Sizes = Sizes(),
     key: str = "incident_id",
     features: Sequence[str] = K.FEATURE_COLUMNS,
-    balance: str = "weight",
+    balance: str = "interpolate",
+    top: int = 3,
+    folds: int = 5,
+    path: str | None = None,
 ) -> TargetResult:
-    """ML7: fit every candidate on train, choose by validation balanced
-    accuracy (TK5), report the winner's test metrics (ML11–ML12)."""
+    """ML7: fit every candidate on train, add the soft vote and the stack of the
+    ``top`` best by validation balanced accuracy (TK5), choose among all by the
+    same score and report the winner's test metrics (ML11-ML12).
+
+    ``top`` = 0 leaves the ensembles out. Out-of-fold scores, fold models and the
+    winner (``path``/winner) are kept under ``path``, by default a folder of its
+    own in the shared checkpoint folder.
+    """
+    path = path or os.path.join(checkpoint_dir(data.sparkSession), "models", f"{target}-{uuid.uuid4().hex}")
     d = materialize(stratified_split(data.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double")), "label", key), "split")
-    train = d.where(F.col("split") == "train")
-    train = materialize(oversample(train, "label", key), "oversampled") if balance == "oversample" else train
-    train = class_weights(train, "label")
-    n_classes = int(d.agg(F.count_distinct("label")).first()[0])
-    va = assembler(features)
-    fitted, val_rows = {}, []
-    for name, est in classifiers(n_classes, sizes).items():
-        model = Pipeline(stages=[va, est]).fit(train)
-        fitted[name] = model
-        pv = probability_array(model.transform(d.where(F.col("split") == "val")), n_classes)
-        val_rows.append(scored_rows(pv, key, target, name))
-    val_scored = val_rows[0]
-    for r in val_rows[1:]:
-        val_scored = val_scored.unionByName(r)
-    val_m = metrics.evaluation_table(val_scored).cache()
+    train, val = materialize(balanced(d.where(F.col("split") == "train"), balance, key, features), "balanced"), d.where(F.col("split") == "val")
+    n_classes = int(d.agg(F.max("label")).first()[0]) + 1
+    estimators = classifiers(n_classes, sizes)
+
+    def fit(name: str) -> ensembles.Classifier:
+        model = Pipeline(stages=[assembler(features), estimators[name]]).fit(train)
+        return ensembles.Classifier("single", n_classes, {name: model}, list(features))
+
+    def scored(model: ensembles.Classifier, rows: DataFrame, name: str) -> DataFrame:
+        return scored_rows(model.predict(rows), key, target, name)
+
+    fitted = dict(zip(estimators, ensembles.side_by_side([lambda n=n: fit(n) for n in estimators])))
+    val_m = materialize(metrics.evaluation_table(reduce(DataFrame.unionByName, [scored(m, val, n) for n, m in fitted.items()])), "val-metrics")
+    if top:
+        chosen = [r["model"] for r in metrics.top_models(val_m, n=top).orderBy("rank").collect()]  # a row a member
+        single = {n: fitted[n].members[n] for n in chosen}
+        fitted["VotingEnsemble"] = ensembles.Classifier("vote", n_classes, single, list(features))
+        fitted["StackingEnsemble"] = ensembles.stack(train, estimators, single, chosen, n_classes, f"{path}/out-of-fold", folds=folds, key=key, features=features)
+        rows = [scored(fitted[n], val, n) for n in ("VotingEnsemble", "StackingEnsemble")]
+        val_m = materialize(val_m.unionByName(metrics.evaluation_table(reduce(DataFrame.unionByName, rows))), "val-metrics")
     best = metrics.top_models(val_m, n=1).first()["model"]
-    pt = probability_array(fitted[best].transform(d.where(F.col("split") == "test")), n_classes)
-    test_m = metrics.evaluation_table(scored_rows(pt, key, target, best))
-    return TargetResult(target, best, fitted[best], val_m, test_m, fitted)
+    fitted[best].save(f"{path}/winner")
+    winner = ensembles.Classifier.load(data.sparkSession, f"{path}/winner")
+    test_m = metrics.evaluation_table(scored(winner, d.where(F.col("split") == "test"), best))
+    return TargetResult(target, best, winner, val_m, test_m, fitted)
 
 
-def train_classifiers(data: DataFrame, targets: Sequence[str] = K.CLASS_TARGETS, sizes: Sizes = Sizes()) -> dict[str, TargetResult]:
+def train_classifiers(data: DataFrame, targets: Sequence[str] = K.CLASS_TARGETS, sizes: Sizes = Sizes(), **how) -> dict[str, TargetResult]:
     """ML8: one `train_target` per classification target."""
-    return {t: train_target(data, t, sizes) for t in targets if t in data.columns}
+    return {t: train_target(data, t, sizes, **how) for t in targets if t in data.columns}
 
 
 @dataclass
@@ -245,38 +283,12 @@ def cross_validate_r2(d: DataFrame, est, folds: int, key: str, features: Sequenc
     return rows.agg(F.avg("R2").alias("cv_r2_mean"), F.stddev_pop("R2").alias("cv_r2_std"))
 
 
-# ------------------------------------------------------------------ ML5 / ML6 ensembles
+# ------------------------------------------------------------------ ML5 votes over score tables
 def voting_predictions(scored_by_model: DataFrame, members: Sequence[str]) -> DataFrame:
     """ML5 over real model outputs (F6 rows of several models)."""
     return metrics.soft_vote(scored_by_model, members)
 
 
-def stacking_model(train: DataFrame, members: dict, n_classes: int, folds: int = 3, key: str = "incident_id",
-                   features: Sequence[str] = K.FEATURE_COLUMNS) -> tuple[PipelineModel, list]:
-    """ML6: logistic regression over out-of-fold member probabilities plus the
-    raw features (passthrough). Member models are refit per fold."""
-    f = train.withColumn("_fold", fold_column(key, folds, salt=11))
-    va = assembler(features)
-    oof = None
-    for i in range(folds):
-        part = f.where(F.col("_fold") == i).select(key, "label", *features)
-        for name, est in members.items():
-            m = Pipeline(stages=[va, est]).fit(f.where(F.col("_fold") != i))
-            p = probability_array(m.transform(part), n_classes).select(key, F.col("prob").alias(f"p_{name}"))
-            part = part.join(p, key)
-        oof = part if oof is None else oof.unionByName(part)
-    prob_cols = []
-    for name in members:
-        for k in range(n_classes):
-            oof = oof.withColumn(f"p_{name}_{k}", F.col(f"p_{name}")[k])
-            prob_cols.append(f"p_{name}_{k}")
-    meta_in = VectorAssembler(inputCols=prob_cols + list(features), outputCol="meta", handleInvalid="keep")
-    n = oof.count()
-    lr = LogisticRegression(featuresCol="meta", labelCol="label", maxIter=500, regParam=1.0 / (0.5 * max(n, 1)))
-    meta = Pipeline(stages=[meta_in, lr]).fit(oof)
-    return meta, prob_cols
-
-
 # ------------------------------------------------------------------ ML17 / ML18 search
 def random_param_maps(est, n: int, seed: int = SEED, rounds: tuple[int, int] = (20, 100)) -> list:
     """ML17: seeded random search space for a boosted-tree estimator; `rounds`

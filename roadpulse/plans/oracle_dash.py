@@ -72,6 +72,11 @@ SELECT target, class, count(*) AS count FROM (
 ) GROUP BY target, class
 """)
 
+ORACLE["interpolated_classes"] = with_inc("""
+SELECT congestion_severity AS label, count(*) AS rows_before, max(count(*)) OVER () AS rows_after, 0::bigint AS outside
+FROM inc WHERE congestion_severity IS NOT NULL GROUP BY congestion_severity
+""")
+
 _SEV_COUNTS = ", ".join(f"count(*) FILTER (WHERE congestion_severity = {i}) AS sev_{i}" for i in range(4))
 
 ORACLE["cause_severity_crosstab"] = with_inc(f"SELECT event_cause, {_SEV_COUNTS} FROM inc GROUP BY event_cause")
