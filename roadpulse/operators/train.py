@@ -1,5 +1,5 @@
-"""Model training, selection and scoring with MLlib (ML1–ML4, ML6–ML10,
-ML16–ML20, IO10).
+"""Model training, selection and scoring with MLlib (ML1–ML4, ML7–ML10,
+ML16, ML19, IO10).
 
 Every fit is a distributed MLlib estimator; the driver only loops over a
 handful of candidate estimators and reads back small metric tables. Metrics
@@ -8,12 +8,10 @@ come from `metrics` (relational, identical for every model type).
 
 from __future__ import annotations
 
-import math
 import os
-import random
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -201,12 +199,14 @@ def train_target(
     top: int = 3,
     folds: int = 5,
     path: str | None = None,
+    tuned: dict[str, dict] | None = None,
 ) -> TargetResult:
     """ML7: fit every candidate on train, add the soft vote and the stack of the
     ``top`` best by validation balanced accuracy (TK5), choose among all by the
     same score and report the winner's test metrics (ML11-ML12).
 
-    ``top`` = 0 leaves the ensembles out. Out-of-fold scores, fold models and the
+    ``top`` = 0 leaves the ensembles out. ``tuned`` has parameters a candidate from a
+    search (ML18), which replace those of ``sizes``. Out-of-fold scores, fold models and the
     winner (``path``/winner) are kept under ``path``, by default a folder of its
     own in the shared checkpoint folder.
     """
@@ -215,6 +215,10 @@ def train_target(
     train, val = materialize(balanced(d.where(F.col("split") == "train"), balance, key, features), "balanced"), d.where(F.col("split") == "val")
     n_classes = int(d.agg(F.max("label")).first()[0]) + 1
     estimators = classifiers(n_classes, sizes)
+    if tuned:
+        from .search import with_params
+
+        estimators |= {n: with_params(estimators[n], params) for n, params in tuned.items()}
 
     def fit(name: str) -> ensembles.Classifier:
         model = Pipeline(stages=[assembler(features), estimators[name]]).fit(train)
@@ -240,8 +244,9 @@ def train_target(
 
 
 def train_classifiers(data: DataFrame, targets: Sequence[str] = K.CLASS_TARGETS, sizes: Sizes = Sizes(), **how) -> dict[str, TargetResult]:
-    """ML8: one `train_target` per classification target."""
-    return {t: train_target(data, t, sizes, **how) for t in targets if t in data.columns}
+    """ML8: one `train_target` per classification target, side by side."""
+    found = [t for t in targets if t in data.columns]
+    return dict(zip(found, ensembles.side_by_side([lambda t=t: train_target(data, t, sizes, **how) for t in found])))
 
 
 @dataclass
@@ -289,51 +294,6 @@ def voting_predictions(scored_by_model: DataFrame, members: Sequence[str]) -> Da
     return metrics.soft_vote(scored_by_model, members)
 
 
-# ------------------------------------------------------------------ ML17 / ML18 search
-def random_param_maps(est, n: int, seed: int = SEED, rounds: tuple[int, int] = (20, 100)) -> list:
-    """ML17: seeded random search space for a boosted-tree estimator; `rounds`
-    are the least and most boosting rounds drawn."""
-    rng = random.Random(seed)
-    maps = []
-    for _ in range(n):
-        maps.append({
-            est.maxIter: rng.randint(*rounds),
-            est.maxDepth: rng.randint(3, 10),
-            est.stepSize: math.exp(rng.uniform(math.log(0.01), math.log(0.3))),
-            est.subsamplingRate: rng.uniform(0.5, 1.0),
-        })
-    return maps
-
-
-def tune(data: DataFrame, target: str, est, param_maps: list, folds: int = 5, key: str = "incident_id",
-         features: Sequence[str] = K.FEATURE_COLUMNS, sample: float = 0.70) -> DataFrame:
-    """ML17: mean k-fold balanced accuracy per parameter map, on a hash
-    sample of `sample` of the rows; returns (trial, one typed column for each
-    parameter, score), which `best_sizes` turns into training sizes (ML18)."""
-    d = data.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
-    d = d.where(unit_hash(key, 3) < sample).withColumn("_fold", fold_column(key, folds)).withColumn("weight", F.lit(1.0))
-    va = assembler(features)
-    rows = []
-    for t, pm in enumerate(param_maps):
-        scores = []
-        for i in range(folds):
-            m = Pipeline(stages=[va, est.copy(pm)]).fit(d.where(F.col("_fold") != i))
-            p = probability_array(m.transform(d.where(F.col("_fold") == i)), 2)
-            s = metrics.classification_metrics(scored_rows(p, key, target, f"trial{t}")).first()["balanced_accuracy"]
-            scores.append(s)
-        rows.append((t, *pm.values(), sum(scores) / len(scores)))
-    names = [p.name for p in param_maps[0]] if param_maps else []
-    kinds = ["int" if isinstance(v, int) else "double" for v in (param_maps[0].values() if param_maps else [])]
-    return data.sparkSession.createDataFrame(rows, ", ".join(["trial int", *[f"{n} {k}" for n, k in zip(names, kinds)], "score double"]))
-
-
-def best_sizes(trials: DataFrame, sizes: Sizes = Sizes()) -> Sizes:
-    """ML18: the best trial's parameters as training sizes (ties: the first trial)."""
-    best = trials.orderBy(F.desc("score"), "trial").first().asDict()
-    own = {"maxIter": "gbt_iter", "maxDepth": "depth", "stepSize": "step", "subsamplingRate": "subsample"}
-    return replace(sizes, **{field: best[name] for name, field in own.items() if name in best})
-
-
 # ------------------------------------------------------------------ ML19 importance
 def feature_importance(model: PipelineModel, features: Sequence[str] = K.FEATURE_COLUMNS, top: int = K.TOP_IMPORTANCES) -> DataFrame:
     """ML19 / TK4: top-n importances with the real feature names (Q12)."""
