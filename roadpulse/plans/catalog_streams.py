@@ -20,7 +20,7 @@ from .catalog_features import rounded
 FLUSH_DAYS = 100
 
 
-def _events_with_flush(spark, sf: str, max_files: int | None = None) -> tuple[DataFrame, Callable[[], None]]:
+def _events_with_flush(spark, sf: str, max_files: int | None = None, folder: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
     """The event stream with a control source, and what flushes it.
 
     The control source is an empty folder at first. The flush writes one row
@@ -28,8 +28,8 @@ def _events_with_flush(spark, sf: str, max_files: int | None = None) -> tuple[Da
     past all data; its id (-1) matches no event. It's to be called only when
     the events are drained (see `run_to_table`)."""
     events = S.table_stream(spark, sf, "events", max_files)
-    folder = os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
-    spark.createDataFrame([], events.schema).write.parquet(folder)
+    folder = folder or os.path.join(checkpoint_dir(spark), "streams", f"flush-{uuid.uuid4().hex[:8]}")
+    spark.createDataFrame([], events.schema).write.mode("ignore").parquet(folder)
     control = spark.readStream.schema(events.schema).parquet(folder)
 
     def flush() -> None:
@@ -74,21 +74,36 @@ def q_stream_zone_weekly(spark, sf):
     return _windows(spark, sf, "7 days", "1 day", "st2w")
 
 
-def _joined(spark, sf, max_files=None, lateness="2 hours"):
-    events, flush = _events_with_flush(spark, sf, max_files)
-    ev = bind.event_incidents_from(events)
-    b3 = ev.select(
+def _predictions(ev: DataFrame) -> DataFrame:
+    return ev.select(
         F.col("incident_id").alias("prediction_id"), F.col("start_datetime").alias("timestamp"),
         F.col("congestion_severity").alias("pred_severity"), F.col("duration_min").alias("pred_duration_min"),
     )
+
+
+def _actuals(ev: DataFrame) -> DataFrame:
     eid = F.col("incident_id")
-    act = ev.select(
+    return ev.select(
         eid.alias("prediction_id"),
         (F.col("start_datetime") + F.make_dt_interval(hours=(F.abs(eid) % 72).cast("int"))).alias("actual_at"),
         F.when(eid % 3 == 0, ((eid + F.col("congestion_severity")) % 4).cast("int")).when(eid % 3 == 1, F.col("congestion_severity")).alias("actual_severity"),
         F.when(eid % 3 != 2, F.col("duration_min") * 1.25).alias("actual_duration_min"),
     )
-    return S.join_actuals(b3, act, bound_hours=48, watermark=lateness), flush
+
+
+def _joined(spark, sf, max_files=None, lateness="2 hours"):
+    events, flush = _events_with_flush(spark, sf, max_files)
+    ev = bind.event_incidents_from(events)
+    return S.join_actuals(_predictions(ev), _actuals(ev), bound_hours=48, watermark=lateness), flush
+
+
+def actuals_both(spark, sf, max_files=None, lateness="2 hours", root=None):
+    """ST3 with its second output over an event folder: (joined, late, all actuals)."""
+    root = root or os.path.join(checkpoint_dir(spark), "streams", f"st3b-{uuid.uuid4().hex[:8]}")
+    events, flush = _events_with_flush(spark, sf, max_files, os.path.join(root, "flush"))
+    ev = bind.event_incidents_from(events)
+    out = S.run_actuals(lambda: _predictions(ev), lambda: _actuals(ev), root, 48, lateness, flush)
+    return tuple(t.where("prediction_id >= 0") for t in out)
 
 
 def actuals_join(spark, sf, max_files=None, lateness="2 hours"):
@@ -122,6 +137,13 @@ def q_stream_actuals_join(spark, sf):
     return actuals_join(spark, sf)
 
 
+@register("stream_late_actuals")
+def q_stream_late_actuals(spark, sf):
+    """ST3's second output: actuals that the bounded join left out, with the reason."""
+    _, late, _ = actuals_both(spark, sf)
+    return rounded(late.select("prediction_id", F.col("actual_severity").cast("double").alias("actual_severity"), "actual_duration_min", "reason"))
+
+
 @register("stream_drift_daily")
 def q_stream_drift_daily(spark, sf):
     """ST4: daily drift numbers over the joined stream (append after watermark)."""

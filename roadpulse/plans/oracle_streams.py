@@ -43,6 +43,11 @@ SELECT prediction_id, pred_severity, CAST(act_sev AS DOUBLE) AS actual_severity,
 FROM ({_BOUNDED})
 """)
 
+ORACLE["stream_late_actuals"] = with_b3("""
+SELECT prediction_id, CAST(actual_severity AS DOUBLE) AS actual_severity, round(actual_duration_min, 6) AS actual_duration_min, 'beyond_bound' AS reason
+FROM b3 WHERE prediction_id % 72 > 48
+""")
+
 ORACLE["stream_drift_daily"] = with_b3(f"""
 SELECT strftime(date_trunc('day', timestamp), {_FMT}) AS window_start, count(*) AS predictions,
   count(*) FILTER (WHERE act_sev IS NOT NULL AND pred_severity IS NOT NULL) AS evaluated,
