@@ -7,9 +7,10 @@ one-row side is the only thing ever broadcast explicitly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,14 +139,39 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, num)]
 
 
-def assert_retention(before: DataFrame, after: DataFrame, pct: float = 90.0) -> float:
-    """PF18: rows(after)/rows(before) must be >= pct %. Returns the percentage.
+class RetentionError(AssertionError):
+    """A stage kept too few of its rows."""
 
-    Both counts run as one job each; callers use it as a pipeline guard.
+
+class Retention:
+    """PF18: the share of rows that a stage keeps, observed on the jobs that write its
+    input and its output; no job counts anything of its own.
+
+    ``before`` and ``after`` go directly below a write; ``check`` is called once both are
+    written, raises if less than ``pct`` % of the rows are left and returns the percentage
+    (100 for no rows at all).
     """
-    b = before.count()
-    a = after.count()
-    got = 100.0 if b == 0 else a / b * 100.0
-    if got < pct:
-        raise AssertionError(f"Retention too low: {got:.1f}%")
-    return got
+
+    def __init__(self, pct: float = 90.0):
+        self.pct = pct
+        self._seen: dict[str, Observation] = {}
+
+    def _observed(self, df: DataFrame, name: str) -> DataFrame:
+        self._seen[name] = Observation(f"retention-{name}-{uuid.uuid4().hex}")
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"))
+
+    def before(self, df: DataFrame) -> DataFrame:
+        return self._observed(df, "before")
+
+    def after(self, df: DataFrame) -> DataFrame:
+        return self._observed(df, "after")
+
+    def rows(self) -> tuple[int, int]:
+        return tuple(int(self._seen[n].get.get("rows") or 0) for n in ("before", "after"))
+
+    def check(self) -> float:
+        before, after = self.rows()
+        kept = 100.0 * after / before if before else 100.0
+        if kept < self.pct:
+            raise RetentionError(f"{after} of {before} rows are left ({kept:.1f} %, at least {self.pct:g} % wanted)")
+        return kept

@@ -13,7 +13,7 @@ from ..session import materialize, stage
 from ..sources import bind
 
 
-def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10, normalize_causes: bool = False) -> DataFrame:
+def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10, normalize_causes: bool = False, guard: clean.Retention | None = None) -> DataFrame:
     """Cleaning + labelling stage: parse, duration, targets, prune, impute.
 
     Global statistics that only depend on the parsed input (duration p99,
@@ -25,7 +25,8 @@ def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10,
     # the parsed input is written once to the shared checkpoint folder: the
     # statistics passes and the row plan read it instead of re-running the
     # source joins (which dominate: a lineitem aggregate + three joins)
-    df = materialize(clean.raw_duration(clean.parse_datetimes(raw)).withColumn("duration_min", clip("duration_min", lower=0.0)), "parsed")
+    parsed = clean.raw_duration(clean.parse_datetimes(raw)).withColumn("duration_min", clip("duration_min", lower=0.0))
+    df = materialize(guard.before(parsed) if guard else parsed, "parsed")
     spec = {"duration_min": [0.99]}
     spec.update({c: [0.01, 0.99] for c in ("latitude", "longitude") if c in df.columns})
     stats = scalar_quantiles(df, spec)
@@ -45,6 +46,14 @@ def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10,
     return df
 
 
+def written_clean(raw: DataFrame, pct: float = 90.0, **how) -> DataFrame:
+    """The cleaning stage, written; the retention guard (PF18) stops it if under `pct` % of the rows are left."""
+    guard = clean.Retention(pct)
+    out = materialize(guard.after(clean_incidents(raw, guard=guard, **how)), "labelled")
+    guard.check()
+    return out
+
+
 def labelled_incidents(spark: SparkSession, sf_dir: str, impute_zone: bool = False) -> DataFrame:
     """B1 incidents through the cleaning + labelling stage.
 
@@ -56,7 +65,7 @@ def labelled_incidents(spark: SparkSession, sf_dir: str, impute_zone: bool = Fal
         spark,
         f"labelled-zonefill{int(impute_zone)}",
         bind.source_paths(sf_dir),
-        lambda: materialize(clean_incidents(bind.incidents(spark, sf_dir), impute_zone=impute_zone), "labelled"),
+        lambda: written_clean(bind.incidents(spark, sf_dir), impute_zone=impute_zone),
     )
 
 
