@@ -1,15 +1,16 @@
-"""Source / sink round-trip queries (IO1, IO3, IO4, IO9)."""
+"""Source / sink round-trip queries (IO1, IO3, IO4, IO7, IO9)."""
 
 from __future__ import annotations
 
 import os
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import metrics
 from ..session import checkpoint_dir
-from ..sources import bind, io
+from ..sources import bind, io, publish
 from .catalog import register
 from .catalog_features import rounded
 
@@ -52,3 +53,32 @@ def q_published_events(spark, sf):
     io.publish_events(inc, path)
     t = io.read_table(spark, path)
     return t.where(F.col("start_month") >= "1998-01").groupBy("start_month", "status").agg(F.count(F.lit(1)).alias("events"))
+
+
+def _unchecked(inc: DataFrame) -> DataFrame:
+    """The cleaned incidents as a feed of text that isn't checked yet: some values don't fit, some ids are missing."""
+    n = F.col("incident_id")
+    return inc.withColumn("duration_min", F.when(n % 97 == 0, "unknown").otherwise(F.col("duration_min").cast("string"))).withColumn(
+        "congestion_severity", F.when(n % 89 == 0, "severe").otherwise(F.col("congestion_severity").cast("string"))
+    ).withColumn("incident_id", F.when(n % 83 != 0, n))
+
+
+@register("published_version")
+def q_published_version(spark, sf):
+    """IO7: an unchecked feed published as a version; its rows by month, read through the manifest."""
+    from . import flows
+
+    path = _scratch(spark, "publication")
+    publish.publish(_unchecked(flows.labelled_incidents(spark, sf)), path)
+    t = publish.read_published(spark, path).groupBy("start_month", "status")
+    return t.agg(F.count(F.lit(1)).alias("events"), F.sum("congestion_severity").alias("severity"), F.round(F.sum("duration_min"), 3).alias("minutes"))
+
+
+@register("quarantined_events")
+def q_quarantined_events(spark, sf):
+    """IO7: the rows of the same feed that don't fit the serving table, by reasons."""
+    from . import flows
+
+    path = _scratch(spark, "publication")
+    publish.publish(_unchecked(flows.labelled_incidents(spark, sf)), path)
+    return publish.read_quarantine(spark, path).groupBy(F.array_join("reasons", ", ").alias("reasons")).agg(F.count(F.lit(1)).alias("rows"))

@@ -23,3 +23,17 @@ ORACLE["published_events"] = with_inc("""
 SELECT strftime(start_datetime, '%Y-%m') AS start_month, coalesce(status, 'closed') AS status, count(*) AS events
 FROM inc WHERE strftime(start_datetime, '%Y-%m') >= '1998-01' GROUP BY 1, 2
 """)
+
+_FITS = "incident_id % 97 <> 0 AND incident_id % 89 <> 0 AND incident_id % 83 <> 0"
+
+ORACLE["published_version"] = with_inc(f"""
+SELECT strftime(start_datetime, '%Y-%m') AS start_month, status, count(*) AS events,
+  sum(congestion_severity)::bigint AS severity, round(sum(duration_min), 3) AS minutes
+FROM inc WHERE {_FITS} GROUP BY 1, 2
+""")
+
+ORACLE["quarantined_events"] = with_inc(f"""
+SELECT concat_ws(', ', CASE WHEN incident_id % 89 = 0 THEN 'bad congestion_severity' END, CASE WHEN incident_id % 97 = 0 THEN 'bad duration_min' END,
+  CASE WHEN incident_id % 83 = 0 THEN 'no incident_id' END) AS reasons, count(*) AS rows
+FROM inc WHERE NOT ({_FITS}) GROUP BY 1
+""")
