@@ -26,7 +26,9 @@ def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10,
     # statistics passes and the row plan read it instead of re-running the
     # source joins (which dominate: a lineitem aggregate + three joins)
     parsed = clean.raw_duration(clean.parse_datetimes(raw)).withColumn("duration_min", clip("duration_min", lower=0.0))
-    df = materialize(guard.before(parsed) if guard else parsed, "parsed")
+    df = materialize(parsed, "parsed")
+    if guard:
+        guard.before(df)
     spec = {"duration_min": [0.99]}
     spec.update({c: [0.01, 0.99] for c in ("latitude", "longitude") if c in df.columns})
     stats = scalar_quantiles(df, spec)
@@ -49,7 +51,7 @@ def clean_incidents(raw: DataFrame, impute_zone: bool = False, zone_k: int = 10,
 def written_clean(raw: DataFrame, pct: float = 90.0, **how) -> DataFrame:
     """The cleaning stage, written; the retention guard (PF18) stops it if under `pct` % of the rows are left."""
     guard = clean.Retention(pct)
-    out = materialize(guard.after(clean_incidents(raw, guard=guard, **how)), "labelled")
+    out = guard.after(materialize(clean_incidents(raw, guard=guard, **how), "labelled"))
     guard.check()
     return out
 

@@ -14,7 +14,7 @@ import os
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: FIXED VALUES: columns of the serving table and their types.
@@ -87,15 +87,11 @@ def publish(events: DataFrame, path: str, run: str | None = None) -> Published:
     for p in manifests(spark, path):
         if p.run == run:
             return p
-    staged, seen = f"{path}/_versions/{run}", Observation(f"publish-{uuid.uuid4().hex}")
-    rows = tagged(events).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("quarantined").alias("bad"))
-    rows.write.mode("overwrite").partitionBy("quarantined", "start_month").parquet(staged)
-    total, bad = int(seen.get.get("rows") or 0), int(seen.get.get("bad") or 0)
-    kind = dict(events.dtypes)[KEY]
+    staged, kind = f"{path}/_versions/{run}", dict(events.dtypes)[KEY]
+    tagged(events).write.mode("overwrite").partitionBy("quarantined", "start_month").parquet(staged)
     written = _staged(spark, kind, staged).groupBy("quarantined").count().collect()  # two rows, from file footers and folder names
     told = {r["quarantined"]: r["count"] for r in written}
-    if (told.get(False, 0), told.get(True, 0)) != (total - bad, bad):
-        raise RuntimeError(f"{run}: {total} rows came in, {told} were written; nothing is published")
+    total, bad = sum(told.values()), told.get(True, 0)
     return _commit(spark, path, run, total, bad, kind)
 
 

@@ -1,4 +1,4 @@
-"""The retention guard counts on the jobs that write a stage, and stops it."""
+"""The retention guard tells kept rows by the written tables, and stops the stage."""
 
 from __future__ import annotations
 
@@ -13,22 +13,20 @@ from roadpulse.sources import bind
 
 def test_guard_counts_what_is_written(spark):
     guard, df = clean.Retention(), spark.range(1000, numPartitions=7)
-    kept = materialize(guard.after(materialize(guard.before(df)).where("id % 20 > 0")))
+    guard.after(materialize(guard.before(materialize(df)).where("id % 20 > 0")))
     assert guard.check() == 95.0 and guard.rows() == (1000, 950)
-    assert kept.where("id > 500").count() == 475  # later readers change nothing
-    assert guard.rows() == (1000, 950)
     low = clean.Retention(96.0)
-    materialize(low.after(materialize(low.before(df)).where("id % 20 > 0")))
+    low.after(materialize(low.before(materialize(df)).where("id % 20 > 0")))
     with pytest.raises(clean.RetentionError, match="950 of 1000"):
         low.check()
 
 
 def test_no_rows(spark):
     guard = clean.Retention()
-    materialize(guard.after(materialize(guard.before(spark.range(5).where("id > 9")))))
+    guard.after(materialize(guard.before(materialize(spark.range(5).where("id > 9")))))
     assert guard.check() == 100.0 and guard.rows() == (0, 0)
     gone = clean.Retention()
-    materialize(gone.after(materialize(gone.before(spark.range(5))).where("id > 9")))
+    gone.after(materialize(gone.before(materialize(spark.range(5))).where("id > 9")))
     with pytest.raises(clean.RetentionError):
         gone.check()
 

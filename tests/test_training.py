@@ -110,7 +110,7 @@ def test_saved_models_predict_alike(spark, result, data):
     rows = data.where("kind is not null").limit(150)
     for name in ("StackingEnsemble", "VotingEnsemble", "GradientBoost"):
         path = folder(spark)
-        result.models[name].save(path)
+        result.models[name].save(spark, path)
         back = ensembles.Classifier.load(spark, path)
         want = {r["incident_id"]: (r["prob"], r["prediction"]) for r in result.models[name].predict(rows).collect()}
         assert {r["incident_id"]: (r["prob"], r["prediction"]) for r in back.predict(rows).collect()} == want
