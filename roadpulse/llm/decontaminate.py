@@ -1,21 +1,27 @@
 """Benchmark decontamination by SimHash windows.
 
-All windows of ``SHINGLE`` words of a document get a 64-bit SimHash of their words, and so
-have chosen windows of every item: the heaviest of its shingles, up to more than
-``1 - LIKENESS`` of their weight. What is alike enough to an item holds one of them
-unchanged at least, as the others weigh too little; so looking up equal hashes misses no
-place, whatever words were replaced, deleted or added.
-
-Around the hits, every start from which the item's number of words, clipped to the
-document's bounds, covers a hit is verified: distinct shingles of five words, weighted by
-their characters, with a weighted Jaccard similarity of 0.8 or more. Sums are kept from
-start to start. Verified starts less than half an item apart are one place, told by the likest.
+An item is hashed by windows of one size: the largest step of ``LADDER`` that leaves out a
+quarter of its shingles, so that edits at its ends, or a document's edge, lie outside one of
+its three windows (at its start, middle and end). All windows of that size within a document
+get a 64-bit SimHash of their words, for each size in use. Hashes are cut into ``BLOCKS``
+blocks. Two hashes within ``RADIUS`` differ by ``BLOCK_RADIUS`` bits at most in one of them, so
+an index a block, which lists every value that near an item's, misses no pair of fingerprints
+within the radius; the candidates' distance is counted then.
+
+A candidate places the whole item in the document. Every start around it, from which the
+item's number of words is clipped to the document's bounds, is verified: distinct shingles of
+five words, weighted by their characters, with a weighted Jaccard similarity of 0.8 or more.
+Sums are kept from start to start. Verified starts less than half an item apart are one place,
+told by the likest. The radius holds what the likeness leaves unchanged of a window with a
+wide margin, but a likeness is no bound of a Hamming distance: the tests hold the result
+against brute force.
 
 Window hashes come from running sums of eight packed counters a 64-bit number, over
 many documents at once; windows across documents are discarded.
 
-The items' index is broadcast below ``MAX_ITEM_BYTES`` of text; more items are taken in
-several passes. Documents aren't shuffled.
+The items' index is broadcast below ``MAX_ITEM_BYTES`` of text, which are about ten times
+as many bytes of arrays; more items are taken in several passes. Shingles of items are made
+when a candidate needs them and kept for ``CACHE_ITEMS`` of them. Documents aren't shuffled.
 
 Words are runs of letters and digits, lower-cased; in scripts that are written without
 spaces (Han, kana, Thai, Lao, Burmese, Khmer) every letter is a word. Defined results:
@@ -37,8 +43,13 @@ from pyspark.sql import functions as F
 from .common import WordHashes, batch_of, pick, positional, slices, worker_state
 
 SHINGLE, LIKENESS = 5, 0.8
-#: Words that are windowed at once; item text of one pass.
-CHUNK_WORDS, MAX_ITEM_BYTES = 200_000, 64 << 20
+#: Blocks of a fingerprint, bits that may differ within one, and the distance up to which no pair is missed.
+BLOCKS, BLOCK_RADIUS = 4, 2
+RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
+#: Window sizes: steps of a fifth, up to what the packed counters hold.
+LADDER = [5, 6, 7, 8, 10, 12, 14, 17, 20, 24, 29, 35, 42, 50, 60, 72, 86, 103, 124, 149, 179, 215]
+#: Words that are windowed at once; item text of one pass; items whose shingles are kept.
+CHUNK_WORDS, MAX_ITEM_BYTES, CACHE_ITEMS = 200_000, 4 << 20, 2_000
 
 #: Scripts without spaces between words.
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
@@ -84,8 +95,12 @@ def window_hashes(sums: list[np.ndarray], size: int) -> np.ndarray:
     return out
 
 
+def shingles_of(words: list[str]) -> Iterator[tuple]:
+    return zip(*(words[k:] for k in range(SHINGLE)))
+
+
 def weights(words: list[str]) -> dict[tuple, int]:
-    return {s: sum(map(len, s)) for s in (tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1))}
+    return {s: sum(map(len, s)) for s in set(shingles_of(words))}
 
 
 def likeness(a: dict[tuple, int], b: dict[tuple, int]) -> float:
@@ -93,68 +108,104 @@ def likeness(a: dict[tuple, int], b: dict[tuple, int]) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both)
 
 
+def window_size(words: int) -> int:
+    """Size of the windows of an item: all but a quarter of its shingles, down to a step of the ladder."""
+    return max(s for s in LADDER if s <= words - (words - SHINGLE + 1) // 4)
+
+
+def near_masks() -> np.ndarray:
+    """What differs between two block values that are within ``BLOCK_RADIUS``."""
+    return np.flatnonzero(np.bitwise_count(np.arange(1 << 16, dtype=np.uint16)) <= BLOCK_RADIUS).astype(np.uint16)
+
+
+class Windows:
+    """The items' windows of one size: fingerprints, and for every block the entries near each value."""
+
+    def __init__(self, prints: np.ndarray, item: np.ndarray, offset: np.ndarray):
+        self.prints, self.item, self.offset = prints, item, offset
+        self.blocks = []
+        masks = near_masks()
+        for b in range(BLOCKS):
+            value = (prints.view(np.uint16).reshape(-1, BLOCKS)[:, b, None] ^ masks).ravel()
+            order = np.argsort(value, kind="stable")
+            count = np.bincount(value, minlength=1 << 16).astype(np.int32)
+            starts = (np.cumsum(count) - count).astype(np.int32)
+            self.blocks.append(((order // len(masks)).astype(np.int32), starts, count))
+
+    def near(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(place in own, entry)`` of all pairs within the radius, block by block (a pair may come again)."""
+        values = own.view(np.uint16).reshape(-1, BLOCKS)
+        for b, (entries, starts, count) in enumerate(self.blocks):
+            hit = np.flatnonzero(count[values[:, b]])
+            if len(hit):
+                value = values[hit, b]
+                n = count[value]
+                place = np.repeat(hit, n)
+                entry = entries[np.repeat(starts[value] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                close = np.bitwise_count(own[place] ^ self.prints[entry]) <= RADIUS
+                yield place[close], entry[close]
+
+
 class Items:
-    """The items' chosen windows, sorted by hash."""
+    """The items' windows by size, and their texts."""
 
     def __init__(self, items: list[tuple]):
-        self.ids, self.words = [], []
+        self.ids, self.texts, self.lengths = [], [], []
+        own: dict[int, list[tuple[int, int, int]]] = {}
         for key, text in items:
             words = words_of(text)
-            if len(words) >= SHINGLE:
-                self.ids.append(key)
-                self.words.append(words)
-        self.shingles = [weights(w) for w in self.words]
-        self.totals = [sum(own.values()) for own in self.shingles]
-        prints, item = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for i, words in enumerate(self.words):
-            own = np.unique(window_hashes(running_sums(hashes_of(words)), SHINGLE)[self.chosen(i)])
-            prints.append(own)
-            item.append(np.full(len(own), i, np.int64))
-        prints, item = np.concatenate(prints), np.concatenate(item)
-        order = np.argsort(prints, kind="stable")
-        self.item = item[order]
-        self.prints, self.starts = np.unique(prints[order], return_index=True)
-        self.starts = np.append(self.starts, len(prints))
-
-    def chosen(self, i: int) -> list[int]:
-        """Places of the heaviest shingles, without which an item's likeness to anything is below LIKENESS."""
-        place = {}
-        for at in range(len(self.words[i]) - SHINGLE + 1):
-            place.setdefault(tuple(self.words[i][at : at + SHINGLE]), at)
-        out, weight = [], 0
-        for shingle, w in sorted(self.shingles[i].items(), key=lambda x: -x[1]):
-            if weight > (1 - LIKENESS) * self.totals[i] + 1e-6:
-                break
-            out.append(place[shingle])
-            weight += w
-        return out
-
-    def candidates(self, h: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], list[int]]:
-        """``(document, item)`` -> ascending word numbers of the item's chosen windows in the document."""
-        found: dict[tuple[int, int], list[int]] = {}
-        if not len(self.prints):
-            return found
-        for at in range(0, len(h), CHUNK_WORDS):
-            own = window_hashes(running_sums(h[at : at + CHUNK_WORDS + SHINGLE - 1]), SHINGLE)
-            entry = np.minimum(np.searchsorted(self.prints, own), len(self.prints) - 1)
-            hit = np.flatnonzero(self.prints[entry] == own)
-            entry, hit = entry[hit], hit + at
-            doc = np.searchsorted(ends, hit, side="right")
-            whole = hit + SHINGLE <= ends[doc]
-            for d, e, first in zip(doc[whole].tolist(), entry[whole].tolist(), hit[whole].tolist()):
-                for i in self.item[self.starts[e] : self.starts[e + 1]].tolist():
-                    found.setdefault((d, i), []).append(first)
+            if len(words) < SHINGLE:
+                continue
+            n, size = len(words), window_size(len(words))
+            prints = window_hashes(running_sums(hashes_of(words)), size)
+            own.setdefault(size, []).extend((int(prints[at]), len(self.ids), at) for at in sorted({0, (n - size) // 2, n - size}))
+            self.ids.append(key)
+            self.texts.append(text)
+            self.lengths.append(n)
+        self.sizes = {}
+        for size, entries in sorted(own.items()):
+            prints, item, offset = zip(*entries)
+            self.sizes[size] = Windows(np.array(prints, np.uint64), np.array(item, np.int64), np.array(offset, np.int64))
+        self.kept: dict[int, tuple[dict, int]] = {}
+
+    def shingles(self, i: int) -> tuple[dict[tuple, int], int]:
+        """An item's weighted shingles and their sum."""
+        if i not in self.kept:
+            if len(self.kept) >= CACHE_ITEMS:
+                self.kept.clear()
+            own = weights(words_of(self.texts[i]))
+            self.kept[i] = (own, sum(own.values()))
+        return self.kept[i]
+
+    def candidates(self, h: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], set[int]]:
+        """``(document, item)`` -> words at which the whole item would start, by windows within the radius.
+
+        The windows lie in a document that ends before ``ends``; the whole item may stick out of it.
+        """
+        found: dict[tuple[int, int], set[int]] = {}
+        most = max(self.sizes, default=0)
+        for at in range(0, len(h) if most else 0, CHUNK_WORDS):
+            sums = running_sums(h[at : at + CHUNK_WORDS + most - 1])
+            for size, windows in self.sizes.items():
+                for place, entry in windows.near(window_hashes(sums, size)[:CHUNK_WORDS]):
+                    first = at + place
+                    doc = np.searchsorted(ends, first, side="right")
+                    whole = first + size <= ends[doc]
+                    entry = entry[whole]
+                    for d, i, start in zip(doc[whole].tolist(), windows.item[entry].tolist(), (first[whole] - windows.offset[entry]).tolist()):
+                        found.setdefault((d, i), set()).add(start)
         return found
 
-    def places(self, words: list[str], i: int, hits: list[int]) -> Iterator[tuple[int, float]]:
-        """``(first word, likeness)`` of the item's places in a document's words, of which ``hits`` start chosen windows."""
-        size, n = len(self.words[i]), len(words)
+    def places(self, words: list[str], i: int, starts: list[int]) -> Iterator[tuple[int, float]]:
+        """``(first word, likeness)`` of the item's places in a document's words, around the ascending ``starts``."""
+        size, n = self.lengths[i], len(words)
+        around = max(2, size - window_size(size))
         ranges: list[list[int]] = []
-        for hit in hits:
-            lo, hi = max(hit + SHINGLE - size, SHINGLE - size), min(hit, n - SHINGLE)
+        for start in starts:
+            lo, hi = max(start - around, SHINGLE - size), min(start + around, n - SHINGLE)
             if ranges and lo <= ranges[-1][1] + 1:
                 ranges[-1][1] = hi
-            else:
+            elif lo <= hi:
                 ranges.append([lo, hi])
         best, last = None, 0
         for lo, hi in ranges:
@@ -170,9 +221,9 @@ class Items:
 
     def verified(self, words: list[str], i: int, lo: int, hi: int) -> Iterator[tuple[int, float]]:
         """``(start, likeness)`` of those among the starts ``lo`` to ``hi`` that are alike enough."""
-        own, total, size = self.shingles[i], self.totals[i], len(self.words[i])
+        (own, total), size = self.shingles(i), self.lengths[i]
         base, last = max(lo, 0), min(hi + size, len(words)) - SHINGLE
-        at_hand = [tuple(words[s : s + SHINGLE]) for s in range(base, last + 1)]
+        at_hand = list(shingles_of(words[base : last + SHINGLE]))
         if sum(own[s] for s in own.keys() & set(at_hand)) < LIKENESS * total - 1e-6:
             return
         counts: dict[tuple, int] = {}
@@ -206,9 +257,9 @@ class Items:
         ends = np.cumsum([len(w) for w in lists])
         found = self.candidates(hashes_of([w for words in lists for w in words]), ends)
         out = []
-        for (doc, i), hits in found.items():
+        for (doc, i), starts in found.items():
             begin = int(ends[doc]) - len(lists[doc])
-            out += [(doc, i, first, like) for first, like in self.places(lists[doc], i, [h - begin for h in hits])]
+            out += [(doc, i, first, like) for first, like in self.places(lists[doc], i, sorted(s - begin for s in starts))]
         return out
 
 

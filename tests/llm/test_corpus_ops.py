@@ -234,6 +234,17 @@ def test_window_hashes_equal_the_plain_sum():
             assert int(got[at]) == sum(1 << k for k, one in enumerate(ones) if one)
 
 
+def test_blocks_hold_every_pair_within_the_radius():
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, n, replace=False)) for n in [*range(16), *[decontaminate.RADIUS] * 300]]
+    own = np.array([int(prints[k % 40]) ^ f for k, f in enumerate(flips)], np.uint64)
+    windows = decontaminate.Windows(prints, np.arange(40), np.zeros(40, np.int64))
+    got = {pair for place, entry in windows.near(own) for pair in zip(place.tolist(), entry.tolist())}
+    assert got == {(a, b) for a in range(len(own)) for b in range(40) if (int(own[a]) ^ int(prints[b])).bit_count() <= decontaminate.RADIUS}
+    assert len(got) >= 300 + decontaminate.RADIUS + 1
+
+
 def test_leaks_equal_brute_force(spark):
     docs, bench = documents(), pd.read_parquet(f"{SF}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in queries.QUERIES["op4_decontaminate"](spark, SF).collect()}
