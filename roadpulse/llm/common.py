@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterable, Iterator
@@ -16,7 +17,7 @@ from roadpulse.session import checkpoint_dir
 #: Rows of a written table of a few numbers a row that is broadcast in a join.
 BROADCAST_ROWS = 1_000_000
 #: Words whose hashes a worker keeps, and the longest that is kept.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 32
+CACHE_WORDS, CACHE_LENGTH = 200_000, 32
 #: Rows of an Arrow batch that are turned into Python strings at a time.
 SLICE = 256
 
@@ -95,10 +96,13 @@ def worker_state(name, build):
     """What a Python worker keeps between tasks: one operator's caches at a time.
 
     Workers are used again by later stages; were each operator's caches kept, they
-    would add up.
+    would add up. What the operator before kept is given back to the system, Arrow's
+    unused buffers too. An operator that keeps nothing calls it with ``dict``.
     """
     if name not in _STATE:
         _STATE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _STATE[name] = build()
     return _STATE[name]
 

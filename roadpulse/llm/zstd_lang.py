@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, pick, positional, slices
+from .common import batch_of, pick, positional, slices, worker_state
 
 #: Bounds of the sample that a language is learned from: rows, bytes of a row, bytes in all.
 SAMPLE_ROWS, ROW_CHARS, DICT_BYTES = 256, 1024, 110_000
@@ -109,6 +109,7 @@ def predict(df: DataFrame, model: list[tuple[str, bytes]], *, text_col: str = "t
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language id", dict)  # nothing is kept; the caches of a stage before go
         of = Classifier(shared.value)
         for batch in batches:
             for part in slices(batch):

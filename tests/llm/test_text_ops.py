@@ -192,6 +192,18 @@ def test_archives_round_trip(spark):
     assert zip_warc.round_trip(df.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_archives_are_read_by_tasks_that_grow_with_them(spark, monkeypatch):
+    rows = [(i, f"http://x/{i}", "payload " * 200 if i % 3 else f"{i} " * 300, "en") for i in range(1200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, lang string").repartition(4)
+    monkeypatch.setattr(zip_warc, "RANGE_BYTES", 2000)
+    archives = zip_warc.write_archives(df, Scratch(spark, "t"))
+    assert archives.agg({"records": "sum"}).first()[0] == 1200
+    found = zip_warc.read_archives(spark, archives).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(found) > 1 and sum(r["count"] for r in found) == 1200
+    assert zip_warc.read_tasks(1, 100, 8) == (1, 1)
+    assert zip_warc.read_tasks(5000, 1 << 40, 8) == (312, 1 << 14)
+
+
 def test_full_archives_are_followed_by_others(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(zip_warc, "ARCHIVE_RECORDS", 3)
     rows = iter([(str(i), None, b"p%d" % i, hashlib.sha1(b"p%d" % i).hexdigest(), None) for i in range(5)])
