@@ -8,7 +8,9 @@ blocks. Two hashes within ``RADIUS`` differ by ``BLOCK_RADIUS`` bits at most in
 an index a block, which lists every value that near an item's, misses no pair of fingerprints
 within the radius; the candidates' distance is counted then.
 
-A candidate places the whole item in the document. Every start around it, from which the
+A candidate places the whole item in the document. Verification begins with a bound: there must
+be as many of the items' shingles around as the item's heaviest need for the likeness, counted by
+running sums over hashed shingles. Every start around it, from which the
 item's number of words is clipped to the document's bounds, is verified: distinct shingles of
 five words, weighted by their characters, with a weighted Jaccard similarity of 0.8 or more.
 Sums are kept from start to start. Verified starts less than half an item apart are one place,
@@ -108,6 +110,15 @@ def likeness(a: dict[tuple, int], b: dict[tuple, int]) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both)
 
 
+def shingle_hashes(h: np.ndarray) -> np.ndarray:
+    """A hash of every ``SHINGLE`` words that follow each other; equal shingles have equal ones."""
+    out = h[: max(0, len(h) - SHINGLE + 1)].copy()
+    for k in range(1, SHINGLE):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += h[k : k + len(out)]
+    return out
+
+
 def window_size(words: int) -> int:
     """Size of the windows of an item: all but a quarter of its shingles, down to a step of the ladder."""
     return max(s for s in LADDER if s <= words - (words - SHINGLE + 1) // 4)
@@ -150,14 +161,19 @@ class Items:
     """The items' windows by size, and their texts."""
 
     def __init__(self, items: list[tuple]):
-        self.ids, self.texts, self.lengths = [], [], []
+        self.ids, self.texts, self.lengths, need = [], [], [], []
+        hashed = [np.empty(0, np.uint64)]
         own: dict[int, list[tuple[int, int, int]]] = {}
         for key, text in items:
             words = words_of(text)
             if len(words) < SHINGLE:
                 continue
             n, size = len(words), window_size(len(words))
-            prints = window_hashes(running_sums(hashes_of(words)), size)
+            h = hashes_of(words)
+            hashed.append(shingle_hashes(h))
+            prints = window_hashes(running_sums(h), size)
+            heaviest = np.cumsum(sorted(weights(words).values(), reverse=True))
+            need.append(1 + int(np.searchsorted(heaviest, LIKENESS * heaviest[-1] - 1e-6)))
             own.setdefault(size, []).extend((int(prints[at]), len(self.ids), at) for at in sorted({0, (n - size) // 2, n - size}))
             self.ids.append(key)
             self.texts.append(text)
@@ -167,6 +183,13 @@ class Items:
             prints, item, offset = zip(*entries)
             self.sizes[size] = Windows(np.array(prints, np.uint64), np.array(item, np.int64), np.array(offset, np.int64))
         self.kept: dict[int, tuple[dict, int]] = {}
+        # fewest shingles that an item shares with a place alike enough, and the hashes of all shingles as a table of bits
+        self.need, self.size = np.array(need, np.int64), np.array(self.lengths, np.int64)
+        self.around = np.array([max(2, n - window_size(n)) for n in self.lengths], np.int64)
+        hashed = np.concatenate(hashed)
+        self.shift = np.uint64(64 - max(16, (16 * len(hashed)).bit_length()))
+        self.known = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.known[hashed >> self.shift] = True
 
     def shingles(self, i: int) -> tuple[dict[tuple, int], int]:
         """An item's weighted shingles and their sum."""
@@ -181,25 +204,33 @@ class Items:
         """``(document, item)`` -> words at which the whole item would start, by windows within the radius.
 
         The windows lie in a document that ends before ``ends``; the whole item may stick out of it.
+        Those with too few known shingles around are left out.
         """
         found: dict[tuple[int, int], set[int]] = {}
         most = max(self.sizes, default=0)
+        begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        before = np.zeros(len(h) + 1, np.int64)  # known shingles that start before a word
+        known = self.known[shingle_hashes(h) >> self.shift]
+        np.cumsum(known, out=before[1 : len(known) + 1])
+        before[len(known) + 1 :] = before[len(known)]
         for at in range(0, len(h) if most else 0, CHUNK_WORDS):
             sums = running_sums(h[at : at + CHUNK_WORDS + most - 1])
             for size, windows in self.sizes.items():
                 for place, entry in windows.near(window_hashes(sums, size)[:CHUNK_WORDS]):
                     first = at + place
                     doc = np.searchsorted(ends, first, side="right")
-                    whole = first + size <= ends[doc]
-                    entry = entry[whole]
-                    for d, i, start in zip(doc[whole].tolist(), windows.item[entry].tolist(), (first[whole] - windows.offset[entry]).tolist()):
-                        found.setdefault((d, i), set()).add(start)
+                    item, start = windows.item[entry], first - windows.offset[entry]
+                    lo = np.maximum(start - self.around[item], begins[doc])
+                    hi = np.minimum(start + self.size[item] + self.around[item], ends[doc]) - SHINGLE + 1
+                    real = (first + size <= ends[doc]) & (before[hi] - before[lo] >= self.need[item])
+                    for d, i, s in zip(doc[real].tolist(), item[real].tolist(), start[real].tolist()):
+                        found.setdefault((d, i), set()).add(s)
         return found
 
     def places(self, words: list[str], i: int, starts: list[int]) -> Iterator[tuple[int, float]]:
         """``(first word, likeness)`` of the item's places in a document's words, around the ascending ``starts``."""
         size, n = self.lengths[i], len(words)
-        around = max(2, size - window_size(size))
+        around = int(self.around[i])
         ranges: list[list[int]] = []
         for start in starts:
             lo, hi = max(start - around, SHINGLE - size), min(start + around, n - SHINGLE)
