@@ -8,9 +8,11 @@ value at that count) so a hot group is combined map-side, never collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import round_even
@@ -112,53 +114,62 @@ def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     return out
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """AG11: Pearson r for every pair (a, b) with a before b in `columns`.
+#: A variance below this share of the mean square around the shift is taken as zero.
+_FLAT = 1e-12
+
+
+def _gram_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over a task's rows for all pairs of columns ``a <= b`` where both are present:
+    rows, values, squares and products, as products of the value matrix and its mask."""
+    total = None
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+        mask = (~np.isnan(x)).astype(float)
+        x = np.where(mask > 0, x, 0.0)
+        own = np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        total = own if total is None else total + own
+    if total is not None:
+        a, b = np.triu_indices(total.shape[1])
+        n, s, q, c = total
+        cols = {"a": a, "b": b, "n": n[a, b], "sa": s[a, b], "sb": s[b, a], "qa": q[a, b], "qb": q[b, a], "c": c[a, b]}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k in "ab" else pa.float64()) for k, v in cols.items()})
+
 
-    Rows are unpivoted to one (id, x, y) entry per pair (pairwise-complete:
-    x and y masked unless both are present) plus one (id, x, x) entry per
-    column, and one grouped aggregate computes the co-moments of all of
-    them (a handful of aggregate functions, partial aggregation map-side).
-    Constant (or all-null) columns give null instead of failing (Q16).
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """AG11: Pearson r for every pair (a, b) with a before b in `columns`,
+    over the rows where both are present (NaN counts as missing, as in pandas).
+
+    A task turns its Arrow batches into Gram matrices of values and null
+    masks and emits one row of sums per pair, whatever its number of rows;
+    these rows are added up by a grouped aggregate. Values are shifted by
+    their column's mean first (by the value itself if it is constant), so
+    that sums of squares keep their digits. A task holds four matrices of
+    p x p numbers. Constant (or all-null) columns give null (Q16).
     """
     cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    pairs = [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
     spark = df.sparkSession
     if not pairs:
         return spark.createDataFrame([], "col_a string, col_b string, corr double")
-    npairs = len(pairs)
-    items = []
-    for j, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        items.append(F.struct(F.lit(j).alias("id"), F.when(both, x).alias("x"), F.when(both, y).alias("y")))
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        items.append(F.struct(F.lit(npairs + i).alias("id"), x.alias("x"), x.alias("y")))
-    long = df.select(F.explode(F.array(*items)).alias("_e")).select("_e.id", "_e.x", "_e.y")
-    g = long.groupBy("id").agg(
-        F.count("x").alias("n"), F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy")
-    )
-    r = F.try_divide(F.col("c"), F.sqrt(F.col("vx")) * F.sqrt(F.col("vy"))) * F.when(F.col("n") > 1, F.lit(1.0))
-    # column standard deviations: one row per column (bounded by the column list)
-    sd = g.where(F.col("id") >= npairs).select((F.col("id") - npairs).alias("_ci"), F.sqrt("vx").alias("_sd"))
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    idx = {c: i for i, c in enumerate(cols)}
-    ia = F.array(*[F.lit(idx[a]) for a, _ in pairs])
-    ib = F.array(*[F.lit(idx[b]) for _, b in pairs])
-    ids = spark.range(npairs).select(F.col("id").cast("int").alias("id"))
-    pr = ids.join(g.where(F.col("id") < npairs).select("id", r.alias("r")), "id", "left").select(
-        "id", F.element_at(ia, F.col("id") + 1).alias("_ia"), F.element_at(ib, F.col("id") + 1).alias("_ib"), "r"
-    )
-    sa = F.broadcast(sd.select(F.col("_ci").alias("_ia"), F.col("_sd").alias("_sda")))
-    sb = F.broadcast(sd.select(F.col("_ci").alias("_ib"), F.col("_sd").alias("_sdb")))
-    out = pr.join(sa, "_ia", "left").join(sb, "_ib", "left")
-    return out.select(
-        F.element_at(names_a, F.col("id") + 1).alias("col_a"),
-        F.element_at(names_b, F.col("id") + 1).alias("col_b"),
-        F.when((F.col("_sda") > 0) & (F.col("_sdb") > 0), F.col("r")).alias("corr"),
-    )
+    x = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"_x{i}") for i, c in enumerate(cols)])
+    shifts = x.agg(*[
+        F.when(F.min(f"_x{i}") == F.max(f"_x{i}"), F.min(f"_x{i}")).otherwise(F.avg(f"_x{i}")).alias(f"_s{i}") for i in range(len(cols))
+    ])  # one row
+    centred = x.crossJoin(F.broadcast(shifts)).select(*[(F.col(f"_x{i}") - F.col(f"_s{i}")).alias(f"_x{i}") for i in range(len(cols))])
+    sums = centred.mapInArrow(_gram_sums, "a int, b int, n double, sa double, sb double, qa double, qb double, c double")
+    g = sums.where("a < b").groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "c")])
+
+    def spread(s: str, q: str) -> Column:
+        v = F.col(q) - F.col(s) * F.col(s) / F.col("n")
+        return F.when(v > F.col(q) * _FLAT, F.sqrt(v))
+
+    r = (F.col("c") - F.col("sa") * F.col("sb") / F.col("n")) / (spread("sa", "qa") * spread("sb", "qb"))
+    # rounding may carry a perfect correlation past 1
+    r = F.when(F.col("n") > 1, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    named = spark.createDataFrame(pairs, "a int, b int, col_a string, col_b string")
+    # least and greatest skip nulls, so a null r must be told apart
+    found = g.where(F.col("n") > 0).select("a", "b", F.when(spread("sa", "qa").isNotNull() & spread("sb", "qb").isNotNull(), r).alias("corr"))
+    return named.join(found, ["a", "b"], "left").select("col_a", "col_b", "corr")
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

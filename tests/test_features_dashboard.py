@@ -97,3 +97,28 @@ def test_correlation_pairwise_complete_and_empty_input(spark):
         assert abs(r - want.loc[x, y]) < 1e-12
     empty = profile.correlation_pairs(df.limit(0), ["a", "b", "c"]).collect()
     assert len(empty) == 3 and all(r.corr is None for r in empty)
+
+
+def test_correlation_of_many_columns_equals_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(1e6, 1.0, (600, 14)) + rng.normal(0, 1, (600, 1))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:, 5] = np.where(np.isnan(x[:, 5]), np.nan, 0.1)  # constant, not a binary fraction
+    x[:, 6] = np.nan
+    x[:, 7] = np.where(np.arange(600) < 598, np.nan, x[:, 7])  # at most two values
+    cols = [f"c{i}" for i in range(14)]
+    pdf = pd.DataFrame(x, columns=cols)
+    df = spark.createDataFrame(pdf).repartition(5)  # NaN
+    nulls = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    want = pdf.corr()
+    for frame in (df, nulls):
+        got = {(r.col_a, r.col_b): r["corr"] for r in profile.correlation_pairs(frame, cols).collect()}
+        assert len(got) == 14 * 13 // 2
+        for (a, b), r in got.items():
+            if "c5" in (a, b) or np.isnan(want.loc[a, b]):
+                assert r is None
+            else:
+                assert abs(r - want.loc[a, b]) < 1e-9
