@@ -6,15 +6,19 @@ Native: DataFrame and SQL functions only.
    lines of fewer than ``MIN_CHARS`` characters are left alone, except for
    ``MIN_LETTERS`` letters of a script that is written without spaces (Han, kana, Thai,
    Lao, Burmese, Khmer).
-2. Each gets a 64-bit SimHash of its words, from sums of packed counters, eight a number;
-   lines in scripts without spaces one of their runs of three characters.
+2. Each gets a 64-bit SimHash of its words of at least ``WORD`` characters (of all words
+   if it has no such), from sums of packed counters, eight a number; short words are the
+   same in all lines of a language and would draw their hashes together. Lines in scripts
+   without spaces get one of their runs of three characters.
 3. Equal normalised lines become one node.
-4. The SimHash is cut into five blocks. Two hashes that differ in at most three bits agree
-   on two blocks at least, so all 10 choices of two blocks are indexed. Within an
-   index entry, sorted by the other blocks, a node is paired with the one before it and
-   with the entry's first: all pairs for up to three nodes, and a connected chain and star
-   beyond, never the square of a group.
-5. Pairs within three bits are verified: edit similarity of 0.8 or more. What two lines
+4. The SimHash is cut into seven blocks. Two hashes that differ in at most ``SURE`` = 5 bits
+   agree on two blocks at least, so all 21 choices of two blocks are indexed. Hashes that
+   share an entry and differ in at most ``RADIUS`` = 11 bits are candidates: all of those up to
+   five bits, most up to nine. Within an entry a node is paired with up to ``NEAR`` nodes before it,
+   which is all pairs of an entry of up to ``NEAR`` + 1 nodes. In a larger one the rest is compared
+   once the links found so far are components: all its pairs of different components, none
+   inside a component, so a large group of near copies isn't squared.
+5. Candidates are verified: edit similarity of 0.8 or more. What two lines
    begin and end with alike is cut off first; the rest is compared in pieces of ``PIECE``
    characters, whose summed distances bound the edit distance from above, and where that is
    too much, whole, in bands of growing width.
@@ -39,11 +43,16 @@ from pyspark.sql import functions as F
 from .common import Scratch, once, pick, positional, small
 from .components import components
 
-MIN_CHARS, MIN_LETTERS, RADIUS, LIKENESS = 10, 5, 3, 0.8
+MIN_CHARS, MIN_LETTERS, LIKENESS = 10, 5, 0.8
+#: Least characters of the words that are hashed; bits in which candidates may differ; nodes of an entry that a node is compared with at first.
+WORD, RADIUS, NEAR = 4, 11, 16
 #: Letters of scripts without spaces between words.
 UNSPACED = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3ffff}]"
 #: First bit and width of the blocks. More blocks give more entries a node, each with more bits.
-BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+BLOCKS = [(0, 10), (10, 9), (19, 9), (28, 9), (37, 9), (46, 9), (55, 9)]
+#: Blocks of an entry, and so the bits up to which no pair is missed.
+SHARED = 2
+SURE = len(BLOCKS) - SHARED
 #: Words whose bits are counted in bytes (the highest byte of a signed number holds 127).
 PART_WORDS = 127
 #: Characters that are compared at once; edits that are looked for first.
@@ -62,8 +71,10 @@ def unspaced(least: int) -> Column:
 
 
 def features(norm: str) -> Column:
-    """What a line's SimHash is made of: words, or runs of three characters."""
-    return F.when(unspaced(1), F.regexp_extract_all(norm, F.lit("(?s)(?=(.{3}))"), 1)).otherwise(F.split(norm, " "))
+    """What a line's SimHash is made of: words, without short ones if there are others, or runs of three characters."""
+    words = F.split(norm, " ")
+    words = F.when(F.col(norm).rlike(f"[^ ]{{{WORD}}}"), F.filter(words, lambda w: F.length(w) >= WORD)).otherwise(words)
+    return F.when(unspaced(1), F.regexp_extract_all(norm, F.lit("(?s)(?=(.{3}))"), 1)).otherwise(words)
 
 
 def lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,7 +87,7 @@ def lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def hashed_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, th, no, k1, k2, sim``: the SimHash of every line.
+    """``id, th, no, k1, k2, sim, chars``: SimHash and length of every line.
 
     Words are counted in parts of at most 127, so eight counters of a byte fit a
     number; the parts of longer lines are added up counter by counter. Rows that repeat id
@@ -84,18 +95,18 @@ def hashed_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     null and ``crowded_sims`` has it.
     """
     keys = ["id", "th", "no", "k1", "k2"]
-    split = once(lines(df, id_col, text_col).select(*keys, features("norm").alias("w")))
-    words = split.select("id", "th", "no", "k1", "k2", F.size("w").alias("n"), F.posexplode("w").alias("at", "w"))
-    words = words.select(*keys, "n", F.floor(F.col("at") / PART_WORDS).cast("int").alias("part"), F.xxhash64("w").alias("h"))
+    split = once(lines(df, id_col, text_col).select(*keys, F.length("norm").alias("chars"), features("norm").alias("w")))
+    words = split.select(*keys, "chars", F.size("w").alias("n"), F.posexplode("w").alias("at", "w"))
+    words = words.select(*keys, "chars", "n", F.floor(F.col("at") / PART_WORDS).cast("int").alias("part"), F.xxhash64("w").alias("h"))
     sums = [F.try_sum(F.shiftrightunsigned("h", k).bitwiseAND(_LANES)).alias(f"s{k}") for k in range(8)]
     # n isn't a key, so both uses of the parts read one exchange
-    parts = words.groupBy(*keys, "part").agg(F.max("n").alias("n"), F.count("*").alias("m"), *sums)
+    parts = words.groupBy(*keys, "part").agg(F.max("n").alias("n"), F.max("chars").alias("chars"), F.count("*").alias("m"), *sums)
     lane = lambda b: F.shiftrightunsigned(f"s{b % 8}", b - b % 8).bitwiseAND(255)
     bits = lambda count: sum_bits([F.when(count(b) * 2 > F.col("n"), F.lit(_signed(1 << b)).cast("bigint")) for b in range(64)])
     fits = F.col("m") <= PART_WORDS
-    short = parts.where(F.col("n") <= PART_WORDS).select(*keys, F.when(fits, packed_majority("m")).alias("sim"))
-    added = parts.where(F.col("n") > PART_WORDS).groupBy(*keys).agg(F.max("n").alias("n"), F.max("m").alias("m"), *[F.sum(F.when(fits, lane(b))).alias(f"b{b}") for b in range(64)])
-    return short.unionByName(added.select(*keys, F.when(fits, bits(lambda b: F.col(f"b{b}"))).alias("sim")))
+    short = parts.where(F.col("n") <= PART_WORDS).select(*keys, F.when(fits, packed_majority("m")).alias("sim"), "chars")
+    added = parts.where(F.col("n") > PART_WORDS).groupBy(*keys).agg(F.max("n").alias("n"), F.max("chars").alias("chars"), F.max("m").alias("m"), *[F.sum(F.when(fits, lane(b))).alias(f"b{b}") for b in range(64)])
+    return short.unionByName(added.select(*keys, F.when(fits, bits(lambda b: F.col(f"b{b}"))).alias("sim"), "chars"))
 
 
 def crowded_sims(df: DataFrame, every: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -138,29 +149,72 @@ def sum_bits(flags: list[Column]) -> Column:
     return out
 
 
-def block_pairs(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs ``a > b`` of ``nodes`` (node, sim) that share enough blocks and differ in at most RADIUS bits."""
+def entries(nodes: DataFrame) -> DataFrame:
+    """``t, node, sim``, dealt by their ``key``: every node once for each choice t of blocks."""
+    which = list(combinations(range(len(BLOCKS)), SHARED))
     block = [F.shiftright("sim", at).bitwiseAND((1 << width) - 1) for at, width in BLOCKS]
+    key = F.lit(0).cast("bigint")
+    for t, own in reversed(list(enumerate(which))):
+        bits = F.lit(t).cast("bigint")
+        for b in own:
+            bits = F.shiftleft(bits, BLOCKS[b][1]).bitwiseOR(block[b])
+        key = F.when(F.col("t") == t, bits).otherwise(key)
+    every = nodes.select("node", "sim", F.explode(F.array(*[F.lit(t) for t in range(len(which))])).alias("t"))
+    return every.repartition(key).select(key.alias("key"), "t", "node", "sim")
+
+
+def near(t: Column, a: Column, b: Column) -> Column:
+    """Whether two hashes are within the radius and t is the first entry they share."""
+    x = a.bitwiseXOR(b)
+    same = [(x.bitwiseAND(_signed(((1 << width) - 1) << at)) == 0).cast("int") for at, width in BLOCKS]
+    first = F.lit(False)
+    for n, own in enumerate(combinations(range(len(BLOCKS)), SHARED)):
+        others = [same[b] for b in range(own[-1]) if b not in own]
+        first = first | ((t == n) & (sum(others, F.lit(0)) == 0))
+    return (F.bit_count(x) <= RADIUS) & first
 
-    def packed(which: tuple[int, ...]) -> Column:
-        out = F.lit(0).cast("bigint")
-        for b in which:
-            out = F.shiftleft(out, BLOCKS[b][1]).bitwiseOR(block[b])
-        return out
-
-    entries = []
-    for t, own in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS)):
-        rest = tuple(b for b in range(len(BLOCKS)) if b not in own)
-        entries.append(F.struct((packed(own) + F.lit(t << 40)).alias("key"), packed(rest).alias("rest")))
-    index = nodes.select("node", F.explode(F.array(*entries)).alias("e")).select("node", "e.key", "e.rest")
-    order = Window.partitionBy("key").orderBy("rest", "node")
-    before = F.lag(F.struct("rest", "node")).over(order)
-    first = F.first(F.struct("rest", "node")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    linked = index.select("node", "rest", before.alias("before"), first.alias("first")).where("before is not null")
-    near = lambda x: F.bit_count(F.col("rest").bitwiseXOR(x["rest"])) <= RADIUS
-    others = F.filter(F.array_distinct(F.array("before", "first")), near)
-    pairs = linked.select("node", F.explode(others).alias("o")).where(F.col("node") != F.col("o.node"))
-    return pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
+
+def block_pairs(nodes: DataFrame) -> DataFrame:
+    """``key, crowded, a, b``: pairs ``a > b`` of ``nodes`` (node, sim) that are candidates, each once;
+    where an entry has more than NEAR + 1 nodes, one row with ``crowded`` set and no pair."""
+    order = Window.partitionBy("key").orderBy("sim", "node")
+    before = F.collect_list(F.struct("sim", "node")).over(order.rowsBetween(-NEAR, -1))
+    rows = entries(nodes).select("key", "t", "node", "sim", F.row_number().over(order).alias("place"), before.alias("before")).where("place > 1")
+    close = F.filter("before", lambda o: near(F.col("t"), F.col("sim"), o["sim"]))
+    close = F.transform(close, lambda o: F.struct(F.lit(False).alias("crowded"), F.greatest("node", o["node"]).alias("a"), F.least("node", o["node"]).alias("b")))
+    none = F.lit(None).cast("bigint")
+    crowd = F.when(F.col("place") == NEAR + 2, F.array(F.struct(F.lit(True).alias("crowded"), none.alias("a"), none.alias("b")))).otherwise(F.array())
+    return rows.select("key", F.explode(F.concat(close, crowd)).alias("p")).select("key", "p.*")
+
+
+def crowded_pairs(nodes: DataFrame, keys: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """``a, b``: candidates of the entries ``keys`` whose nodes are in different components (``groups``)."""
+    index = entries(nodes).join(small(keys), "key", "leftsemi").join(groups, "node", "left")
+    index = scratch.table(index.withColumn("component", F.coalesce("component", "node")), "crowded")
+    mixed = index.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most")
+    index = index.join(mixed.select("key"), "key", "leftsemi")
+    left, right = (index.select("key", *[F.col(c).alias(f"{c}_{end}") for c in ("t", "node", "sim", "component")]) for end in "ab")
+    apart = (F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = left.join(right.drop("t_b"), "key").where(apart & near(F.col("t_a"), F.col("sim_a"), F.col("sim_b")))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def verified(df: DataFrame, nodes: DataFrame, pairs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """The ``pairs`` (a, b) whose lines are similar. Only the documents that a node's line occurs in first are read for it."""
+    for end in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("chars").alias("chars_" + end)), end)
+    alike = F.abs(F.col("chars_a") - F.col("chars_b")) <= F.floor((1 - LIKENESS) * F.greatest("chars_a", "chars_b") + 1e-9)
+    pairs = scratch.table(pairs.where(alike).select("a", "b"), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(ends, "node").groupBy("first.id", "first.th").agg(F.collect_list(F.struct("first.no", "node")).alias("wanted"))
+    wanted = scratch.table(wanted.select(F.col("id").alias("own"), F.col("th").alias("own_th"), "wanted"), "wanted")
+    docs = pick(df, id=id_col, text=text_col).withColumn("th", F.xxhash64("text"))
+    texts = docs.join(small(wanted), F.col("id").eqNullSafe(F.col("own")) & (F.col("th") == F.col("own_th")))
+    texts = once(texts.select(F.split("text", "\n").alias("line"), "wanted")).select("line", F.explode("wanted").alias("w"))
+    texts = texts.select("w.node", normal(F.get("line", F.col("w.no"))).alias("norm"))
+    texts = scratch.table(texts.groupBy("node").agg(F.first("norm").alias("norm")), "texts")
+    left, right = (texts.select(F.col("node").alias(end), F.col("norm").alias("n" + end)) for end in "ab")
+    return scratch.table(similar(pairs.join(left, "a").join(right, "b")), "links")
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -202,18 +256,19 @@ def find(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: s
     every = scratch.table(hashed_lines(df, id_col, text_col), "lines")
     if not every.where("sim is null").isEmpty():
         filled = every.join(crowded_sims(df, every, id_col, text_col), ["k1", "k2"], "left")
-        every = scratch.table(filled.select("id", "th", "no", "k1", "k2", F.coalesce("sim", "own").alias("sim")), "filled")
+        every = scratch.table(filled.select("id", "th", "no", "k1", "k2", F.coalesce("sim", "own").alias("sim"), "chars"), "filled")
     # equal lines: one node, named by its first occurrence
-    nodes = every.groupBy("k1", "k2").agg(F.min(F.struct("id", "th", "no")).alias("first"), F.min("sim").alias("sim"), F.count("*").alias("times"))
+    nodes = every.groupBy("k1", "k2").agg(F.min(F.struct("id", "th", "no")).alias("first"), F.min("sim").alias("sim"), F.min("chars").alias("chars"), F.count("*").alias("times"))
     nodes = scratch.table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    pairs = scratch.table(block_pairs(nodes.select("node", "sim")), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = scratch.table(nodes.select("node", "k1", "k2").join(ends, "node"), "wanted")
-    texts = lines(df, id_col, text_col).select("k1", "k2", "norm").join(small(wanted), ["k1", "k2"]).groupBy("node").agg(F.first("norm").alias("norm"))
-    texts = scratch.table(texts, "texts")
-    left, right = (texts.select(F.col("node").alias(end), F.col("norm").alias("n" + end)) for end in "ab")
-    links = similar(pairs.join(left, "a").join(right, "b"))
+    found = scratch.table(block_pairs(nodes.select("node", "sim")), "candidates")
+    links = verified(df, nodes, found.where("not crowded").select("a", "b"), scratch, id_col, text_col)
     groups = scratch.table(components(links, scratch), "groups")
+    crowded = found.where("crowded").select("key")
+    if not crowded.isEmpty():
+        rest = crowded_pairs(nodes.select("node", "sim"), crowded, groups, scratch)
+        rest = verified(df, nodes, rest, scratch, id_col, text_col)
+        if not rest.isEmpty():
+            groups = scratch.table(components(links.unionByName(rest), scratch), "groups")
     # what stays of a group: its first occurrence; groups of one line that occurs once need no row
     named = nodes.join(groups, "node", "left").where("times > 1 or component is not null").withColumn("component", F.coalesce("component", "node"))
     named = scratch.table(named.select("k1", "k2", "component", "first"), "named")
