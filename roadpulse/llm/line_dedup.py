@@ -17,7 +17,7 @@ Native: DataFrame and SQL functions only.
    four bits, most up to seven. Within an entry a node is paired with the ``NEAR`` nodes before it,
    which is all pairs of an entry of up to ``NEAR`` + 1 nodes. First every node's nearest
    candidate is verified. Of the other candidates only those between different components of these
-   links are; of larger entries all pairs of different components, none inside a
+   links are, the nearest of every two components before the rest; of larger entries all pairs of different components, none inside a
    component, so a large group of near copies isn't squared.
 5. Candidates are verified: edit similarity of 0.8 or more. What two lines
    begin and end with alike is cut off first (where lines of as many words differ in few
@@ -151,29 +151,31 @@ def sum_bits(flags: list[Column]) -> Column:
     return out
 
 
+CHOICES = list(combinations(range(len(BLOCKS)), SHARED))
+
+
 def entries(nodes: DataFrame) -> DataFrame:
     """``t, node, sim``, dealt by their ``key``: every node once for each choice t of blocks."""
-    which = list(combinations(range(len(BLOCKS)), SHARED))
-    block = [F.shiftright("sim", at).bitwiseAND((1 << width) - 1) for at, width in BLOCKS]
-    key = F.lit(0).cast("bigint")
-    for t, own in reversed(list(enumerate(which))):
-        bits = F.lit(t).cast("bigint")
-        for b in own:
-            bits = F.shiftleft(bits, BLOCKS[b][1]).bitwiseOR(block[b])
-        key = F.when(F.col("t") == t, bits).otherwise(key)
-    every = nodes.select("node", "sim", F.explode(F.array(*[F.lit(t) for t in range(len(which))])).alias("t"))
+    key = F.col("t").cast("bigint")
+    for k in range(SHARED):
+        at, mask = (F.array(*[F.lit(x) for x in xs]) for xs in ([BLOCKS[own[k]][0] for own in CHOICES], [(1 << BLOCKS[own[k]][1]) - 1 for own in CHOICES]))
+        bits = F.call_function("shiftright", F.col("sim"), F.get(at, F.col("t"))).bitwiseAND(F.get(mask, F.col("t")))
+        key = F.shiftleft(key, max(width for _, width in BLOCKS)).bitwiseOR(bits)
+    every = nodes.select("node", "sim", F.explode(F.array(*[F.lit(t) for t in range(len(CHOICES))])).alias("t"))
     return every.repartition(key).select(key.alias("key"), "t", "node", "sim")
 
 
 def near(t: Column, a: Column, b: Column) -> Column:
-    """Whether two hashes are within the radius and t is the first entry they share."""
+    """Whether two hashes are within the radius and t is the first entry they share.
+
+    Which blocks are equal is looked up in a table of first entries: few instructions, so the JVM compiles them.
+    """
     x = a.bitwiseXOR(b)
-    same = [(x.bitwiseAND(_signed(((1 << width) - 1) << at)) == 0).cast("int") for at, width in BLOCKS]
-    first = F.lit(False)
-    for n, own in enumerate(combinations(range(len(BLOCKS)), SHARED)):
-        others = [same[b] for b in range(own[-1]) if b not in own]
-        first = first | ((t == n) & (sum(others, F.lit(0)) == 0))
-    return (F.bit_count(x) <= RADIUS) & first
+    equal = F.lit(0)
+    for n, (at, width) in enumerate(BLOCKS):
+        equal = equal + F.when(x.bitwiseAND(_signed(((1 << width) - 1) << at)) == 0, 1 << n).otherwise(0)
+    first = [next((t for t, own in enumerate(CHOICES) if all(e >> k & 1 for k in own)), -1) for e in range(1 << len(BLOCKS))]
+    return (F.bit_count(x) <= RADIUS) & (F.get(F.array(*[F.lit(t) for t in first]), equal) == t)
 
 
 def block_pairs(nodes: DataFrame) -> DataFrame:
@@ -270,19 +272,25 @@ def find(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: s
     found = scratch.table(block_pairs(nodes.select("node", "sim")), "candidates")
     pairs = found.where("not crowded")
     nearest = pairs.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
-    links = verified(df, nodes, nearest, scratch, id_col, text_col)
-    groups = scratch.table(components(links, scratch), "groups")
-    # the rest, between different components only
-    rest = pairs.select("a", "b")
-    for end in "ab":
-        rest = rest.join(groups.select(F.col("node").alias(end), F.col("component").alias("component_" + end)), end, "left")
-    rest = rest.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
+    nearest = tried = scratch.table(nearest.select("a", "b"), "nearest")
+    groups = scratch.table(components(verified(df, nodes, nearest, scratch, id_col, text_col), scratch), "groups")
     crowded = found.where("crowded").select("key")
-    if not crowded.isEmpty():
-        rest = rest.unionByName(crowded_pairs(nodes.select("node", "sim"), crowded, groups, scratch))
-    more = verified(df, nodes, rest.join(nearest, ["a", "b"], "leftanti"), scratch, id_col, text_col)
-    if not more.isEmpty():
-        groups = scratch.table(components(links.unionByName(more), scratch), "groups")
+    # the rest, between different components only: first the nearest candidate of two components, then all that remain
+    for last in (False, True):
+        rest = pairs.select("a", "b", "bits")
+        for end in "ab":
+            rest = rest.join(groups.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left").withColumn("c" + end, F.coalesce("c" + end, end))
+        rest = rest.where("ca != cb").join(tried, ["a", "b"], "leftanti")
+        if not last:
+            rest = rest.groupBy(F.least("ca", "cb").alias("one"), F.greatest("ca", "cb").alias("other")).agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p"))
+            rest = scratch.table(rest.select("p.a", "p.b"), "between")
+            tried = tried.unionByName(rest)
+        elif not crowded.isEmpty():
+            rest = rest.select("a", "b").unionByName(crowded_pairs(nodes.select("node", "sim"), crowded, groups, scratch))
+        more = verified(df, nodes, rest.select("a", "b"), scratch, id_col, text_col)
+        if not more.isEmpty():
+            hung = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = scratch.table(components(hung.unionByName(more), scratch), "groups")
     # what stays of a group: its first occurrence; groups of one line that occurs once need no row
     named = nodes.join(groups, "node", "left").where("times > 1 or component is not null").withColumn("component", F.coalesce("component", "node"))
     named = scratch.table(named.select("k1", "k2", "component", "first"), "named")
