@@ -59,6 +59,7 @@ _HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(r"[^\W_]+")
 _WORD_OR_LETTER = re.compile(rf"(?=[^\W_])[{_UNSPACED}]|[^\W_{_UNSPACED}]+")
 _LANES = np.uint64(0x0101010101010101)
+_TOP_BITS = np.uint64(0x8080808080808080)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -87,12 +88,13 @@ def window_hashes(sums: list[np.ndarray], size: int) -> np.ndarray:
     """SimHash of every window of ``size`` words: a bit is set if most words have it."""
     lift = _LANES * np.uint64(128 - (size // 2 + 1))
     out = np.zeros(max(0, len(sums[0]) - size), np.uint64)
+    counts = np.empty_like(out)
     for k, s in enumerate(sums):
-        counts = s[size:] - s[:-size]
+        np.subtract(s[size:], s[:-size], out=counts)
         counts += lift
-        counts >>= np.uint64(7)
-        counts &= _LANES
-        counts <<= np.uint64(k)
+        counts &= _TOP_BITS
+        if k < 7:
+            counts >>= np.uint64(7 - k)
         out |= counts
     return out
 
@@ -141,13 +143,13 @@ class Windows:
             order = np.argsort(value, kind="stable")
             count = np.bincount(value, minlength=1 << 16).astype(np.int32)
             starts = (np.cumsum(count) - count).astype(np.int32)
-            self.blocks.append(((order // len(masks)).astype(np.int32), starts, count))
+            self.blocks.append(((order // len(masks)).astype(np.int32), starts, count, count > 0))
 
     def near(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(place in own, entry)`` of all pairs within the radius, block by block (a pair may come again)."""
         values = own.view(np.uint16).reshape(-1, BLOCKS)
-        for b, (entries, starts, count) in enumerate(self.blocks):
-            hit = np.flatnonzero(count[values[:, b]])
+        for b, (entries, starts, count, listed) in enumerate(self.blocks):
+            hit = np.flatnonzero(listed.take(values[:, b]))
             if len(hit):
                 value = values[hit, b]
                 n = count[value]
