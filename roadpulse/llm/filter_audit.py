@@ -6,8 +6,9 @@ filter removes is its relation left-semi joined with them; what it finds gone al
 its relation left-anti joined with them. An order of filters
 meets only such sets, so all orders are put together from 2^n of them.
 
-The id relations are tables bucketed by id: they are dealt once, and all joins run inside
-the buckets without another shuffle. Texts are read once.
+The id relations are tables bucketed by id: the rows are dealt once, the relations are cut
+from them as they lie, and all joins run inside the buckets without another shuffle. The
+counts of several sets are summed by one job. Texts are read once.
 
 Defined results: a null text is empty, a null part the empty string. Rows are told apart
 by a number of their own, so null and repeated ids count row by row; a row without an id
@@ -18,6 +19,7 @@ An empty table has no parts and no rows. Further columns are ignored, whatever t
 from __future__ import annotations
 
 import itertools
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -31,24 +33,31 @@ from .common import Scratch, pick
 BUCKET_ROWS = 1_000_000
 #: Jobs that run side by side.
 JOBS = 4
+#: Sets of filters that are counted by one job and one shuffle. The plans of all such jobs are equal; they run
+#: one after another, as the driver holds the plan of each.
+SETS = 4
 #: Stands for no filter.
 ALL = "-"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
 class Relations:
-    """Bucketed id tables of one run, registered under names of their own until ``drop``."""
+    """Bucketed id tables of one run, registered under names of their own until ``drop``.
+
+    Tables may be stored from several threads.
+    """
 
     def __init__(self, scratch: Scratch, buckets: int):
         self.scratch, self.buckets = scratch, buckets
-        self._run, self._names = uuid.uuid4().hex, []
+        self._run, self._names, self._lock = uuid.uuid4().hex, [], threading.Lock()
 
     def store(self, df: DataFrame, label: str, *, dealt: bool = False) -> DataFrame:
-        """``dealt``: the rows come from joins inside buckets and lie right already."""
-        name = f"ids_{self._run}_{len(self._names)}"
-        self._names.append(name)
+        """``dealt``: the rows come from tables of buckets, or joins inside them, and lie right already."""
+        with self._lock:
+            name, path = f"ids_{self._run}_{len(self._names)}", self.scratch.path(label)
+            self._names.append(name)
         rows = df if dealt else df.repartition(self.buckets, "row")
-        rows.write.bucketBy(self.buckets, "row").sortBy("row").option("path", self.scratch.path(label)).saveAsTable(name)
+        rows.write.bucketBy(self.buckets, "row").sortBy("row").option("path", path).saveAsTable(name)
         return self.scratch.spark.table(name)
 
     def drop(self) -> None:
@@ -95,12 +104,15 @@ def failing_ids(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col:
     relations = Relations(scratch, -(-rows // BUCKET_ROWS) or 1)
     flag = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     marked = facts.join(told, "id", "left").select("row", "part", "id", "sha", *conditions, flag("good"), flag("toxic"))
-    marked = scratch.table(marked, "marked")
+    marked = scratch.table(marked, "marked").join(firsts, "sha", "left")
     of = ("row", "part", "good", "toxic")
-    ids = relations.store(marked.select(*of), "ids")
-    failing = {f: relations.store(marked.where(f).select(*of), f"fails-{f}") for f in conditions}
-    failing["E"] = relations.store(marked.join(firsts, "sha").where("id > first").select(*of), "fails-E")
-    return ids, failing, relations
+    # the rows are dealt once; the relations are cut from them where they lie
+    dealt = relations.store(marked.select(*of, *conditions, F.coalesce(F.col("id") > F.col("first"), F.lit(False)).alias("E")), "dealt")
+    filters = [*conditions, "E"]
+    with ThreadPoolExecutor(JOBS) as pool:
+        ids = pool.submit(relations.store, dealt.select(*of), "ids", dealt=True)
+        failing = {f: pool.submit(relations.store, dealt.where(f).select(*of), f"fails-{f}", dealt=True) for f in filters}
+    return ids.result(), {f: t.result() for f, t in failing.items()}, relations
 
 
 def audit(ids: DataFrame, failing: dict[str, DataFrame], relations: Relations) -> DataFrame:
@@ -112,26 +124,32 @@ def audit(ids: DataFrame, failing: dict[str, DataFrame], relations: Relations) -
     bit = {f: 1 << n for n, f in enumerate(names)}
     survivors, spark, counts = {0: ids}, scratch.spark, scratch.path("counts")
     every = [failing[f].select("row", "part", F.lit(f).alias("filter"), "good", "toxic") for f in names]
-    fails = relations.store(reduce(DataFrame.union, every), "fails")
+    fails = relations.store(reduce(DataFrame.union, every), "fails", dealt=True)
 
     def store(mask: int) -> None:
         by = max(f for f in names if mask & bit[f])
         left = _with(survivors[mask & ~bit[by]], failing[by], "left_anti")
         survivors[mask] = relations.store(left, f"survivors-{mask}", dealt=True)
 
-    def count(mask: int) -> None:
-        # the set stands in the folder's name: the plans of all sets are equal and compiled once
+    def rows(mask: int) -> DataFrame:
         left = survivors[mask]
-        rows = left.select("part", F.lit(ALL).alias("filter"), "good", "toxic", F.lit("kept").alias("kind"))
-        rows = rows.union(_with(fails, left, "left_semi").select("part", "filter", "good", "toxic", F.lit("removed")))
-        rows = rows.union(_with(fails, left, "left_anti").select("part", "filter", "good", "toxic", F.lit("redundant")))
-        sums = rows.groupBy("part", "filter", "kind").agg(F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
-        sums.write.parquet(f"{counts}/mask={mask}")
+        out = left.select("part", F.lit(ALL).alias("filter"), "good", "toxic", F.lit("kept").alias("kind"))
+        out = out.union(_with(fails, left, "left_semi").select("part", "filter", "good", "toxic", F.lit("removed")))
+        out = out.union(_with(fails, left, "left_anti").select("part", "filter", "good", "toxic", F.lit("redundant")))
+        # as text the set is no part of the compiled code
+        return out.withColumn("mask", F.lit(str(mask)))
+
+    def count(masks: range) -> None:
+        sums = reduce(DataFrame.union, map(rows, masks)).groupBy("part", "filter", "kind", "mask")
+        sums = sums.agg(F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
+        # the first set stands in the folder's name
+        sums.select("part", "filter", "kind", "n", "good", "toxic", F.col("mask").cast("int").alias("mask")).write.parquet(f"{counts}/from={masks[0]}")
 
     with ThreadPoolExecutor(JOBS) as pool:
         for size in range(1, len(names) + 1):
             list(pool.map(store, [m for m in range(1 << len(names)) if m.bit_count() == size]))
-        list(pool.map(count, survivors))
+    for at in range(0, 1 << len(names), SETS):
+        count(range(at, min(at + SETS, 1 << len(names))))
     schema = "part string, filter string, kind string, n bigint, good bigint, toxic bigint, mask int"
     return orders(spark.read.schema(schema).parquet(counts), names)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import struct
@@ -110,6 +112,18 @@ def test_joins_stay_inside_buckets(spark):
         relations.drop()
 
 
+def test_rows_are_dealt_once_and_sets_counted_together(spark, monkeypatch):
+    """A deal of the rows for every relation and a job for every set took too long where a shuffle has many tasks."""
+    deals, store = [], filter_audit.Relations.store
+    monkeypatch.setattr(filter_audit.Relations, "store", lambda self, df, label, *, dealt=False: (deals.append(dealt), store(self, df, label, dealt=dealt))[1])
+    docs, labels = spark.createDataFrame(HARD, SCHEMA), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    scratch = Scratch(spark, "t11d")
+    filter_audit.audit_documents(docs, labels, scratch)
+    assert deals.count(False) == 1
+    counted = [f for f in glob.glob(f"{scratch.root.removeprefix('file:')}/*-counts/*") if os.path.isdir(f)]
+    assert 0 < len(counted) <= 32 // filter_audit.SETS
+
+
 # --- op12
 
 TEXTS = [
