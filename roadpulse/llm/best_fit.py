@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE, Scratch, batch_of, pick, slices, worker_state
+from .common import SLICE, Scratch, SeenBefore, batch_of, driver_rows, pick, slices, worker_state
 
 #: Entries of a worker's caches of chunks and of words, and the longest that is kept.
-CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 700_000, 400_000, 48
+CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 500_000, 300_000, 48
 #: Pieces of a length that are ranked together.
 RANK_ROWS = 1_000
 _RANK_BITS = 48
@@ -45,6 +45,7 @@ class WordIds(dict):
         self.library = Tokenizer.from_file(path)
         self.merge = self.library.model.tokenize
         self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.again = SeenBefore()
 
     def encode(self, chunk: str) -> bytes:
         """Ids of any chunk."""
@@ -53,7 +54,7 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         """Ids of a word of lower-case letters below U+0250: normalising and splitting would leave it as it is."""
         ids = np.asarray([t.id for t in self.merge(word if word.isascii() else self.to_bytes(word)[0][0])], dtype="<u4").tobytes()
-        if len(word) <= CACHE_CHARS:
+        if len(word) <= CACHE_CHARS and self.again(word):
             if len(self) >= CACHE_WORDS:
                 self.clear()
             self[word] = ids
@@ -73,6 +74,7 @@ class ChunkIds(dict):
     def __init__(self, path: str):
         self.words = WordIds(path)
         self.marks = {m: self.words.encode(m) for m in _MARKS}
+        self.again = SeenBefore()
 
     def __missing__(self, chunk: str) -> bytes:
         word, mark = (chunk[:-1], chunk[-1]) if chunk and chunk[-1] in _MARKS else (chunk, "")
@@ -80,7 +82,7 @@ class ChunkIds(dict):
             ids = self.words[low] + (self.marks[mark] if mark else b"")
         else:
             ids = self.words.encode(chunk) if chunk else b""
-        if len(chunk) <= CACHE_CHARS:
+        if len(chunk) <= CACHE_CHARS and self.again(chunk):
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
             self[chunk] = ids
@@ -178,7 +180,7 @@ def pack(pieces: DataFrame, scratch: Scratch, *, capacity: int = 4096, max_plan_
         raise ValueError(f"the plan takes {slots.nbytes} bytes; raise max_plan_bytes above that or lower the capacity")
     shared = spark.sparkContext.broadcast(slots)
 
-    parts = spark.createDataFrame([(n, -(-c // RANK_ROWS)) for n, c in counts.items()], "length bigint, parts bigint")
+    parts = driver_rows(spark, [(n, -(-c // RANK_ROWS)) for n, c in counts.items()], length=pa.int64(), parts=pa.int64())
     dealt = pieces.join(F.broadcast(parts), "length").withColumn("part", F.pmod(F.xxhash64("row"), "parts")).drop("parts")
     sizes = dealt.groupBy("length", "part").count()
     before = sizes.select("length", "part", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, pick, positional, slices, worker_state
+from .common import batch_of, driver_rows, pick, positional, slices, worker_state
 
 #: Bounds of the sample that a language is learned from: rows, bytes of a row, bytes in all.
 SAMPLE_ROWS, ROW_CHARS, DICT_BYTES = 256, 1024, 110_000
@@ -53,7 +53,7 @@ def learn(df: DataFrame, labelled: Column, *, text_col: str = "text", lang_col:
     counts = rows.groupBy("lang").count().collect()  # one row a language
     if not counts:
         return []
-    share = df.sparkSession.createDataFrame([(r["lang"], min(1.0, 8.0 * SAMPLE_ROWS / r["count"])) for r in counts], "lang string, share double")
+    share = driver_rows(df.sparkSession, [(r["lang"], min(1.0, 8.0 * SAMPLE_ROWS / r["count"])) for r in counts], lang=pa.string(), share=pa.float64())
     drawn = (
         rows.withColumn("h", F.xxhash64("text"))
         .join(F.broadcast(share), "lang")
