@@ -7,6 +7,7 @@ import hashlib
 import io
 import random
 import zipfile
+import zlib
 
 import duckdb
 import numpy as np
@@ -211,6 +212,29 @@ def test_full_archives_are_followed_by_others(spark, monkeypatch, tmp_path):
     assert [len(n) for _, n in zip_warc.ranges(f"{tmp_path}/a.wacz")] == [3]
 
 
+def test_rows_behind_a_full_archive_are_written(monkeypatch, tmp_path):
+    monkeypatch.setattr(zip_warc, "ARCHIVE_RECORDS", 3)
+    rows = ((str(i), None, b"p%d" % i, hashlib.sha1(b"p%d" % i).hexdigest(), None) for i in range(8))  # a generator, as in a task
+    written = list(zip_warc.write_all(str(tmp_path), rows))
+    assert [n for _, n, _ in written] == [3, 3, 2]
+    keys = []
+    for path, _, _ in written:
+        for start, lengths in zip_warc.ranges(path):
+            raw = open(path, "rb").read()[start : start + sum(lengths)]
+            for n in lengths:
+                keys.append(zip_warc.parse_record(zlib.decompress(raw[:n], 31))[0])
+                raw = raw[n:]
+    assert keys == [str(i) for i in range(8)]
+
+
+def test_a_task_fills_several_archives(spark):
+    n = zip_warc.ARCHIVE_RECORDS + 1000
+    df = spark.range(n).selectExpr("id as page_id", "concat('http://x/', id) as url", "concat('p', id) as html").coalesce(1)
+    archives = zip_warc.write_archives(df, Scratch(spark, "t"))
+    assert archives.agg(F.sum("records")).first()[0] == n and archives.count() > 1
+    assert zip_warc.read_archives(spark, archives).select("page_id").distinct().count() == n
+
+
 def test_zip64_and_damage(monkeypatch, tmp_path):
     monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 100)
     monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
@@ -220,8 +244,6 @@ def test_zip64_and_damage(monkeypatch, tmp_path):
     raw = open(path, "rb").read()
     assert b"PK\x06\x06" in raw and b"PK\x06\x07" in raw
     (start, lengths), = zip_warc.ranges(path)
-    import zlib
-
     at = start
     for i, (n, p) in enumerate(zip(lengths, payloads)):
         assert zip_warc.parse_record(zlib.decompress(raw[at : at + n], 31)) == (str(i), len(p), hashlib.sha1(p).hexdigest(), "response", None)
