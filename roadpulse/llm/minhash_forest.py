@@ -10,9 +10,13 @@ the full sets. Links between sets that are already connected need no confirmatio
 only components are asked for.
 
 Equal sets are one node from the start. Orders are dealt by position, not by key, so a
-large group of near copies is spread over the tasks; a node has at most
+large group of near copies is spread over the tasks; first a node has at most
 ``2 * NEIGHBOURS`` candidates in an order, and a group is connected through chains of
-neighbours. Nothing but counts reaches the driver.
+neighbours. Then regions, sets that share a prefix in an order, that are larger than the
+neighbours' window and still hold several components are compared whole: every pair of
+different components. A region with more than ``REGION_PAIRS`` of them descends to longer
+prefixes, on to the values of the orders that follow, until it fits. Nothing but counts
+reaches the driver.
 
 Defined results: a null text, or one without words, has an empty set, is linked with
 nothing and is its own component; a text with fewer words than a shingle has its whole
@@ -39,6 +43,11 @@ TREES, DEPTH = 12, 8
 HASHES = TREES * DEPTH
 #: Neighbours on either side of a position, rows of a block of positions.
 NEIGHBOURS, BLOCK_ROWS = 8, 20_000
+#: Prefix lengths at which a region is looked at, pairs of different components that it may hold, and rows and shingles of a task's block of it.
+DEPTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, HASHES)
+REGION_PAIRS, REGION_ROWS, REGION_SHINGLES = 1 << 18, 1 << 12, 1 << 21
+#: Share of equal signature values this much below the likeness asked for is five deviations below it.
+CLOSE = 0.2
 #: At a likeness of 0.8, 0.9 of the sketch's bits agree, with a deviation of 0.031; 0.75 is five deviations below.
 MIN_SKETCH = 0.75
 
@@ -181,14 +190,95 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def regions(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of all regions that the windows don't cover whole and that hold several components.
+
+    ``nodes``: node, n, values, component -> node, n, values, component, region, block, main.
+    ``main`` tells the rows of a region's largest component; a region of many rows deals them
+    to blocks, and its other rows stand in every block, so each pair of different components
+    shares a block.
+    """
+    found = []
+    rows = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    for depth in DEPTHS:
+        prefix = F.expr(f"substring(concat(values, values), tree * {4 * DEPTH} + 1, {4 * depth})")
+        # at first all nodes, without a join
+        own = rows.join(nodes, "node") if found else nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+        keyed = own.withColumn("region", F.xxhash64("tree", prefix))
+        stats = keyed.groupBy("region", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+        stats = stats.groupBy("region").agg(F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"), F.max("rows").alias("most"), F.max_by("component", "rows").alias("largest"))
+        # what a window holds has been compared
+        stats = scratch.table(stats.where((F.col("rows") > NEIGHBOURS + 1) & (F.col("most") < F.col("rows"))), "regions")
+        fits = F.col("rows") * (F.col("rows") - F.col("most")) <= REGION_PAIRS if depth < HASHES else F.lit(True)
+        level = keyed.select("node", "tree", "component", "region").join(small(stats.withColumn("fits", fits)), "region")
+        level = scratch.table(level.select("node", "tree", "region", "fits", "rows", "shingles", (F.col("component") == F.col("largest")).alias("main")), "level")
+        found.append(level.where("fits").withColumn("region", F.xxhash64(F.lit(depth), "region")))
+        rows = level.where("not fits").select("node", "tree")
+        if rows.isEmpty():
+            break
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    blocks = F.greatest(F.ceil(F.col("rows") / REGION_ROWS), F.ceil(F.col("shingles") / REGION_SHINGLES)).cast("int")
+    dealt = F.when(F.col("main"), F.array(F.pmod(F.xxhash64("node"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
+    return out.select("node", "region", "main", F.explode(dealt).alias("block")).join(nodes, "node")
+
+
+def close_rows(pdf: pd.DataFrame, likeness: float) -> pd.DataFrame:
+    """The rows of a region's block that may be alike to a row of another component, by size and signature."""
+    component, n = pdf["component"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
+    values = np.frombuffer(b"".join(pdf["values"]), dtype=">u4").reshape(len(pdf), HASHES).astype(np.uint32)
+    keep = np.zeros(len(pdf), bool)
+    for x in np.flatnonzero(~pdf["main"].to_numpy(bool)):
+        near = np.flatnonzero((component != component[x]) & (np.minimum(n, n[x]) >= likeness * np.maximum(n, n[x])))
+        near = near[(values[near] == values[x]).mean(axis=1) >= likeness - CLOSE]
+        keep[near] = True
+        keep[x] |= len(near) > 0
+    return pdf.loc[keep, ["region", "block", "node", "component", "main"]]
+
+
+def region_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the components of a region's block, by the full sets; none between rows that are connected already."""
+    node = pdf["node"].to_numpy(np.int64)
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+    n = np.array([len(x) for x in sets], np.int64)
+    starts = np.r_[0, np.cumsum(n)[:-1]]
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    root, marks, out = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)[1], np.zeros(len(words), np.int32), []
+    for x in np.flatnonzero(~pdf["main"].to_numpy(bool)):
+        own = flat[starts[x] : starts[x] + n[x]]
+        marks[own] = 1
+        both = np.add.reduceat(marks[flat], starts)
+        marks[own] = 0
+        alike = np.flatnonzero((100 * both >= percent * (n + n[x] - both)) & (root != root[x]))
+        for y in alike:
+            if root[y] != root[x]:
+                out.append((min(node[x], node[y]), max(node[x], node[y])))
+                root[root == root[y]] = root[x]
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def region_pairs(df: DataFrame, t: DataFrame, nodes: DataFrame, scratch: Scratch, *, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``a, b``: links between components that the neighbours' windows left apart; ``nodes`` as in `regions`."""
+    kind = "region bigint, block int, node bigint, component bigint, main boolean"
+    close = regions(nodes, scratch).groupBy("region", "block").applyInPandas(lambda pdf: close_rows(pdf, percent / 100), kind)
+    close = scratch.table(close, "close")
+    wanted = t.select("row", "id", "text_hash").join(small(close.select(F.col("node").alias("row")).distinct()), "row").select(F.col("row").alias("node"), "id", "text_hash")
+    sets = full_sets(df, wanted, id_col=id_col, text_col=text_col, words=words)
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    links = close.join(sets, "node").groupBy("region", "block").applyInPandas(lambda pdf: region_links(pdf, percent), "a bigint, b bigint")
+    return scratch.table(links, "links")
+
+
 def near_duplicates(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 80) -> DataFrame:
     """``id, n_shingles, component_id, kept, text_hash`` of every row."""
     t = scratch.table(sign(df, id_col=id_col, text_col=text_col, words=words).withColumn("row", F.monotonically_increasing_id()), "signatures")
     # equal sets are one node, named by its first row with an id
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("row")))
     nodes = scratch.table(t.where("n > 0").groupBy("digest").agg(first.alias("f"), F.min("id").alias("least_id")).select("digest", F.col("f.row").alias("node"), "least_id"), "nodes")
-    signed = t.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    found = candidates(signed.withColumnRenamed("row", "node").select("node", "n", "values", "sketch"), scratch, percent / 100)
+    signed = t.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "n", "values", "sketch")
+    signed = scratch.table(signed, "signed")
+    found = candidates(signed, scratch, percent / 100)
     pairs = scratch.table(found.groupBy("a", "b").agg(F.min(F.when(F.col("tree") < 2, F.col("distance")).otherwise(NEIGHBOURS + 1)).alias("first")), "pairs")
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
@@ -204,6 +294,15 @@ def near_duplicates(df: DataFrame, scratch: Scratch, *, id_col: str = "doc_id",
     more = scratch.table(confirmed(apart, sets, percent), "links")
     over = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     groups = scratch.table(components(over, scratch), "groups")
+    # what the windows left apart in regions that are larger
+    labelled = signed.drop("sketch").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = scratch.table(labelled, "labelled")
+    scratch.drop_table(signed)
+    last = region_pairs(df, t, labelled, scratch, id_col=id_col, text_col=text_col, words=words, percent=percent)
+    if not last.isEmpty():
+        over = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        ends = last.join(label("a"), "a", "left").join(label("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        groups = scratch.table(components(over.unionByName(ends), scratch), "groups")
 
     named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = scratch.table(named.groupBy("component").agg(F.min("least_id").alias("component_id")), "least")

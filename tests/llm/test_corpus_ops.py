@@ -381,6 +381,43 @@ def test_edited_items_equal_brute_force():
 # --- op5
 
 
+def test_copies_of_one_text_beyond_the_windows_are_linked(spark):
+    """Every copy is alike to the first text alone: more of them than its neighbours in all orders."""
+    rng, n = random.Random(5), 600
+    base = [f"w{rng.randrange(10**9)}" for _ in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n + 1):
+        own = list(base)
+        for at in rng.sample(range(5, 115, 5), 3):  # three words, no shingle with two of them
+            own[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(own)))
+    assert n > 2 * minhash_forest.NEIGHBOURS * minhash_forest.TREES
+    df = spark.createDataFrame(rows + [(n + 1, "another text of a few words")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_forest.near_duplicates(df, Scratch(spark, "t"), words=4).collect()}
+    assert got == {i: 0 for i in range(n + 1)} | {n + 1: n + 1}
+
+
+def test_regions_descend_and_are_dealt_to_blocks(spark, monkeypatch):
+    """Small regions and blocks: the same links, at longer prefixes and in several blocks."""
+    monkeypatch.setattr(minhash_forest, "REGION_PAIRS", 200)
+    monkeypatch.setattr(minhash_forest, "REGION_ROWS", 8)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 32, minhash_forest.HASHES, dtype=np.uint32)
+    rows = []
+    for i in range(60):  # one large component, every fifth row a component of its own
+        own = base.copy()
+        own[rng.integers(0, minhash_forest.HASHES, 10)] = rng.integers(0, 1 << 32, 10, dtype=np.uint32)
+        rows.append((i, 100, bytearray(own.astype(">u4").tobytes()), i if i % 5 == 0 else 1))
+    nodes = spark.createDataFrame(rows, "node long, n long, values binary, component long")
+    got = minhash_forest.regions(nodes, Scratch(spark, "t")).toPandas()
+    assert got.groupby("region").block.nunique().max() > 1
+    pairs = {(a, b) for _, g in got.groupby(["region", "block"]) for a, ca in zip(g.node, g.component) for b, cb in zip(g.node, g.component) if a < b and ca != cb}
+    sizes = got[["region", "node"]].drop_duplicates().groupby("region").size()
+    assert sizes.min() > minhash_forest.NEIGHBOURS + 1
+    seen = {x for p in pairs for x in p}
+    assert {i for i in range(0, 60, 5)} <= seen
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng = random.Random(8)
     rows = list(zip(*(documents()[c].tolist() for c in ("doc_id", "text"))))
